@@ -30,8 +30,10 @@ def scatter_key(driver: Column, stamp: Column) -> Column:
 
 
 def fixed(value: Column, digits: int) -> Column:
-    """Number text with a fixed count of decimals."""
-    return F.format_string(f"%.{digits}f", value)
+    """Number text with a fixed count of decimals; ties go away from zero even
+    where binary arithmetic left them a little short."""
+    nudged = value + F.signum(value) * F.lit(1e-9)
+    return F.format_string(f"%.{digits}f", F.round(nudged, digits))
 
 
 def position(lon: Column, lat: Column) -> Column:

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, functions as F
 
 from ..functions import motion
-from ..session import cut_lineage
+from ..session import materialise
 from .marks import drop_repeats, sigma_mark, with_marks
 from .pairs import PairRule, neighbours, pair_fixes
 from .thresholds import driver_limits
@@ -120,8 +120,7 @@ def report(detail: DataFrame, merged: DataFrame) -> DataFrame:
 
 
 def detect(fixes: DataFrame, rule: SigmaRule = SigmaRule(), tie: Sequence[str] = ("event_id",)) -> DataFrame:
-    """The whole detector. The detail feeds five branches, so it is written to
-    the checkpoint folder once."""
-    detail = cut_lineage(with_neighbours(survivors(fixes, rule, tie=tie), rule, tie))
+    """The whole detector. The detail feeds five branches, so it is written once."""
+    detail = materialise(with_neighbours(survivors(fixes, rule, tie=tie), rule, tie), "sigma-detail")
     merged = merge_marks(speed_marks(detail, rule, tie), turn_marks(detail, rule))
     return report(detail, merged)

@@ -186,9 +186,9 @@ def with_marks(df: DataFrame, mark: Column, keep_zero: bool = False) -> DataFram
 
 
 def learn_and_mark(motion: DataFrame, preset: Preset, keep_zero: bool = False,
-                   accuracy: int = 10_000) -> DataFrame:
-    """Offline detector: learn the global limits and classify in one plan."""
-    learned = attach_row(motion, global_limits(motion, accuracy=accuracy), "limits")
+                   sketch: int | None = None) -> DataFrame:
+    """Offline detector: learn the global limits, then classify."""
+    learned = attach_row(motion, global_limits(motion, sketch=sketch), "limits")
     mark = band_mark(batch_limits(preset, "limits"), preset.straight, preset.turn_first)
     return with_marks(learned, mark, keep_zero).drop("limits")
 

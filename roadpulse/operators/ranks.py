@@ -10,10 +10,12 @@ Bins are cut by value, so the result does not depend on partitioning.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialise
+
 BINS = 4096
 
 
@@ -62,27 +64,32 @@ def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
             .select("feature", "x", F.col("x").alias("v"), F.lit(1).alias("n")))
 
 
-def exact_quantiles(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
-    """``(feature, idx, p, v)``: the smallest value with at least ``p`` of the rows at or below it."""
-    values = _long(df, columns)
-    levels = F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(float(p)).alias("p"))
-                       for i, p in enumerate(probs)])
+def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]]) -> DataFrame:
+    """``(feature, idx, p, v)`` for columns and their probabilities: the smallest
+    value with at least ``p`` of the rows at or below it.
+
+    All columns are searched together. ``df`` is read four times;
+    ``session.materialise`` it first if it is costly.
+    """
+    values = _long(df, list(probs))
+    levels = F.create_map(*[x for c, ps in probs.items() for x in (
+        F.lit(c), F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(float(p)).alias("p"))
+                            for i, p in enumerate(ps)]))])
     wanted = (values.groupBy("feature").agg(F.sum("n").alias("total"))
-              .select("feature", "total", F.explode(levels).alias("l")).select("feature", "total", "l.*")
-              .select("feature", "idx",
-                      F.greatest(F.ceil(F.col("p") * F.col("total")), F.lit(1)).alias("rank")))
+              .select("feature", "total", F.explode(levels[F.col("feature")]).alias("l"))
+              .select("feature", F.col("l.idx").alias("idx"),
+                      F.greatest(F.ceil(F.col("l.p") * F.col("total")), F.lit(1)).alias("rank")))
     picked = select_ranks(values, wanted)
-    p_of = F.array(*[F.lit(float(p)) for p in probs])
-    return picked.select("feature", "idx", F.get(p_of, F.col("idx")).alias("p"), "v")
+    return picked.select("feature", "idx", F.get(levels[F.col("feature")], F.col("idx"))["p"].alias("p"), "v")
 
 
-def quantile_arrays(df: DataFrame, columns: Sequence[str], probs: Sequence[float]) -> DataFrame:
+def quantile_arrays(df: DataFrame, probs: Mapping[str, Sequence[float]]) -> DataFrame:
     """One row: an ascending array of quantiles under each column's name."""
-    q = exact_quantiles(df, columns, probs)
+    q = exact_quantiles(df, probs)
     return q.agg(*[
         F.transform(F.array_sort(F.collect_list(F.when(F.col("feature") == c, F.struct("idx", "v")))),
                     lambda s: s["v"]).alias(c)
-        for c in columns])
+        for c in probs])
 
 
 def split_keys(df: DataFrame, key: str, n: int) -> DataFrame:
@@ -92,7 +99,9 @@ def split_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     Strings are placed by their first six bytes after the prefix all keys
     share; ties on those are settled by the full keys.
     """
-    counted = df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    counted = materialise(
+        df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("v")).agg(F.count(F.lit(1)).alias("n")),
+        "key-counts")
     raw = F.col("v").cast("binary")
     ends = counted.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.sum("n").alias("total"))
     shared = F.expr("size(filter(sequence(0, least(octet_length(a), octet_length(b))), "

@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import grading
 from ..functions.grading import rate, smoothed_rate, weighted
+from ..session import materialise
 from .ranks import quantile_arrays
 from .slices import attach_row
 from .weights import bus_tree, taxi_tree
@@ -86,15 +87,13 @@ def score_drivers(features: DataFrame, kind: str, bands: tuple = grading.BANDS,
     extra = ["mileage"] if kind == "taxi" else []
     detail = [*extra, *DIMENSIONS]
     event = [f"{d}_event" for d in DIMENSIONS]
+    # one row per driver, read again by every step of the quantile search
+    features = materialise(features, "features")
     event_probs = grading.DETAIL_PROBS if kind == "taxi" else grading.BUS_EVENT_PROBS
-    out = attach_row(features, quantile_arrays(features, detail, grading.DETAIL_PROBS), "_dq")
-    out = attach_row(out, quantile_arrays(features, event, event_probs), "_eq")
-
-    def grade(name: str, source: str) -> Column:
-        return grading.band_score(F.col(name), F.col(f"{source}.{name}"), bands, mode)
-
-    graded = out.select("user_id", *[grade(c, "_dq").alias(c) for c in detail],
-                        *[grade(c, "_eq").alias(c) for c in event])
+    probs = {**dict.fromkeys(detail, grading.DETAIL_PROBS), **dict.fromkeys(event, event_probs)}
+    out = attach_row(features, quantile_arrays(features, probs), "_q")
+    graded = out.select("user_id", *[
+        grading.band_score(F.col(c), F.col(f"_q.{c}"), bands, mode).alias(c) for c in (*detail, *event)])
     blended = graded.select(
         "user_id", *[F.col(c).alias(f"{c}_score") for c in extra],
         *[grading.blend(F.col(d), F.col(f"{d}_event"), share).alias(f"{d}_score") for d in DIMENSIONS])

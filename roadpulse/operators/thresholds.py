@@ -1,9 +1,9 @@
-"""Learned limits: moments, quartiles and fences, each in one aggregation.
+"""Learned limits: moments, quartiles and fences.
 
-Quartiles use Spark's mergeable quantile sketch at its default accuracy, which
-is exact below about ten thousand values per group and bounded in memory at any
-scale. ``ranks.exact_quantiles`` is there where exact order statistics of a
-large column are needed.
+Statistics per driver or per window take their quartiles from Spark's mergeable
+quantile sketch, in the same aggregation as the moments. Statistics over all
+pairs find them exactly (``ranks``), which needs no single task to merge the
+sketches of the whole input.
 """
 
 from __future__ import annotations
@@ -13,6 +13,8 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import motion
+from ..session import materialise
+from .ranks import quantile_arrays
 from .slices import attach_row
 
 ACCURACY = 10_000
@@ -54,18 +56,22 @@ def expand(stats: DataFrame, suffixes: Iterable[str], low_side: Iterable[str] =
     return out
 
 
-def global_limits(pairs: DataFrame, k: float = 3.0, accuracy: int = ACCURACY) -> DataFrame:
+def global_limits(pairs: DataFrame, k: float = 3.0, sketch: int | None = None) -> DataFrame:
     """One row: moments of acceleration and mileage gap, sigma limits, IQR band.
 
-    Counting the turns too makes this pass read the same columns as the
-    classifier does, so both share one shuffle of the fixes.
+    The quartiles are exact by default. A quantile sketch (``sketch`` is its
+    accuracy) takes one pass instead of three more, but a single task merges
+    the sketches of all map tasks, and the result depends on the merge order.
     """
-    raw = pairs.agg(
-        F.avg("a_speed").alias("avg_aspeed"), F.stddev_samp("a_speed").alias("std_aspeed"),
-        F.avg("gap").alias("avg_gap"), F.stddev_samp("gap").alias("std_gap"),
-        F.min("gap").alias("mi_gap"), F.max("gap").alias("mx_gap"),
-        F.count("orient").alias("n_pairs"),
-        F.percentile_approx("gap", [0.25, 0.5, 0.75], accuracy).alias("_q"))
+    moments = [F.avg("a_speed").alias("avg_aspeed"), F.stddev_samp("a_speed").alias("std_aspeed"),
+               F.avg("gap").alias("avg_gap"), F.stddev_samp("gap").alias("std_gap"),
+               F.min("gap").alias("mi_gap"), F.max("gap").alias("mx_gap")]
+    if sketch is not None:
+        raw = pairs.agg(*moments, F.percentile_approx("gap", [0.25, 0.5, 0.75], sketch).alias("_q"))
+    else:
+        values = materialise(pairs.select("a_speed", "gap"), "gaps")
+        quartiles = quantile_arrays(values, {"gap": [0.25, 0.5, 0.75]})
+        raw = attach_row(values.agg(*moments), quartiles, "_row").withColumn("_q", F.col("_row.gap"))
     q1, q3 = F.get("_q", 0), F.get("_q", 2)
     return raw.select(
         (F.col("avg_aspeed") + F.lit(k) * F.col("std_aspeed")).alias("threshold_up"),
@@ -73,7 +79,7 @@ def global_limits(pairs: DataFrame, k: float = 3.0, accuracy: int = ACCURACY) ->
         (q3 + F.lit(1.5) * (q3 - q1)).alias("threshold_gap_min"),
         (q3 + F.lit(3.0) * (q3 - q1)).alias("threshold_gap_max"),
         "avg_gap", "std_gap", "mi_gap", q1.alias("approx25_gap"), F.get("_q", 1).alias("approx50_gap"),
-        q3.alias("approx75_gap"), "mx_gap", "avg_aspeed", "std_aspeed", "n_pairs")
+        q3.alias("approx75_gap"), "mx_gap", "avg_aspeed", "std_aspeed")
 
 
 # --- statistics published to the stream detectors ---------------------------

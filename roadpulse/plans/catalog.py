@@ -13,6 +13,7 @@ from ..operators import cells, driver_sigma, episodes, marks, ranks, scores, thr
 from ..operators.pairs import BUS, TAXI, PairRule, add_motion, pair_fixes
 from ..operators.presets import PRESETS
 from ..operators.slices import attach_row
+from ..session import materialise
 from ..sources import records, snapshots
 from .fixture import table, telemetry
 from .inputs import accidents as accident_rows
@@ -114,7 +115,7 @@ def speed_gap(spark, sf_dir):
 
 @query
 def fences_global(spark, sf_dir):
-    return tidy(thresholds.global_limits(bus_motion(spark, sf_dir)).drop("n_pairs"))
+    return tidy(thresholds.global_limits(bus_motion(spark, sf_dir)))
 
 
 def _stat_pairs(spark, sf_dir, speed, **kw):
@@ -175,8 +176,8 @@ def driver_limits(spark, sf_dir):
 @query
 def quantiles(spark, sf_dir):
     """Exact quantiles of whole columns."""
-    m = bus_motion(spark, sf_dir)
-    return tidy(ranks.exact_quantiles(m, ["a_speed", "gap", "orient"], grading.DETAIL_PROBS))
+    m = materialise(bus_motion(spark, sf_dir).select("a_speed", "gap", "orient"), "motion")
+    return tidy(ranks.exact_quantiles(m, dict.fromkeys(["a_speed", "gap", "orient"], grading.DETAIL_PROBS)))
 
 
 # --- marks -------------------------------------------------------------------
@@ -377,9 +378,8 @@ def alarms_sliding(spark, sf_dir):
 def alarm_texts(spark, sf_dir):
     p = PRESETS["bus_detail_stream"]
     m = simple_marks(spark, sf_dir)
-    tip = text.alarm_text(F.col("rapid_mark"), F.round("a_speed", 4), F.lit(p.accel), F.lit(p.brake),
-                          F.round("up_min", 4), F.round("up_max", 4), F.round("dn_min", 4),
-                          F.round("dn_max", 4), F.round("actual_dist", 4))
+    tip = text.alarm_text(F.col("rapid_mark"), F.col("a_speed"), F.lit(p.accel), F.lit(p.brake),
+                          *[F.col(c) for c in ("up_min", "up_max", "dn_min", "dn_max", "actual_dist")])
     return m.select("jsy", "event_id", text.scatter_key(F.col("jsy"), F.col("longtime")).alias("rowkey"),
                     text.time_text(F.col("pretime")).alias("start_time"),
                     text.time_text(F.col("longtime")).alias("end_time"), tip.alias("tips"))
@@ -599,7 +599,7 @@ def mark_detail_cells(spark, sf_dir):
     m = simple_marks(spark, sf_dir, ("dbuscard",))
     rows = m.select(text.scatter_key(F.col("jsy"), F.col("longtime")).alias("rowkey"), "longtime", "dbuscard",
                     F.col("time_interval").cast("string").alias("interval"),
-                    text.fixed(F.round("orient", 4), 1).alias("angle"),
+                    text.fixed(F.col("orient"), 1).alias("angle"),
                     F.col("rapid_mark").cast("string").alias("status"))
     return cells.put_columns(rows, {"cf": ["dbuscard", "interval", "angle", "status"]},
                              F.col("longtime"), key="rowkey")

@@ -330,8 +330,7 @@ ORACLES["marks_or_rule"] = marked(
          (f"""(a_speed < avg_dnaspeed - 2 * std_dnaspeed AND gap > avg_dndist + std_dndist)
       OR (a_speed < avg_dnaspeed - 3 * std_dnaspeed AND {_FAST})
       OR (a_speed < 0 AND gap > avg_dndist + 3 * std_dndist AND time_interval <= 30)""", 2),
-         (f"angle_speed > avg_aturn + std_aturn AND orient > 60 AND {_FAST}", 3)).replace(
-             "gap > avg_dndist + std_dndist", "gap > avg_dndist + std_dndist"), "ms")
+         (f"angle_speed > avg_aturn + std_aturn AND orient > 60 AND {_FAST}", 3)), "ms")
 
 ORACLES["marks_iqr_rule"] = marked(
     f"{FREE}, {stats('stat', 'full', False)}, "
@@ -465,9 +464,13 @@ ORACLES["alarms_3rd"] = alarms(3)
 ORACLES["alarms_sliding"] = alarms(slide=True)
 
 
+def _num(e: str, digits: int) -> str:
+    return f"printf('%.{digits}f', round({e} + sign({e}) * 1e-9, {digits}))"
+
+
 def _tip(limit: str, low: str, high: str) -> str:
-    return (f"printf('acceleration %.2f (limit %.3f); normal mileage [%.2fm - %.2fm]; actual mileage %.2fm', "
-            f"round(a_speed, 4), cast({limit} AS double), round({low}, 4), round({high}, 4), round(actual_dist, 4))")
+    return (f"'acceleration ' || {_num('a_speed', 2)} || ' (limit ' || {_num(limit, 3)} || '); normal mileage [' || "
+            f"{_num(low, 2)} || 'm - ' || {_num(high, 2)} || 'm]; actual mileage ' || {_num('actual_dist', 2)} || 'm'")
 
 
 ORACLES["alarm_texts"] = f"""WITH {TEL}, {SIMPLE_MARKS} SELECT jsy, event_id,
@@ -744,7 +747,7 @@ p AS (SELECT rowkey, cast((SELECT count(*) FROM split s WHERE s.rowkey <= cell.r
 SELECT region, count(*) AS cells, min(rowkey) AS first_key, max(rowkey) AS last_key FROM p GROUP BY region"""
 ORACLES["mark_detail_cells"] = f"""WITH {TEL}, {SIMPLE_MARKS},
 d AS (SELECT jsy || '_' || reverse(cast(longtime AS varchar)) AS rowkey, longtime AS version, dbuscard,
-  cast(time_interval AS varchar) AS interval, printf('%.1f', round(orient, 4)) AS angle,
+  cast(time_interval AS varchar) AS interval, printf('%.1f', orient) AS angle,
   cast(rapid_mark AS varchar) AS status FROM mk)
 SELECT rowkey, 'cf' AS family, q AS qualifier, version, v AS value FROM (
   SELECT rowkey, version, 'dbuscard' AS q, dbuscard AS v FROM d UNION ALL

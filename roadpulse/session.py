@@ -4,10 +4,14 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+_local_dir: str | None = None
+
+
 def build_session(app: str = "roadpulse", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the library relies on.
 
@@ -44,15 +48,23 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-    return tempfile.mkdtemp(prefix="roadpulse-ckpt-")
+    global _local_dir
+    if _local_dir is None:
+        _local_dir = tempfile.mkdtemp(prefix="roadpulse-ckpt-")
+    return _local_dir
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the reliable checkpoint folder and go on from there."""
+def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Write ``df`` as a table in the shared checkpoint folder and read it back.
+
+    For results that several later passes read: they are computed once, the
+    lineage ends here, and a lost executor only costs a re-read. The folder is
+    the cluster's to expire, as for any checkpoint.
+    """
     spark = df.sparkSession
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(checkpoint_dir(spark))
-    return df.checkpoint(eager=True)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def local_cores() -> int:
