@@ -41,6 +41,11 @@ def step_marks(fixes: DataFrame, keys: Sequence[str] = ("jsy",), tie: Sequence[s
     """
     rows = neighbours(fixes, keys, ["longtime", "speed", "orientation", "ehstatus"], back=2,
                       tie=tie, size=size)
+    return mark_steps(rows)
+
+
+def mark_steps(rows: DataFrame) -> DataFrame:
+    """Marks of fixes that carry ``rank`` and the fixes before as ``p1``, ``p2``."""
     raw = F.when(F.col("rank") >= 3, _pair_rule("p1", None))
     earlier = F.when(F.col("rank") >= 4, _pair_rule("p2", "p1"))
     return rows.withColumn("raw_mark", raw).withColumns({
