@@ -177,11 +177,11 @@ def listed_columns(rows: DataFrame, columns: str = "columns", family: str | None
 # --- layout ------------------------------------------------------------------
 
 def sorted_layout(cells: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Cells in key order across and inside partitions, newest version first.
+    """Cells by family and key across and inside partitions, newest version first.
 
     Ranges are cut over the whole cell key, so one very wide row is split too.
     """
-    keys = [F.col(c) for c in CELL]
+    keys = [F.col(c) for c in ("family", "rowkey", "qualifier")]
     ranged = (cells.repartitionByRange(partitions, *keys) if partitions
               else cells.repartitionByRange(*keys))
     return ranged.sortWithinPartitions(*keys, F.col("version").desc())
@@ -206,4 +206,4 @@ def region_layout(cells: DataFrame, splits: DataFrame | Sequence[str], files: in
     """``files`` partitions per region, each sorted as ``sorted_layout``."""
     placed = with_region(cells, splits, files)
     return placed.repartition("region", "salt").sortWithinPartitions(
-        "region", *CELL, F.col("version").desc())
+        "region", "salt", "family", "rowkey", "qualifier", F.col("version").desc())

@@ -15,6 +15,7 @@ from ..operators.presets import PRESETS
 from ..operators.slices import attach_row
 from ..session import materialise
 from ..sources import records, snapshots
+from . import streams
 from .fixture import table, telemetry
 from .inputs import accidents as accident_rows
 from .inputs import bus_inputs, free_pairs, order_cells, over_code, taxi_inputs
@@ -639,3 +640,25 @@ def json_snapshot(spark, sf_dir):
     packed = snapshots.pack(stats)
     back = snapshots.unpack(packed, stats.columns)
     return tidy(back.select("avg_upaspeed", "std_upaspeed", "iqr_updist", "iqr_dnaspeed", "avg_turn", "std_aturn"))
+
+
+# --- streams -----------------------------------------------------------------
+
+@query
+def stream_steps(spark, sf_dir):
+    return streams.steps(spark, sf_dir)
+
+
+@query
+def stream_scores(spark, sf_dir):
+    return streams.scores(spark, sf_dir)
+
+
+@query
+def stream_alarms(spark, sf_dir):
+    return streams.alarms(spark, sf_dir)
+
+
+@query
+def stream_windows(spark, sf_dir):
+    return tidy(streams.windows(spark, sf_dir))

@@ -763,3 +763,36 @@ ORACLES["raw_text_parse"] = f"WITH {TEL} SELECT jsy, longtime, {rr('llon llat sp
 ORACLES["ride_status"] = f"""WITH {TEL}, {TAXI_TRIPS} SELECT jsy, begin_time, end_time, cast(null AS varchar) AS tag FROM tt"""
 ORACLES["json_snapshot"] = f"""WITH {TEL}, {stats('stat', 'two_pass', True)}
 SELECT avg_upaspeed, std_upaspeed, iqr_updist, iqr_dnaspeed, avg_turn, std_aturn FROM stat"""
+
+
+# --- streams -----------------------------------------------------------------
+
+STREAM = """
+raw_fix AS (SELECT cast(user_id AS varchar) AS jsy, event_id, cast(floor(epoch(ts)) AS bigint) // 600 AS longtime,
+  least(round(value, 1), cast(130 AS double)) AS speed, cast((event_id * 37) % 360 AS double) AS orientation,
+  cast(1194000 + event_id % 1000 AS double) / 10000 AS llon, cast(322000 + event_id % 700 AS double) / 10000 AS llat,
+  cast(event_id % 4 AS varchar) AS ehstatus FROM events{where}),
+tel AS (SELECT * FROM raw_fix
+  QUALIFY row_number() OVER (PARTITION BY jsy, longtime ORDER BY event_id) = 1)"""
+EVERY = STREAM.format(where="")
+ORACLES["stream_steps"] = f"""WITH {EVERY}, {STEPS} SELECT jsy, event_id, longtime, raw_mark, mark FROM steps
+WHERE raw_mark IS NOT NULL"""
+ORACLES["stream_scores"] = f"""WITH RECURSIVE {EVERY}, {TAXI_TRIPS},
+rq AS (SELECT *, {TAXI_SCORE} AS score, row_number() OVER (PARTITION BY jsy ORDER BY end_time) AS n FROM tt),
+rf AS (SELECT jsy, n, round(score + 1e-9, 2) AS running FROM rq WHERE n = 1
+  UNION ALL SELECT q.jsy, q.n, round((f.running + q.score) / 2 + 1e-9, 2)
+  FROM rf f JOIN rq q ON q.jsy = f.jsy AND q.n = f.n + 1)
+SELECT jsy, begin_time, end_time, over0, over1, over2, over3, accelerations, brakings, turns,
+  round(score, 2) AS score, running FROM rq JOIN rf USING (jsy, n)"""
+ORACLES["stream_alarms"] = alarms().replace(f"{TEL}, {SIMPLE_MARKS}", f"{EVERY}, {STEPS}, mk AS (SELECT jsy, "
+    "raw_mark AS rapid_mark, longtime, t1 AS pretime FROM steps WHERE raw_mark <> 0)")
+ORACLES["stream_windows"] = f"""WITH {EVERY.replace('FROM raw_fix', 'FROM raw_fix WHERE speed <= 120')},
+sw AS (SELECT *, lag(llon) OVER w AS prelon, lag(llat) OVER w AS prelat, lag(longtime) OVER w AS pretime,
+  lag(speed) OVER w AS v0, lag(orientation) OVER w AS preorien
+  FROM tel WINDOW w AS (PARTITION BY jsy ORDER BY longtime, event_id)),
+wp AS (SELECT *, speed AS v1, v0 / 3.6 AS prespeed, speed / 3.6 AS lspeed, longtime - pretime AS time_interval
+  FROM sw WHERE pretime IS NOT NULL), {published('wp', 'wq')},
+ws AS (SELECT *, unnest([longtime // 300 * 300 - 900, longtime // 300 * 300 - 600, longtime // 300 * 300 - 300,
+  longtime // 300 * 300]) AS window_start FROM wq)
+SELECT window_start, {updn(False)}, {turning('turn > 60', False, True)} FROM ws
+WHERE window_start + 1200 <= (SELECT max(longtime) FROM raw_fix WHERE speed <= 120) - 600 GROUP BY window_start"""
