@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .slices import DAY
 
@@ -141,7 +141,7 @@ def fired(marks: DataFrame, keys: Sequence[str] = ("jsy", "rapid_mark"), rule: E
 
 def count_events(marks: DataFrame, keys: Sequence[str] = ("jsy", "rapid_mark"),
                  rule: EpisodeRule = COUNT_EVENTS, chunk: int = DAY) -> DataFrame:
-    """Events per key: windows that hold a second mark. Keys without one count 0."""
+    """Per key: ``marks``, and ``cnt``, the windows that hold a second mark."""
     step, fires = _step(rule)
     total = f"""
         aggregate(rows, named_struct('now', entry, 'total', 0L),
@@ -149,8 +149,8 @@ def count_events(marks: DataFrame, keys: Sequence[str] = ("jsy", "rapid_mark"),
             'now', {step}, 'total', acc.total + CASE WHEN {fires} THEN 1L ELSE 0L END))[0],
           acc -> acc.total)"""
     return (_folded(marks, keys, rule, chunk)
-            .select(*keys, F.expr(total).alias("_n"))
-            .groupBy(*keys).agg(F.sum("_n").alias("cnt")))
+            .select(*keys, F.expr(total).alias("_n"), F.expr("aggregate(rows, 0L, (a, r) -> a + r.n)").alias("_m"))
+            .groupBy(*keys).agg(F.sum("_m").alias("marks"), F.sum("_n").alias("cnt")))
 
 
 NAMES = {1: "up", 2: "down", 3: "turn"}
@@ -164,14 +164,16 @@ def mark_counts(marks: DataFrame, keys: Sequence[str] = ("jsy",), infix: str = "
 
 
 def event_counts(marks: DataFrame, keys: Sequence[str] = ("jsy",), chunk: int = DAY) -> DataFrame:
-    """Marks and events of each kind per key.
+    """Marks and events of each kind per key. Both come from one fold; every
+    key with marks has all columns."""
+    counted = count_events(marks, [*keys, "rapid_mark"], chunk=chunk)
 
-    Both are inner-joined on the key; every key with marks has events columns.
-    """
-    events = count_events(marks, [*keys, "rapid_mark"], chunk=chunk).groupBy(*keys).agg(*[
-        F.coalesce(F.sum(F.when(F.col("rapid_mark") == code, F.col("cnt"))), F.lit(0))
-        .alias(f"{name}_sudden_event") for code, name in NAMES.items()])
-    return mark_counts(marks, keys).join(events, list(keys))
+    def of(kind: int, column: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("rapid_mark") == kind, F.col(column))), F.lit(0))
+
+    return counted.groupBy(*keys).agg(
+        *[of(code, "marks").alias(f"{name}_sudden_count") for code, name in NAMES.items()],
+        *[of(code, "cnt").alias(f"{name}_sudden_event") for code, name in NAMES.items()])
 
 
 def mark_times(marks: DataFrame, keys: Sequence[str] = ("jsy", "rapid_mark"), chunk: int = DAY) -> DataFrame:

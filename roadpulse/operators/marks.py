@@ -12,6 +12,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from ..session import materialise
 from .presets import SIMPLE_ACCEL, SIMPLE_SPEED, SIMPLE_TURN_RATE, Preset
 from .slices import attach_row, time_slices
 from .thresholds import global_limits
@@ -187,7 +188,12 @@ def with_marks(df: DataFrame, mark: Column, keep_zero: bool = False) -> DataFram
 
 def learn_and_mark(motion: DataFrame, preset: Preset, keep_zero: bool = False,
                    sketch: int | None = None) -> DataFrame:
-    """Offline detector: learn the global limits, then classify."""
+    """Offline detector: learn the global limits, then classify.
+
+    The pairs are stored in between: they are shuffled once, learning then
+    reads two columns of them and classifying the rest.
+    """
+    motion = materialise(motion, "motion")
     learned = attach_row(motion, global_limits(motion, sketch=sketch), "limits")
     mark = band_mark(batch_limits(preset, "limits"), preset.straight, preset.turn_first)
     return with_marks(learned, mark, keep_zero).drop("limits")
@@ -195,6 +201,7 @@ def learn_and_mark(motion: DataFrame, preset: Preset, keep_zero: bool = False,
 
 def gap_band_mark(motion: DataFrame, accel: float, brake: float) -> DataFrame:
     """Gap band first as a row filter, then the two speed-change rules."""
+    motion = materialise(motion, "motion")
     learned = attach_row(motion, global_limits(motion), "limits").where(
         "gap > limits.threshold_gap_min AND gap < limits.threshold_gap_max")
     d = F.col("actual_dist")

@@ -8,7 +8,7 @@ sketches of the whole input.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -21,20 +21,10 @@ ACCURACY = 10_000
 QUARTILES = ((0.25, "approx25"), (0.5, "median"), (0.75, "approx75"))
 
 
-def summary(value: Column, suffix: str, where: Column | None = None, quartiles: bool = True,
-            accuracy: int = ACCURACY) -> list[Column]:
-    """avg, std, min, quartiles and max of ``value`` as aggregate columns.
-
-    The optional condition turns each into a conditional aggregate, so that the
-    accelerating, braking and turning pairs are summarised in a single pass.
-    """
-    v = value if where is None else F.when(where, value)
-    columns = [F.avg(v).alias(f"avg_{suffix}"), F.stddev_samp(v).alias(f"std_{suffix}"),
-               F.min(v).alias(f"mi_{suffix}")]
-    if quartiles:
-        columns.append(F.percentile_approx(v, [p for p, _ in QUARTILES], accuracy).alias(f"_q_{suffix}"))
-    columns.append(F.max(v).alias(f"mx_{suffix}"))
-    return columns
+def moments(name: str) -> list[Column]:
+    """avg, std, min and max of a column as aggregate columns."""
+    return [F.avg(name).alias(f"avg_{name}"), F.stddev_samp(name).alias(f"std_{name}"),
+            F.min(name).alias(f"mi_{name}"), F.max(name).alias(f"mx_{name}")]
 
 
 def expand(stats: DataFrame, suffixes: Iterable[str], low_side: Iterable[str] = ()) -> DataFrame:
@@ -59,19 +49,19 @@ def expand(stats: DataFrame, suffixes: Iterable[str], low_side: Iterable[str] =
 def global_limits(pairs: DataFrame, k: float = 3.0, sketch: int | None = None) -> DataFrame:
     """One row: moments of acceleration and mileage gap, sigma limits, IQR band.
 
-    The quartiles are exact by default. A quantile sketch (``sketch`` is its
-    accuracy) takes one pass instead of three more, but a single task merges
-    the sketches of all map tasks, and the result depends on the merge order.
+    The quartiles are exact by default, for which ``pairs`` is read five times
+    and should be stored (``session.materialise``). A quantile sketch of
+    accuracy ``sketch`` takes one pass, but a single task merges the sketches
+    of all map tasks, and the result depends on the merge order.
     """
-    moments = [F.avg("a_speed").alias("avg_aspeed"), F.stddev_samp("a_speed").alias("std_aspeed"),
-               F.avg("gap").alias("avg_gap"), F.stddev_samp("gap").alias("std_gap"),
-               F.min("gap").alias("mi_gap"), F.max("gap").alias("mx_gap")]
+    aggregates = [F.avg("a_speed").alias("avg_aspeed"), F.stddev_samp("a_speed").alias("std_aspeed"),
+                  F.avg("gap").alias("avg_gap"), F.stddev_samp("gap").alias("std_gap"),
+                  F.min("gap").alias("mi_gap"), F.max("gap").alias("mx_gap")]
     if sketch is not None:
-        raw = pairs.agg(*moments, F.percentile_approx("gap", [0.25, 0.5, 0.75], sketch).alias("_q"))
+        raw = pairs.agg(*aggregates, F.percentile_approx("gap", [0.25, 0.5, 0.75], sketch).alias("_q"))
     else:
-        values = materialise(pairs.select("a_speed", "gap"), "gaps")
-        quartiles = quantile_arrays(values, {"gap": [0.25, 0.5, 0.75]})
-        raw = attach_row(values.agg(*moments), quartiles, "_row").withColumn("_q", F.col("_row.gap"))
+        quartiles = quantile_arrays(pairs, {"gap": [0.25, 0.5, 0.75]})
+        raw = attach_row(pairs.agg(*aggregates), quartiles, "_row").withColumn("_q", F.col("_row.gap"))
     q1, q3 = F.get("_q", 0), F.get("_q", 2)
     return raw.select(
         (F.col("avg_aspeed") + F.lit(k) * F.col("std_aspeed")).alias("threshold_up"),
@@ -84,7 +74,7 @@ def global_limits(pairs: DataFrame, k: float = 3.0, sketch: int | None = None) -
 
 # --- statistics published to the stream detectors ---------------------------
 
-UP, DN, TN = ("upaspeed", "updist"), ("dnaspeed", "dndist"), ("aturn", "tnspeed")
+MEASURES = ("aspeed", "distance", "turn", "aturn", "tnspeed", "speedgap")
 
 
 def add_published_motion(pairs: DataFrame) -> DataFrame:
@@ -109,52 +99,58 @@ def add_published_motion(pairs: DataFrame) -> DataFrame:
     }).drop("_actual")
 
 
-def _grouped(df: DataFrame, by: list[str]):
-    return df.groupBy(*by) if by else df.groupBy()
-
-
-def published_stats(pairs: DataFrame, by: list[str] | None = None, mode: str = "two_pass",
-                    turn_floor: float = 45.0) -> DataFrame:
+def published_stats(pairs: DataFrame, by: Sequence[str] = (), mode: str = "two_pass",
+                    turn_floor: float = 45.0, sketch: int | None = None) -> DataFrame:
     """The statistics row the detectors read (per group of ``by``, if given).
 
     ``two_pass``: turning pairs are those above the mean of the turns over
     ``turn_floor``. ``full`` adds turn and speed-gap summaries over all turns
     above zero. ``moments`` leaves the quartiles out and takes turns over 60.
-    The conditional summaries of a mode share one aggregation.
+
+    The conditional summaries of a mode share their passes. Over all pairs the
+    measures are stored once and the quartiles are exact; per group, or if
+    ``sketch`` gives an accuracy, they come from a sketch in the same pass.
     """
-    by = list(by or [])
+    by = list(by)
+    exact = not by and sketch is None and mode != "moments"
+    rows = pairs.select(*by, *MEASURES)
+    if exact:
+        rows = materialise(rows, "measures")
     up, dn = F.col("aspeed") > 0, F.col("aspeed") < 0
-    aspeed, dist = F.col("aspeed"), F.col("distance")
-    quart = mode != "moments"
-    parts = [*summary(aspeed, "upaspeed", up, quart), *summary(dist, "updist", up, quart),
-             *summary(aspeed, "dnaspeed", dn, quart), *summary(dist, "dndist", dn, quart)]
-    suffixes = [*UP, *DN, *TN]
+    parts = {"upaspeed": ("aspeed", up), "updist": ("distance", up),
+             "dnaspeed": ("aspeed", dn), "dndist": ("distance", dn)}
+    extra = []
     if mode == "two_pass":
         mean_turn = F.avg(F.when(F.col("turn") > turn_floor, F.col("turn"))).alias("avg_turn")
         if by:
-            # the group's mean is put back next to its pairs by key
-            floor = _grouped(pairs, by).agg(mean_turn)
-            pairs = pairs.join(floor, by)
+            rows = rows.join(rows.groupBy(*by).agg(mean_turn), by)
         else:
-            pairs = attach_row(pairs, pairs.agg(mean_turn), "_floor").withColumn(
-                "avg_turn", F.col("_floor.avg_turn")).drop("_floor")
+            rows = attach_row(rows, rows.agg(mean_turn), "_floor").withColumn("avg_turn", F.col("_floor.avg_turn"))
         turning = F.col("turn") > F.col("avg_turn")
-        parts.append(F.max("avg_turn").alias("avg_turn"))
+        extra = [F.max("avg_turn").alias("avg_turn")]
     elif mode == "full":
         turning = F.col("turn") > 0
-        gap = F.col("speedgap")
-        parts += [*summary(gap, "upgap", up), *summary(gap, "dngap", dn),
-                  *summary(F.col("turn"), "turn", turning)]
-        suffixes += ["upgap", "dngap", "turn"]
+        parts |= {"upgap": ("speedgap", up), "dngap": ("speedgap", dn), "turn": ("turn", turning)}
     elif mode == "moments":
         turning = F.col("turn") > 60
-        parts += summary(F.col("turn"), "turn", turning, False)
+        parts["turn"] = ("turn", turning)
     else:
         raise ValueError(f"unknown statistics mode {mode!r}")
-    parts += [*summary(F.col("aturn"), "aturn", turning, quart),
-              *summary(F.col("tnspeed"), "tnspeed", turning, quart)]
-    stats = _grouped(pairs, by).agg(*parts)
-    return expand(stats, suffixes, low_side=("dnaspeed",)) if quart else stats
+    parts |= {"aturn": ("aturn", turning), "tnspeed": ("tnspeed", turning)}
+    # "turn" is both a measure and a summary: the measures keep their names until here
+    values = rows.select(*by, *[c for c in ("avg_turn",) if mode == "two_pass"],
+                         *[F.when(condition, F.col(c)).alias(name) for name, (c, condition) in parts.items()])
+    aggregates = [a for name in parts for a in moments(name)]
+    if mode == "moments":
+        return values.groupBy(*by).agg(*aggregates)
+    probs = [p for p, _ in QUARTILES]
+    if exact:
+        row = attach_row(values.agg(*aggregates, *extra), quantile_arrays(values, dict.fromkeys(parts, probs)), "_q")
+        stats = row.withColumns({f"_q_{name}": F.col(f"_q.{name}") for name in parts}).drop("_q")
+    else:
+        sketches = [F.percentile_approx(name, probs, sketch or ACCURACY).alias(f"_q_{name}") for name in parts]
+        stats = values.groupBy(*by).agg(*aggregates, *extra, *sketches)
+    return expand(stats, parts, low_side=("dnaspeed",))
 
 
 def driver_speed_gaps(pairs: DataFrame) -> DataFrame:

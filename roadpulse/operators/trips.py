@@ -134,9 +134,11 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
     start at which it flips from one to the other (or by its few scores), the
     summaries are chained per key, and each chunk is folded from its true start.
     """
+    others = [c for c in trips.columns if c not in keys]
     rows = trips.withColumn("_chunk", F.expr(f"`{time}` div {chunk}"))
     chunks = rows.groupBy(*keys, "_chunk").agg(
-        F.array_sort(F.collect_list(F.struct(F.col(time).alias("t"), F.col(score).alias("v")))).alias("items")
+        F.array_sort(F.collect_list(F.struct(
+            F.col(time).alias("t"), F.col(score).alias("v"), F.struct(*others).alias("trip")))).alias("items")
     ).withColumn("scores", F.transform("items", lambda x: x["v"]))
     ends = chunks.withColumns({
         "fresh": F.expr(_fold("null")), "low": F.expr(_fold("0")), "high": F.expr(_fold("100"))})
@@ -161,13 +163,13 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
           (acc, p) -> named_struct('now', {after},
             'log', array_append(acc.log, named_struct('_chunk', p._chunk, 'entry', acc.now))),
           acc -> acc.log)""")).alias("e")).select(*keys, "e._chunk", "e.entry")
-    walked = chunks.join(entry, [*keys, "_chunk"]).select(*keys, F.explode(F.expr(f"""
-        aggregate(items,
-          named_struct('now', entry, 'log', cast(array() AS array<struct<t:bigint,running:double>>)),
+    walked = chunks.join(entry, [*keys, "_chunk"]).withColumn("_running", F.expr(f"""
+        aggregate(items, named_struct('now', entry, 'log', cast(array() AS array<double>)),
           (acc, x) -> transform(array({_NEXT.format(s='acc.now', c='x.v')}), r -> named_struct(
-            'now', r, 'log', array_append(acc.log, named_struct('t', x.t, 'running', r))))[0],
-          acc -> acc.log)""")).alias("w")).select(*keys, F.col("w.t").alias(time), "w.running")
-    return trips.join(walked, [*keys, time])
+            'now', r, 'log', array_append(acc.log, r)))[0],
+          acc -> acc.log)"""))
+    return (walked.select(*keys, F.explode(F.arrays_zip("items", F.col("_running").alias("running"))).alias("_w"))
+            .select(*keys, "_w.items.trip.*", "_w.running"))
 
 
 def meet_statuses(over_done: DataFrame, marks_done: DataFrame) -> DataFrame:

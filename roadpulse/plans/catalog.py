@@ -116,7 +116,7 @@ def speed_gap(spark, sf_dir):
 
 @query
 def fences_global(spark, sf_dir):
-    return tidy(thresholds.global_limits(bus_motion(spark, sf_dir)))
+    return tidy(thresholds.global_limits(materialise(bus_motion(spark, sf_dir).select("a_speed", "gap"), "gaps")))
 
 
 def _stat_pairs(spark, sf_dir, speed, **kw):

@@ -11,6 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import text
+from ..functions.motion import heading_change
 
 # Position of each field, by layout.
 L_TAXI = ("jsy", "dbuscard", "speed", "lutc", "longtime", "llon", "llat", "ehstatus", "orientation",
@@ -87,17 +88,18 @@ def status_message(trips: DataFrame, tag: str | None = None) -> DataFrame:
 
 def mark_message(steps: DataFrame, keep_zero: bool = True) -> DataFrame:
     """One record per classified step. The speed field is the mean of this step
-    for turns, of the step before otherwise; stamps follow for latency."""
+    for turns, of the step before otherwise. The time the record was received
+    (if known) and the time it is sent follow, to measure latency."""
     rows = steps.where("mark IS NOT NULL") if keep_zero else steps.where("mark <> 0")
     speed = F.when(F.col("mark") == 3, F.col("average")).otherwise(F.col("pre_average"))
     seconds = F.col("longtime") - F.col("p1.longtime")
-    from ..functions.motion import heading_change
+    received = [F.unix_millis("received").cast("string")] if "received" in steps.columns else []
     turn = heading_change(F.col("p1.orientation"), F.col("orientation"))
     return rows.select(F.col("jsy").alias("key"), F.concat_ws(
         ",", "jsy", "dbuscard", text.time_text(F.col("longtime")), F.col("llon").cast("string"),
         F.col("llat").cast("string"), F.col("speed").cast("string"), speed.cast("string"),
         seconds.cast("string"), turn.cast("string"), F.col("mark").cast("string"),
-        F.unix_millis(F.current_timestamp()).cast("string")).alias("value"))
+        *received, F.unix_millis(F.current_timestamp()).cast("string")).alias("value"))
 
 
 def score_message(scored: DataFrame) -> DataFrame:

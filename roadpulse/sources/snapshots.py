@@ -11,6 +11,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
+from ..functions import text
+from ..operators.slices import attach_row
+
+
+def stamp(stats: DataFrame, fixes: DataFrame | None = None) -> DataFrame:
+    """Put the publishing time, and the count of fixes behind it, in front."""
+    out = stats
+    if fixes is not None:
+        out = attach_row(out, fixes.agg(F.count(F.lit(1)).alias("cnt")), "_n").withColumn("cnt", F.col("_n.cnt")).drop("_n")
+    return out.select(F.date_format(F.current_timestamp(), text.TIME_FORMAT).alias("time"),
+                      *[c for c in ("cnt",) if fixes is not None], *stats.columns)
+
 
 def pack(stats: DataFrame) -> DataFrame:
     """The statistics as JSON, or no row where any of them is missing."""
@@ -30,7 +42,7 @@ def pack_named(stats: DataFrame, required: Sequence[str]) -> DataFrame:
 
 
 def unpack(packed: DataFrame, names: Sequence[str]) -> DataFrame:
-    schema = T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+    schema = T.StructType([T.StructField(n, T.StringType() if n == "time" else T.DoubleType()) for n in names])
     return packed.select(F.from_json("stat", schema).alias("s")).select("s.*")
 
 

@@ -123,7 +123,8 @@ def publish_statistics(path: str, seconds: int = 7200, mode: str = "two_pass",
         stored = spark.read.parquet(table).where(F.col("epoch") <= epoch)
         newest = attach_row(stored, stored.agg(F.max("longtime").alias("t")), "_now")
         recent = newest.where(F.col("longtime") > F.col("_now.t") - seconds).drop("_now")
-        stats = thresholds.published_stats(thresholds.add_published_motion(recent), mode=mode)
+        stats = thresholds.published_stats(thresholds.add_published_motion(recent), mode=mode,
+                                           sketch=thresholds.ACCURACY)
         snapshots.publish(snapshots.pack(stats), f"{path}/stats", epoch)
     return run
 
