@@ -2,12 +2,13 @@
 
 Events and alarms depend on order: a first mark opens a window, a later one
 inside it fires, and where the window opens depends on all that came before.
-The history of a (driver, mark) is therefore folded in time chunks. Each chunk
-is summarised as a table "state on entry -> state on exit"; only window ends
+The history of a (driver, mark) is therefore folded in time chunks. A chunk whose
+first mark lies beyond any window of the chunk before starts afresh. The others
+are summarised as a table "state on entry -> state on exit"; only window ends
 reaching into the chunk's first minutes can differ, so the table is short. The
-tables are chained per key, and every chunk is folded once more from its true
-entry state. No key's history has to fit one task, and the result is exactly
-that of one pass.
+tables are chained per key, and every chunk is folded from its true entry
+state. No key's history has to fit one task, and the result is exactly that of
+one pass.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from .slices import DAY
 
@@ -86,33 +87,46 @@ def _folded(marks: DataFrame, keys: Sequence[str], rule: EpisodeRule, chunk: int
     # at most one row per second of the chunk
     chunks = seconds.groupBy(*keys, "chunk").agg(
         F.array_sort(F.collect_list(F.struct("t", "pre", "n"))).alias("rows"))
+    # how chunks hang together: light rows, one per chunk
+    in_order = Window.partitionBy(*keys).orderBy("chunk")
+    far = F.lit(rule.window + 1)
+    heads = chunks.select(*keys, "chunk", F.get("rows", 0)["t"].alias("first"),
+                          F.element_at("rows", -1)["t"].alias("last"))
+    linked = heads.select(
+        *keys, "chunk",
+        F.coalesce(F.lag("last").over(in_order) + far <= F.col("first"), F.lit(True)).alias("fresh"),
+        F.coalesce(F.col("last") + far > F.lead("first").over(in_order), F.lit(False)).alias("goes_on"),
+    ).where("NOT fresh OR goes_on")
     step, _ = _step(rule)
     reach = f"(chunk * {chunk} + {rule.window + 1})"
     classes = f"array_union(transform(filter(rows, r -> r.t < {reach}), r -> r.t), array({reach}))"
-    summary = chunks.select(*keys, "chunk", F.expr(f"""
-        flatten(transform(sequence(1, {rule.fire_at}), k ->
-          transform({classes}, e -> named_struct('upto', e, 'seen', k,
-            'after', aggregate(rows, {_entry('k', 'e')}, (s, r) -> {step})))))""").alias("exits"))
-    chained = summary.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct("chunk", "exits"))).alias("parts"))
     start = _entry("0", "null")
-    # a missing state opens a window at once, like any entry before the chunk
-    lookup = """
-        element_at(filter(c.exits, x -> x.seen = greatest(s.now.seen, 1)
-                          AND x.upto >= coalesce(s.now.ends, 0)), 1).after"""
-    merge = f"""transform(array({lookup}), a -> named_struct(
-        'ends', CASE WHEN a.moved THEN a.ends ELSE s.now.ends END, 'seen', a.seen,
-        'opened', CASE WHEN a.opened IS NULL THEN s.now.opened ELSE a.opened END,
-        'moved', false))[0]"""
+    none = f"cast(array() AS array<struct<upto:bigint,seen:int,after:{_STATE}>>)"
+    exits = f"""
+        CASE WHEN NOT goes_on THEN {none}
+        WHEN fresh THEN array(named_struct('upto', 9223372036854775807L, 'seen', 1,
+            'after', aggregate(rows, {start}, (s, r) -> {step})))
+        ELSE flatten(transform(sequence(1, {rule.fire_at}), k ->
+            transform({classes}, e -> named_struct('upto', e, 'seen', k,
+              'after', aggregate(rows, {_entry('k', 'e')}, (s, r) -> {step}))))) END"""
+    summary = chunks.join(linked, [*keys, "chunk"]).select(
+        *keys, F.struct("chunk", "fresh", F.expr(exits).alias("exits")).alias("part"))
+    chained = summary.groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
     walked = chained.select(*keys, F.explode(F.expr(f"""
         aggregate(parts,
           named_struct('now', {start},
                        'log', cast(array() AS array<struct<chunk:bigint,entry:{_STATE}>>)),
-          (s, c) -> named_struct(
-            'now', {merge},
-            'log', array_append(s.log, named_struct('chunk', c.chunk, 'entry', s.now))),
-          s -> s.log)""")).alias("e")).select(*keys, "e.chunk", "e.entry")
-    return chunks.join(walked, [*keys, "chunk"])
+          (acc, c) -> transform(array(CASE WHEN c.fresh THEN {start} ELSE acc.now END), n -> named_struct(
+            'now', coalesce(get(transform(
+                filter(c.exits, x -> x.seen = greatest(n.seen, 1) AND x.upto >= coalesce(n.ends, 0)),
+                x -> named_struct(
+                  'ends', CASE WHEN x.after.moved THEN x.after.ends ELSE n.ends END,
+                  'seen', x.after.seen,
+                  'opened', coalesce(x.after.opened, n.opened), 'moved', false)), 0), n),
+            'log', array_append(acc.log, named_struct('chunk', c.chunk, 'entry', n))))[0],
+          acc -> acc.log)""")).alias("e")).select(*keys, "e.chunk", "e.entry")
+    return (chunks.join(walked, [*keys, "chunk"], "left")
+            .withColumn("entry", F.coalesce(F.col("entry"), F.expr(start))))
 
 
 def fired(marks: DataFrame, keys: Sequence[str] = ("jsy", "rapid_mark"), rule: EpisodeRule = ALARM_2ND,

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import motion
 from ..functions.envelope import mileage_limits
-from .slices import HOUR, row_blocks, time_slices, with_rank, DAY
+from .slices import HOUR, row_blocks, time_slices, with_rank
 
 
 @dataclass(frozen=True)
@@ -41,7 +41,7 @@ PREVIOUS = ("llon", "llat", "longtime", "speed", "heading")
 
 def pair_fixes(fixes: DataFrame, rule: PairRule = BUS, carry: Sequence[str] = (),
                previous: Sequence[str] = (), tie: Sequence[str] = ("event_id",),
-               width: int = 6 * HOUR) -> DataFrame:
+               width: int = HOUR) -> DataFrame:
     """Each fix with the one before it, where the gap rule holds.
 
     ``carry`` names columns of the later fix to keep, ``previous`` columns to
@@ -107,7 +107,7 @@ def add_motion(pairs: DataFrame, full_circle: float = motion.FULL_CIRCLE_DEGREES
 
 def neighbours(fixes: DataFrame, keys: Sequence[str], columns: Sequence[str], back: int = 1,
                ahead: int = 0, tie: Sequence[str] = ("event_id",), time: str = "longtime",
-               size: int | None = None, rank_slice: int = DAY) -> DataFrame:
+               size: int | None = None, rank_slice: int = HOUR) -> DataFrame:
     """Every row with its neighbours, however far away in time.
 
     Adds ``rank``, ``block`` and structs ``p1``, ``p2``, ... (earlier rows)

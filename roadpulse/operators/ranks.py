@@ -15,6 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..session import materialise
+from .slices import attach_row
 
 BINS = 4096
 
@@ -100,19 +101,17 @@ def split_keys(df: DataFrame, key: str, n: int) -> DataFrame:
     share; ties on those are settled by the full keys.
     """
     counted = materialise(
-        df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("v")).agg(F.count(F.lit(1)).alias("n")),
-        "key-counts")
+        df.where(F.col(key).isNotNull()).groupBy(F.col(key).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("feature", F.lit("key")), "key-counts")
     raw = F.col("v").cast("binary")
-    ends = counted.agg(F.min("v").alias("a"), F.max("v").alias("b"), F.sum("n").alias("total"))
+    ends = counted.agg(F.max("feature").alias("feature"), F.min("v").alias("a"), F.max("v").alias("b"),
+                       F.sum("n").alias("total"))
     shared = F.expr("size(filter(sequence(0, least(octet_length(a), octet_length(b))), "
                     "i -> i > 0 AND substring(cast(a AS binary), 1, i) = substring(cast(b AS binary), 1, i)))")
-    facts = ends.select("total", shared.alias("shared"))
-    fact = facts.select(F.struct("*")).scalar()
-    values = (counted.withColumn("_f", fact)
-              .select(F.lit("key").alias("feature"),
-                      F.conv(F.rpad(F.hex(F.substring(raw, F.col("_f.shared") + 1, 6)), 12, "0"), 16, 10)
-                      .cast("double").alias("x"), "v", "n"))
-    wanted = (facts.select("total", F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("idx"))
-              .selectExpr("'key' AS feature", "idx",
-                          f"idx * (total div {n}) + least(idx, total % {n}) + 1 AS rank"))
+    facts = ends.select("feature", "total", shared.alias("shared"))
+    values = attach_row(counted, facts, "_f").select(
+        "feature", F.conv(F.rpad(F.hex(F.substring(raw, F.col("_f.shared") + 1, 6)), 12, "0"), 16, 10)
+        .cast("double").alias("x"), "v", "n")
+    wanted = (facts.select("feature", "total", F.explode(F.sequence(F.lit(1), F.lit(n - 1))).alias("idx"))
+              .selectExpr("feature", "idx", f"idx * (total div {n}) + least(idx, total % {n}) + 1 AS rank"))
     return select_ranks(values, wanted).select(F.col("idx").alias("split"), F.col("v").alias(key))

@@ -28,9 +28,10 @@ DAY = 86400
 BLOCK_ROWS = 50_000
 
 
-def time_slices(df: DataFrame, time: str, look_back: int, width: int = 6 * HOUR) -> DataFrame:
+def time_slices(df: DataFrame, time: str, look_back: int, width: int = HOUR) -> DataFrame:
     """Add ``slice`` and ``is_home``; rows of the last ``look_back`` seconds of
-    a slice appear in the following slice too."""
+    a slice appear in the following slice too. With hours and a minute of
+    look-back, one row in sixty is repeated."""
     if look_back >= width:
         raise ValueError("a slice must be longer than the look-back")
     home = F.expr(f"`{time}` div {width}")

@@ -140,8 +140,15 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
         F.array_sort(F.collect_list(F.struct(
             F.col(time).alias("t"), F.col(score).alias("v"), F.struct(*others).alias("trip")))).alias("items")
     ).withColumn("scores", F.transform("items", lambda x: x["v"]))
-    ends = chunks.withColumns({
-        "fresh": F.expr(_fold("null")), "low": F.expr(_fold("0")), "high": F.expr(_fold("100"))})
+    # a key's first chunk has no start to learn, its last none to pass on
+    in_order = Window.partitionBy(*keys).orderBy("_chunk")
+    linked = chunks.select(
+        *keys, "_chunk", F.lag("_chunk").over(in_order).isNull().alias("first"),
+        F.lead("_chunk").over(in_order).isNull().alias("last")).where("NOT (first AND last)")
+    ends = chunks.join(linked, [*keys, "_chunk"]).withColumns({
+        "fresh": F.expr(f"CASE WHEN first THEN {_fold('null')} END"),
+        "low": F.expr(f"CASE WHEN NOT first AND NOT last THEN {_fold('0')} END"),
+        "high": F.expr(f"CASE WHEN NOT first AND NOT last THEN {_fold('100')} END")})
     middle = f"({_fold('((b.lo + b.hi) div 2) / 100D', s='u', c='w')}) >= high"
     flips = F.expr(f"""aggregate(sequence(1, 14), named_struct('lo', 0L, 'hi', 10000L),
         (b, i) -> CASE WHEN b.lo >= b.hi THEN b
@@ -150,8 +157,8 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
         b -> b.hi)""")
     narrow = F.round((F.col("high") - F.col("low")) * 100) <= 1
     summary = ends.select(*keys, F.struct(
-        "_chunk", "fresh", "low", "high",
-        F.when(narrow, flips).alias("flip"), F.when(~narrow, F.col("scores")).alias("scores")).alias("part"))
+        "_chunk", "fresh", "low", "high", F.when(narrow, flips).alias("flip"),
+        F.when(~narrow, F.col("scores")).alias("scores")).alias("part"))
     chained = summary.groupBy(*keys).agg(F.array_sort(F.collect_list("part")).alias("parts"))
     after = f"""CASE WHEN acc.now IS NULL THEN p.fresh
         WHEN p.scores IS NOT NULL THEN {_fold('acc.now', 'p.scores')}
@@ -163,7 +170,7 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
           (acc, p) -> named_struct('now', {after},
             'log', array_append(acc.log, named_struct('_chunk', p._chunk, 'entry', acc.now))),
           acc -> acc.log)""")).alias("e")).select(*keys, "e._chunk", "e.entry")
-    walked = chunks.join(entry, [*keys, "_chunk"]).withColumn("_running", F.expr(f"""
+    walked = chunks.join(entry, [*keys, "_chunk"], "left").withColumn("_running", F.expr(f"""
         aggregate(items, named_struct('now', entry, 'log', cast(array() AS array<double>)),
           (acc, x) -> transform(array({_NEXT.format(s='acc.now', c='x.v')}), r -> named_struct(
             'now', r, 'log', array_append(acc.log, r)))[0],

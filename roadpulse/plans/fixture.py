@@ -36,5 +36,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     ranked = with_rank(events, ["user_id"], ["ts", "event_id"],
-                       F.to_date("ts"), name="rn").withColumn("rn", F.col("rn") - 1)
+                       F.date_trunc("hour", "ts"), name="rn").withColumn("rn", F.col("rn") - 1)
     return ranked.selectExpr(*TELEMETRY_SELECT)

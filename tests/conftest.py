@@ -15,6 +15,7 @@ def spark():
 
     session = build_session("tests", master="local[4]", **{
         "spark.sql.shuffle.partitions": "4", "spark.ui.enabled": "false", "spark.driver.memory": "4g",
+        "spark.sql.maxMetadataStringLength": "10000", "spark.sql.debug.maxToStringFields": "1000",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"})
     session.sparkContext.setLogLevel("ERROR")
