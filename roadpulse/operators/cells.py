@@ -107,9 +107,26 @@ def nest(found: DataFrame, by: Sequence[str] = ("rowkey",), versions: bool = Fal
 
 
 def read_columns(cells: DataFrame, columns: Mapping[str, Sequence[str]], versions: bool = False) -> DataFrame:
-    """Latest values of chosen columns, nested per row; a row's size is bounded
-    by the list of columns. Missing cells are left out."""
-    return nest(latest(wanted(cells, columns)), versions=versions)
+    """Latest values of chosen columns, nested per row: map family -> map
+    qualifier -> value. Missing cells and families are left out.
+
+    Every column is one conditional maximum, so all of them are found in a
+    single combined aggregation per row key.
+    """
+    names = [(f, c) for f, cs in columns.items() for c in cs]
+    newest = wanted(cells, columns).groupBy("rowkey").agg(*[
+        F.max(F.when((F.col("family") == f) & (F.col("qualifier") == c), F.struct("version", "value"))).alias(f"_{i}")
+        for i, (f, c) in enumerate(names)])
+
+    def entry(i: int, qualifier: str) -> Column:
+        cell = F.col(f"_{i}")
+        value = F.struct(cell["value"].alias("value"), cell["version"].alias("version")) if versions else cell["value"]
+        return F.when(cell.isNotNull(), F.struct(F.lit(qualifier).alias("key"), value.alias("value")))
+
+    families = [F.struct(F.lit(f).alias("key"), F.map_from_entries(F.array_compact(F.array(*[
+        entry(i, c) for i, (g, c) in enumerate(names) if g == f]))).alias("value")) for f in columns]
+    return newest.select("rowkey", F.map_from_entries(F.filter(
+        F.array(*families), lambda x: F.size(x["value"]) > 0)).alias("families"))
 
 
 def read_families(cells: DataFrame, families: Sequence[str], versions: bool = False,

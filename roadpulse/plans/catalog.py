@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -13,8 +14,10 @@ from ..operators import cells, driver_sigma, episodes, marks, ranks, scores, thr
 from ..operators.pairs import BUS, TAXI, PairRule, add_motion, pair_fixes
 from ..operators.presets import PRESETS
 from ..operators.slices import attach_row
-from ..session import materialise
-from ..sources import records, snapshots
+from ..functions.registry import register_sql_functions
+from ..session import checkpoint_dir, materialise
+from ..sources import files, jdbc, records, snapshots
+from ..streaming import detectors
 from . import streams
 from .fixture import table, telemetry
 from .inputs import accidents as accident_rows
@@ -143,8 +146,7 @@ def stats_moments(spark, sf_dir):
 def stats_sliding(spark, sf_dir):
     """Statistics per sliding window of 120 minutes every 30, pairs inside each window."""
     from ..streaming.statistics import sliding_pairs
-    fixes = telemetry(spark, sf_dir).where("speed <= 120")
-    pairs = thresholds.add_published_motion(sliding_pairs(fixes, 7200, 1800))
+    pairs = thresholds.add_published_motion(sliding_pairs(telemetry(spark, sf_dir), 7200, 1800))
     counts = (telemetry(spark, sf_dir)
               .select(F.explode(_windows()).alias("window_start")).groupBy("window_start")
               .agg(F.count(F.lit(1)).alias("cnt")))
@@ -642,6 +644,64 @@ def json_snapshot(spark, sf_dir):
     return tidy(back.select("avg_upaspeed", "std_upaspeed", "iqr_updist", "iqr_dnaspeed", "avg_turn", "std_aturn"))
 
 
+@query
+def csv_round_trip(spark, sf_dir):
+    """Telemetry written as monthly header CSV and read back with its schema."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/csv-{uuid.uuid4().hex}"
+    names = files.TAXI_MATCHED
+    out = files.with_time_text(telemetry(spark, sf_dir))
+    files.write_csv(files.by_month(out).select(*[F.col(a).alias(b) for a, b in names.items()], "month"),
+                    path, partition_by=["month"])
+    return tidy(files.read_csv(spark, path, names).withColumn("month", F.col("month").cast("string")))
+
+
+@query
+def alarm_rows(spark, sf_dir):
+    p = PRESETS["bus_detail_stream"]
+    m = simple_marks(spark, sf_dir, ("dbuscard",))
+    tip = text.alarm_text(F.col("rapid_mark"), F.col("a_speed"), F.lit(p.accel), F.lit(p.brake),
+                          *[F.col(c) for c in ("up_min", "up_max", "dn_min", "dn_max", "actual_dist")])
+    return jdbc.alarm_rows(m.withColumn("tips", tip)).drop("updatetime")
+
+
+@query
+def score_messages(spark, sf_dir):
+    scored = trips.running_score(trips.score_trips(_trips(spark, sf_dir)))
+    return records.score_message(scored)
+
+
+@query
+def trip_lookup(spark, sf_dir):
+    """Stored counts of the trips that have any, next to every trip's status."""
+    t = _trips(spark, sf_dir)
+    counts = t.where("accelerations > 2")
+    return detectors.lookup_counts(t.select("jsy", "begin_time", "end_time"), counts, ["accelerations", "turns"])
+
+
+@query
+def sql_functions(spark, sf_dir):
+    """The distance functions under their SQL names."""
+    register_sql_functions(spark)
+    names = {"theroyDistUpMin": "up_min", "theroyDistUpMax": "up_max",
+             "theroyDistDnMin": "dn_min", "theroyDistDnMax": "dn_max"}
+    return tidy(pair_fixes(telemetry(spark, sf_dir)).selectExpr(
+        "jsy", "event_id", "Dist(prelon, prelat, llon, llat) AS metres",
+        *[f"{f}(v0_kmh, v1_kmh, time_interval) AS {a}" for f, a in names.items()]))
+
+
+@query
+def cells_put_forms(spark, sf_dir):
+    """Cells from lists with headers, from nested maps and from versioned maps."""
+    o = table(spark, sf_dir, "orders").withColumn("rowkey", F.reverse(F.col("o_orderkey").cast("string")))
+    lists = cells.put_headers(o.withColumn("vals", F.array("o_orderstatus", "o_orderpriority")), "h",
+                              ["status", "priority"], F.col("o_orderkey"))
+    inner = F.create_map(F.lit("status"), F.col("o_orderstatus"))
+    nested = cells.put_nested(o.withColumn("families", F.create_map(F.lit("n"), inner)), 5)
+    pair = F.struct(F.col("o_orderpriority").alias("value"), F.col("o_custkey").alias("version"))
+    versioned = cells.put_versioned(o.withColumn("cells", F.create_map(F.lit("priority"), pair)), "v")
+    return cells.union_cells(lists, nested, versioned)
+
+
 # --- streams -----------------------------------------------------------------
 
 @query

@@ -765,6 +765,38 @@ ORACLES["json_snapshot"] = f"""WITH {TEL}, {stats('stat', 'two_pass', True)}
 SELECT avg_upaspeed, std_upaspeed, iqr_updist, iqr_dnaspeed, avg_turn, std_aturn FROM stat"""
 
 
+ORACLES["csv_round_trip"] = f"""WITH {TEL} SELECT jsy, dbuscard, wayname, waytype, ehstatus,
+  {rr('llon llat speed carheadangle')}, strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S') AS lutc,
+  longtime, strftime(make_timestamp(longtime * 1000000), '%Y%m') AS month FROM tel"""
+ORACLES["alarm_rows"] = f"""WITH {TEL}, {SIMPLE_MARKS},
+tip AS (SELECT *, CASE WHEN rapid_mark = 1 AND actual_dist > 0 THEN {_tip('0.503', 'up_min', 'up_max')}
+  WHEN rapid_mark = 2 AND actual_dist > 0 THEN {_tip('-0.500', 'dn_min', 'dn_max')}
+  WHEN rapid_mark = 3 THEN 'hard turn' END AS tips FROM mk)
+SELECT dbuscard, jsy AS dguid, strftime(make_timestamp(pretime * 1000000), '%Y-%m-%d %H:%M:%S') AS starttime,
+  strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S') AS endtime, time_interval AS contime,
+  CASE rapid_mark WHEN 3 THEN '5' ELSE cast(rapid_mark AS varchar) END AS alarmtype, 0 AS alarmlevel,
+  sha256(jsy || '_' || pretime || '_' || longtime || '_' || rapid_mark) AS uid, tips,
+  prelon || ',' || prelat AS startpos, llon || ',' || llat AS endpos FROM tip WHERE tips IS NOT NULL"""
+ORACLES["score_messages"] = f"""WITH RECURSIVE {TEL}, {TAXI_TRIPS},
+rq AS (SELECT *, {TAXI_SCORE} AS score, row_number() OVER (PARTITION BY jsy ORDER BY end_time) AS n FROM tt),
+rf AS (SELECT jsy, n, round(score + 1e-9, 2) AS running FROM rq WHERE n = 1
+  UNION ALL SELECT q.jsy, q.n, round((f.running + q.score) / 2 + 1e-9, 2)
+  FROM rf f JOIN rq q ON q.jsy = f.jsy AND q.n = f.n + 1)
+SELECT jsy AS key, concat_ws(',', strftime(make_timestamp(end_time * 1000000), '%Y-%m-%d %H:%M:%S'), jsy,
+  {_num('score', 2)}, {_num('running', 2)}, over0, over1, over2, over3, accelerations, brakings, turns,
+  printf('%.1f', round(seconds / 60 + 1e-9, 1))) AS value FROM rq JOIN rf USING (jsy, n)"""
+ORACLES["trip_lookup"] = f"""WITH {TEL}, {TAXI_TRIPS} SELECT jsy, begin_time, end_time,
+  CASE WHEN accelerations > 2 THEN accelerations ELSE 0 END AS accelerations,
+  CASE WHEN accelerations > 2 THEN turns ELSE 0 END AS turns FROM tt"""
+ORACLES["sql_functions"] = f"WITH {TEL}, {pairs()} SELECT jsy, event_id, {r(DIST)} AS metres, " + ", ".join(
+    f"{r(e)} AS {k}" for k, e in limits("ramp", "(v0 / 3.6)", "(v1 / 3.6)").items()) + " FROM pr"
+ORACLES["cells_put_forms"] = """WITH o AS (SELECT *, reverse(cast(o_orderkey AS varchar)) AS rowkey FROM orders)
+SELECT rowkey, 'h' AS family, 'status' AS qualifier, o_orderkey AS version, o_orderstatus AS value FROM o
+UNION ALL SELECT rowkey, 'h', 'priority', o_orderkey, o_orderpriority FROM o
+UNION ALL SELECT rowkey, 'n', 'status', 5, o_orderstatus FROM o
+UNION ALL SELECT rowkey, 'v', 'priority', o_custkey, o_orderpriority FROM o"""
+
+
 # --- streams -----------------------------------------------------------------
 
 STREAM = """

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from collections.abc import Sequence
 
-from ..functions import motion
+from pyspark.sql import Column, DataFrame, functions as F
+
+from ..operators.pairs import PairRule, pair_fixes
 
 
 def window_starts(time: str, length: int, slide: int) -> Column:
@@ -13,20 +15,16 @@ def window_starts(time: str, length: int, slide: int) -> Column:
     return F.sequence(last - F.lit(length - slide), last, F.lit(slide))
 
 
-def sliding_pairs(fixes: DataFrame, length: int, slide: int, tie: tuple[str, ...] = ("event_id",)) -> DataFrame:
-    """Consecutive fixes of a driver inside each window.
+def sliding_pairs(fixes: DataFrame, length: int, slide: int, speed: float = 120.0,
+                  tie: Sequence[str] = ("event_id",)) -> DataFrame:
+    """Consecutive plausible fixes of a driver, once per window that holds both.
 
-    A window holds ``length`` seconds of one driver, so its group is bounded
-    however long the history. The first fix of a window has no pair in it.
+    Pairs are formed first and copied to their windows afterwards, so the
+    copies are aggregated where they arise and are not shuffled. The first fix
+    of a window has no pair in it.
     """
-    placed = fixes.select("jsy", *tie, "longtime", "speed", "orientation", "llon", "llat",
-                          F.explode(window_starts("longtime", length, slide)).alias("window_start"))
-    w = Window.partitionBy("window_start", "jsy").orderBy("longtime", *tie)
-    pre = F.lag(F.struct("longtime", "speed", "orientation", "llon", "llat")).over(w)
-    return placed.withColumn("pre", pre).where("pre IS NOT NULL").select(
-        "window_start", "jsy", *tie, F.col("pre.llon").alias("prelon"), F.col("pre.llat").alias("prelat"),
-        F.col("pre.longtime").alias("pretime"), F.col("pre.speed").alias("v0_kmh"),
-        F.col("speed").alias("v1_kmh"), motion.metres_per_second(F.col("pre.speed")).alias("prespeed"),
-        F.col("pre.orientation").alias("preorien"), "llon", "llat", "longtime",
-        motion.metres_per_second(F.col("speed")).alias("lspeed"), "orientation",
-        (F.col("longtime") - F.col("pre.longtime")).alias("time_interval"))
+    rule = PairRule(min_gap=0, max_gap=length, speed_before=speed, speed_after=None)
+    paired = pair_fixes(fixes, rule, tie=tie, width=6 * length)
+    first = F.expr(f"((longtime - {length}) div {slide} + 1) * {slide}")
+    last = F.expr(f"pretime div {slide} * {slide}")
+    return paired.withColumn("window_start", F.explode(F.when(first <= last, F.sequence(first, last, F.lit(slide)))))
