@@ -41,14 +41,15 @@ PREVIOUS = ("llon", "llat", "longtime", "speed", "heading")
 
 def pair_fixes(fixes: DataFrame, rule: PairRule = BUS, carry: Sequence[str] = (),
                previous: Sequence[str] = (), tie: Sequence[str] = ("event_id",),
-               width: int = HOUR) -> DataFrame:
+               width: int | None = None) -> DataFrame:
     """Each fix with the one before it, where the gap rule holds.
 
     ``carry`` names columns of the later fix to keep, ``previous`` columns to
     take from the earlier fix too (as ``pre<name>``). ``prespeed`` and ``lspeed``
     come out in m/s, ``v0_kmh`` and ``v1_kmh`` as recorded.
     Since only gaps up to ``max_gap`` survive, time slices with that much
-    context pair exactly, in one shuffle.
+    context pair exactly, in one shuffle. ``width`` is the slice length in
+    seconds: an hour, or six times the gap where that is longer.
     """
     source = fixes.withColumn("heading", F.col(rule.heading))
     if rule.speed_before is not None:
@@ -57,7 +58,7 @@ def pair_fixes(fixes: DataFrame, rule: PairRule = BUS, carry: Sequence[str] = ()
     source = source.select(*wanted)
     window = Window.partitionBy(*rule.keys, "slice").orderBy("longtime", *tie)
     earlier = F.struct(*dict.fromkeys([*PREVIOUS, *previous]))
-    paired = (time_slices(source, "longtime", rule.max_gap, width)
+    paired = (time_slices(source, "longtime", rule.max_gap, width or max(HOUR, 6 * rule.max_gap))
               .withColumn("pre", F.lag(earlier).over(window))
               .where("is_home AND pre IS NOT NULL"))
     gap = F.col("longtime") - F.col("pre.longtime")

@@ -24,7 +24,7 @@ def sliding_pairs(fixes: DataFrame, length: int, slide: int, speed: float = 120.
     of a window has no pair in it.
     """
     rule = PairRule(min_gap=0, max_gap=length, speed_before=speed, speed_after=None)
-    paired = pair_fixes(fixes, rule, tie=tie, width=6 * length)
+    paired = pair_fixes(fixes, rule, tie=tie)
     first = F.expr(f"((longtime - {length}) div {slide} + 1) * {slide}")
     last = F.expr(f"pretime div {slide} * {slide}")
     return paired.withColumn("window_start", F.explode(F.when(first <= last, F.sequence(first, last, F.lit(slide)))))
