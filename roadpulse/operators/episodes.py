@@ -191,7 +191,11 @@ def event_counts(marks: DataFrame, keys: Sequence[str] = ("jsy",), chunk: int =
 
 
 def mark_times(marks: DataFrame, keys: Sequence[str] = ("jsy", "rapid_mark"), chunk: int = DAY) -> DataFrame:
-    """Sorted mark times per key, one row per time chunk so that no row grows
-    with a driver's history; ``part`` orders a key's rows."""
-    return (marks.withColumn("part", F.expr(f"longtime div {chunk}"))
-            .groupBy(*keys, "part").agg(F.array_sort(F.collect_list("longtime")).alias("times")))
+    """Sorted mark times per key and how many marks each has, one row per time
+    chunk: a row holds at most one entry per second, however many marks there
+    are. ``part`` orders a key's rows."""
+    seconds = marks.groupBy(*keys, "longtime").agg(F.count(F.lit(1)).alias("n"))
+    listed = seconds.withColumn("part", F.expr(f"longtime div {chunk}")).groupBy(*keys, "part").agg(
+        F.array_sort(F.collect_list(F.struct("longtime", "n"))).alias("_l"))
+    return listed.select(*keys, "part", F.transform("_l", lambda x: x["longtime"]).alias("times"),
+                         F.transform("_l", lambda x: x["n"]).alias("counts"))

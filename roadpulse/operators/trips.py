@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from ..functions import grading, motion
 from .marks import simple_rule
 from .pairs import neighbours
-from .slices import BLOCK_ROWS, DAY, HOUR, before_block
+from .slices import BLOCK_ROWS, HOUR, before_block
 
 # The status changes that end a bus trip.
 BUS_ENDS = (("1", "2"), ("3", "0"))
@@ -31,15 +31,23 @@ def _pair_rule(before: str, after: str | None) -> Column:
     return simple_rule(a, w, v0, v1)
 
 
+def first_per_second(fixes: DataFrame, keys: Sequence[str], tie: Sequence[str]) -> DataFrame:
+    """Drop fixes that are not later than one already seen; combined map-side."""
+    others = [c for c in fixes.columns if c not in (*keys, "longtime", *tie)]
+    return (fixes.groupBy(*keys, "longtime").agg(F.min(F.struct(*tie, *others)).alias("_f"))
+            .select(*keys, "longtime", "_f.*"))
+
+
 def step_marks(fixes: DataFrame, keys: Sequence[str] = ("jsy",), tie: Sequence[str] = ("event_id",),
                size: int = BLOCK_ROWS) -> DataFrame:
     """Every fix with the mark of the step that led to it.
 
-    A mark needs two earlier fixes. ``raw_mark`` is the rule's result,
+    A mark needs two earlier fixes. Of fixes at one second the first counts, the
+    others are late, as in the stream. ``raw_mark`` is the rule's result,
     ``mark`` is 0 where it only repeats the previous step's. ``pre_average``
     and ``average`` are mean speeds of the step before and of this one.
     """
-    rows = neighbours(fixes, keys, ["longtime", "speed", "orientation", "ehstatus"], back=2,
+    rows = neighbours(first_per_second(fixes, keys, tie), keys, ["longtime", "speed", "orientation", "ehstatus"], back=2,
                       tie=tie, size=size)
     return mark_steps(rows)
 
@@ -98,10 +106,11 @@ def split_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",),
             .withColumn("seconds", F.col("end_time") - F.col("begin_time")))
 
 
-def trip_mark_lists(steps: DataFrame, keys: Sequence[str] = ("jsy",), part: int = DAY) -> DataFrame:
-    """Marks of each driver as ``:``-joined lists, one per ``part`` seconds, in
-    time order. ``text.count_code`` counts codes in them."""
-    return (steps.where("mark <> 0").withColumn("part", F.expr(f"longtime div {part}"))
+def trip_mark_lists(steps: DataFrame, keys: Sequence[str] = ("jsy",)) -> DataFrame:
+    """Marks of each driver as ``:``-joined lists in time order, one per block of
+    fixes (``part``), so that no list outgrows a block. ``text.count_code``
+    counts codes in them."""
+    return (steps.where("mark <> 0").withColumnRenamed("block", "part")
             .groupBy(*keys, "part").agg(F.concat_ws(":", F.transform(
                 F.array_sort(F.collect_list(F.struct("rank", "mark"))),
                 lambda m: m["mark"].cast("string"))).alias("marks")))

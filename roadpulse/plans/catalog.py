@@ -359,7 +359,8 @@ def event_counts(spark, sf_dir):
 @query
 def mark_times(spark, sf_dir):
     listed = episodes.mark_times(simple_marks(spark, sf_dir))
-    return listed.select("jsy", "rapid_mark", "part", F.array_join("times", ",").alias("times"))
+    return listed.select("jsy", "rapid_mark", "part", F.array_join("times", ",").alias("times"),
+                         F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, n: a + n).alias("marks"))
 
 
 @query

@@ -417,7 +417,8 @@ def _counts(keys: str, infix: str) -> str:
 ORACLES["mark_counts"] = f"WITH {TEL}, {SIMPLE_MARKS} {_counts('jsy', '')}"
 ORACLES["mark_counts_eh"] = f"WITH {TEL}, {SIMPLE_MARKS} {_counts('jsy, ehstatus', 'eh_')}"
 ORACLES["mark_times"] = f"""WITH {TEL}, {SIMPLE_MARKS} SELECT jsy, rapid_mark, longtime // 86400 AS part,
-  string_agg(cast(longtime AS varchar), ',' ORDER BY longtime) AS times FROM mk GROUP BY ALL"""
+  string_agg(DISTINCT cast(longtime AS varchar), ',' ORDER BY cast(longtime AS varchar)) AS times,
+  count(*) AS marks FROM mk GROUP BY ALL"""
 
 
 def fold_events(src: str, keys: str, name: str = "ec") -> str:
@@ -522,7 +523,7 @@ tt AS (SELECT *, end_time - begin_time AS seconds FROM trip)"""
 TAXI_TRIPS, BUS_TRIPS = trips(("0", "2", "3", "4")), trips(("0", "4", "5", "6"), True)
 ORACLES["trips_any"] = f"WITH {TEL}, {TAXI_TRIPS} SELECT * EXCLUDE (trip_no) FROM tt"
 ORACLES["trips_bus"] = f"WITH {TEL}, {BUS_TRIPS} SELECT * EXCLUDE (trip_no) FROM tt"
-ORACLES["trip_mark_lists"] = f"""WITH {TEL}, {STEPS}, l AS (SELECT jsy, longtime // 86400 AS part,
+ORACLES["trip_mark_lists"] = f"""WITH {TEL}, {STEPS}, l AS (SELECT jsy, (rank - 1) // 50000 AS part,
   string_agg(cast(mark AS varchar), ':' ORDER BY rank) AS marks,
   string_agg(cast(mark AS varchar), ':' ORDER BY mark) AS sorted_marks,
   {', '.join(f"cast(count(*) FILTER (WHERE mark = {i}) AS int) AS n{i}" for i in (1, 2, 3))}

@@ -99,9 +99,26 @@ def test_perfect_score_is_capped(spark):
     assert scores.total_score(row, "bus", cap=None).first().comprehensive_score == pytest.approx(100.0)
 
 
-def test_trip_lists_are_cut_by_time(stored):
-    lists = trips.trip_mark_lists(trips.step_marks(stored), part=600)
-    whole = trips.trip_mark_lists(trips.step_marks(stored), part=10**9)
+def test_trip_lists_are_cut_by_block(stored):
+    lists = trips.trip_mark_lists(trips.step_marks(stored, size=10))
+    whole = trips.trip_mark_lists(trips.step_marks(stored))
+    assert lists.count() > whole.count()
     joined = lists.groupBy("jsy").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
         F.struct("part", "marks"))), lambda x: x["marks"]), ":").alias("m"))
     assert joined.exceptAll(whole.select("jsy", F.col("marks").alias("m"))).count() == 0
+
+
+def test_equal_times_count_once(spark):
+    rows = [("a", i, 100 + 10 * (i // 2), 30.0 + i, 0.0, 119.4, 32.2, "1") for i in range(8)]
+    fixes = spark.createDataFrame(rows, "jsy string, event_id bigint, longtime bigint, speed double, "
+                                        "orientation double, llon double, llat double, ehstatus string")
+    got = trips.step_marks(fixes).select("event_id", "rank").collect()
+    assert sorted((r.event_id, r["rank"]) for r in got) == [(0, 1), (2, 2), (4, 3), (6, 4)]
+    times = episodes.mark_times(fixes.withColumn("rapid_mark", F.lit(1))).first()
+    assert times.times == [100, 110, 120, 130] and times.counts == [2, 2, 2, 2]
+
+
+def test_pairs_without_a_tie_column(stored):
+    p = PRESETS["bus_jr_offline"]
+    found = marks.learn_and_mark(pairs.add_motion(pairs.pair_fixes(stored, tie=())), p)
+    assert found.count() == 83
