@@ -33,12 +33,21 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_to_end(df: DataFrame, name: str) -> DataFrame:
-    """Process everything there is, write it as a table and read it back."""
+    """Process everything there is, write it as a table and read it back.
+
+    Every state partition costs a store and a Python worker per stateful step,
+    so there are no more of them than cores.
+    """
     spark = df.sparkSession
     base = f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
-    query = (df.writeStream.format("parquet").option("path", f"{base}/rows")
-             .option("checkpointLocation", f"{base}/state").outputMode("append")
-             .trigger(availableNow=True).start())
+    partitions = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
+    try:
+        query = (df.writeStream.format("parquet").option("path", f"{base}/rows")
+                 .option("checkpointLocation", f"{base}/state").outputMode("append")
+                 .trigger(availableNow=True).start())
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
     query.awaitTermination()
     return spark.read.schema(df.schema).parquet(f"{base}/rows")
 
