@@ -39,4 +39,29 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN a USING (doc_id)
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op9_secrets": OP9}
+OP5 = r"""
+WITH l AS (SELECT doc_id, k, line, regexp_replace(' ' || line, ' [^ 0-9]*[0-9][^ ]*', ' <*>', 'g')[2:] AS form
+           FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
+                        unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS k FROM documents)),
+f AS (SELECT form, string_split(form, ' ') AS tokens, len(string_split(form, ' ')) AS places,
+             list_slice(string_split(form, ' '), 1, 3) AS head, count(DISTINCT doc_id) AS docs
+      FROM l WHERE trim(line, ' ') <> '' GROUP BY form),
+mixed AS (SELECT places, head FROM f GROUP BY ALL HAVING sum(docs) >= 3 AND count(*) > 1),
+m AS (SELECT f.* FROM f SEMI JOIN mixed USING (places, head)),
+t AS (SELECT places, head, unnest(range(places)) AS p, unnest(tokens) AS token, docs FROM m),
+tops AS (SELECT places, head, p, token, sum(docs) AS n, sum(sum(docs)) OVER (PARTITION BY places, head, p) AS total,
+                row_number() OVER (PARTITION BY places, head, p ORDER BY sum(docs) DESC, token DESC) AS k
+         FROM t GROUP BY places, head, p, token),
+const AS (SELECT places, head, p, token, count(*) OVER (PARTITION BY places, head) AS n
+          FROM tops WHERE k = 1 AND n >= 0.5 * total),
+alike AS (SELECT form, any_value(docs) AS docs, places, head
+          FROM m JOIN const USING (places, head) WHERE const.n >= 0.7 * places
+          GROUP BY form, places, head, const.n HAVING count(*) FILTER (tokens[p + 1] = token) >= 0.8 * const.n),
+gone AS (SELECT form FROM f WHERE docs >= 3 UNION
+         SELECT form FROM (SELECT form, sum(docs) OVER (PARTITION BY places, head) AS n FROM alike) WHERE n >= 3)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT dropped), '')) AS kept_sha256
+FROM (SELECT l.*, trim(line, ' ') <> '' AND form IN (SELECT form FROM gone) AS dropped FROM l) GROUP BY doc_id
+"""
+
+ORACLES = {"op2_exact_dedup": OP2, "op5_line_templates": OP5, "op9_secrets": OP9}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, packing, secret_scan, simhash
+from . import decontaminate, exact_dedup, line_templates, packing, secret_scan, simhash, site_style, token_counts, toxicity
 from .tables import table
 
 
@@ -21,6 +21,23 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_templates.line_digests(table(spark, sf_dir, "documents"))
+
+
+def op7_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return site_style.page_texts(table(spark, sf_dir, "pages"))
+
+
+def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = token_counts.piece_vocabulary(public_tokenizers.path("piece_bpe_32k.model"))
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), vocabulary)
+
+
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.secret_counts(table(spark, sf_dir, "documents"))
 
@@ -30,4 +47,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_exact_dedup, op3_simhash, op9_secrets, op10_packing)}
+    op1_decontamination, op2_exact_dedup, op3_simhash, op4_toxicity, op5_line_templates, op7_site_style, op8_token_counts, op9_secrets, op10_packing)}
