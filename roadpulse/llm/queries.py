@@ -5,7 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, line_templates, packing, secret_scan, simhash, site_style, token_counts, toxicity
+from . import decontaminate, exact_dedup, line_templates, packing, secret_scan, simhash, site_style, substrings, \
+    token_counts, toxicity
 from .tables import table
 
 
@@ -29,6 +30,10 @@ def op5_line_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_templates.line_digests(table(spark, sf_dir, "documents"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_digests(table(spark, sf_dir, "documents"))
+
+
 def op7_site_style(spark: SparkSession, sf_dir: str) -> DataFrame:
     return site_style.page_texts(table(spark, sf_dir, "pages"))
 
@@ -47,4 +52,4 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_exact_dedup, op3_simhash, op4_toxicity, op5_line_templates, op7_site_style, op8_token_counts, op9_secrets, op10_packing)}
+    op1_decontamination, op2_exact_dedup, op3_simhash, op4_toxicity, op5_line_templates, op6_substrings, op7_site_style, op8_token_counts, op9_secrets, op10_packing)}
