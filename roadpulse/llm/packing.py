@@ -21,6 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
 from .tables import doc_texts
+from .words import LOWER
 
 CONTEXT = 4096
 #: Context sizes, each with its own tier.
@@ -29,15 +30,20 @@ TIERS = (256, 512, 1024, 2048, 4096)
 GROUP_TOKENS = 256 * CONTEXT
 END = 2
 #: Distinct words whose ids a worker remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 600_000
 _SPECIAL = "<|"
+_LOWER = LOWER.tobytes()
+#: Set between words that are encoded in one call: it is a word of its own and has one id.
+_BETWEEN = "\x01"
+_TAILS = frozenset(".,;:!?")
 
 
 class Encoder:
     """The tokenizer's ids of whole texts, computed word by word.
 
-    Its normaliser and splitter treat the two sides of a space or line break
-    apart from each other, so the ids of a text are those of its words in
+    Its normaliser lower-cases, and its splitter treats the two sides of a
+    space, of a line break, and of a mark that ends a word after a letter or
+    digit apart from each other, so the ids of a text are those of its words in
     order. Texts that may hold special tokens are encoded as a whole.
     """
 
@@ -46,20 +52,46 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.between = self._ids(_BETWEEN)
         self.known: dict[str, bytes] = {}
+        self._start()
+
+    def _ids(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _start(self) -> None:
+        self.known.clear()
+        self.known.update({c: np.array(self._ids(c), "<u4").tobytes() for c in _TAILS})
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words, in one call of the tokenizer."""
+        ids = np.array(self._ids(f" {_BETWEEN} ".join(words)), "<u4")
+        cuts = np.flatnonzero(ids == self.between[0]) if len(self.between) == 1 else ()
+        if len(cuts) == len(words) - 1:
+            data, at = ids.tobytes(), 0
+            for w, cut in zip(words, [*(4 * cuts).tolist(), len(data)] if len(words) > 1 else [len(data)]):
+                self.known[w] = data[at:cut]
+                at = cut + 4
+        else:
+            for w in words:
+                self.known[w] = np.array(self._ids(w), "<u4").tobytes()
 
     def encode(self, text: str) -> np.ndarray:
         if _SPECIAL in text:
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
+            return np.array(self._ids(text), np.uint32)
+        parts = text.encode().translate(_LOWER).decode().replace("\n", " ").split(" ")
         known = self.known
-        parts = text.replace("\n", " ").split(" ")
+        if len(known) > CACHED_WORDS:
+            self._start()
         new = [w for w in dict.fromkeys(parts) if w not in known]
         if new:
-            if len(known) > CACHED_WORDS:
-                known.clear()
-                new = list(dict.fromkeys(parts))
-            for w, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-                known[w] = np.array(e.ids, "<u4").tobytes()
+            ended = [w for w in new if w[-1:] in _TAILS and w[-2:-1].isalnum()]
+            cores = dict.fromkeys(w[:-1] for w in ended)
+            fresh = [w for w in {**cores, **dict.fromkeys(new)} if w not in known and (w in cores or w[-1:] not in _TAILS or not w[-2:-1].isalnum())]
+            if fresh:
+                self._learn(fresh)
+            for w in ended:
+                known[w] = known[w[:-1]] + known[w[-1]]
         return np.frombuffer(b"".join([known[w] for w in parts]), "<u4")
 
 
