@@ -10,8 +10,9 @@ BIN_WIDTH, TOP = 10, 100
 
 
 def driver_number(raw: Column) -> Column:
-    """Job number without leading zeros; unknown drivers become 0."""
-    return F.coalesce(raw, F.lit(NO_DRIVER)).cast("bigint").cast("string")
+    """Job number without leading zeros, text that is no number as it is; unknown drivers become 0."""
+    known = F.coalesce(raw.cast("string"), F.lit(NO_DRIVER))
+    return F.coalesce(known.try_cast("bigint").cast("string"), known)
 
 
 def scores_with_accidents(scores: DataFrame, accidents: DataFrame) -> DataFrame:

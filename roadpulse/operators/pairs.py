@@ -83,6 +83,29 @@ def pair_fixes(fixes: DataFrame, rule: PairRule = BUS, carry: Sequence[str] = ()
     )
 
 
+def every_pair(fixes: DataFrame, keys: Sequence[str] = ("jsy",), speed_before: float | None = None, earlier: int = 1,
+               carry: Sequence[str] = (), tie: Sequence[str] = ("event_id",), heading: str = "orientation") -> DataFrame:
+    """Each fix with the one before it, however far away, in the columns of ``pair_fixes``.
+
+    Only later times form a pair. With ``earlier`` = 2 a fix needs two fixes
+    before it, in order, as the detectors do that keep two states.
+    """
+    source = fixes.withColumn("heading", F.col(heading))
+    if speed_before is not None:
+        source = source.where(F.col("speed") <= F.lit(speed_before))
+    source = source.select(*dict.fromkeys([*keys, *PREVIOUS, *tie, *carry]))
+    rows = neighbours(source, list(keys), list(PREVIOUS), back=earlier, tie=tie).where("longtime > p1.longtime")
+    if earlier > 1:
+        rows = rows.where("p1.longtime > p2.longtime")
+    return rows.select(
+        *keys, *tie, *[c for c in carry if c not in (*keys, *tie)],
+        F.col("p1.llon").alias("prelon"), F.col("p1.llat").alias("prelat"), F.col("p1.longtime").alias("pretime"),
+        F.col("p1.speed").alias("v0_kmh"), F.col("speed").alias("v1_kmh"),
+        motion.metres_per_second(F.col("p1.speed")).alias("prespeed"), F.col("p1.heading").alias("preorien"),
+        "llon", "llat", "longtime", motion.metres_per_second(F.col("speed")).alias("lspeed"),
+        F.col("heading").alias("orientation"), (F.col("longtime") - F.col("p1.longtime")).alias("time_interval"))
+
+
 def add_motion(pairs: DataFrame, full_circle: float = motion.FULL_CIRCLE_DEGREES,
                limits: str = "truncated", limits_read: str = "ms",
                distance: str = "reference") -> DataFrame:

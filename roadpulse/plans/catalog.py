@@ -11,7 +11,7 @@ from ..functions import grading, motion, text
 from ..functions.envelope import VARIANTS, mileage_limits
 from ..operators import accidents as acc
 from ..operators import cells, driver_sigma, episodes, marks, ranks, scores, thresholds, trips, weights
-from ..operators.pairs import BUS, TAXI, PairRule, add_motion, pair_fixes
+from ..operators.pairs import BUS, TAXI, PairRule, add_motion, every_pair, pair_fixes
 from ..operators.presets import PRESETS
 from ..operators.slices import attach_row
 from ..functions.registry import register_sql_functions
@@ -122,9 +122,17 @@ def fences_global(spark, sf_dir):
     return tidy(thresholds.global_limits(materialise(bus_motion(spark, sf_dir).select("a_speed", "gap"), "gaps")))
 
 
-def _stat_pairs(spark, sf_dir, speed, **kw):
-    rule = PairRule(speed_before=speed, speed_after=None, **kw)
-    return thresholds.add_published_motion(pair_fixes(telemetry(spark, sf_dir), rule))
+def _stat_pairs(spark, sf_dir, speed):
+    """Consecutive fixes below the speed limit, at any distance in time."""
+    return thresholds.add_published_motion(every_pair(telemetry(spark, sf_dir), speed_before=speed))
+
+
+def _third_fixes(spark, sf_dir, below=None, gaps=None):
+    """Pairs of fixes that have two others before them, as the stateful rules see them."""
+    pairs = every_pair(telemetry(spark, sf_dir), earlier=2)
+    if gaps is not None:
+        pairs = pairs.where(F.col("time_interval").between(*gaps))
+    return pairs if below is None else pairs.where(F.col("v1_kmh") < F.lit(below))
 
 
 @query
@@ -217,64 +225,63 @@ def marks_gap_band(spark, sf_dir):
     return tidy(marks.gap_band_mark(m, 0.885, -0.878).select(*MARKED))
 
 
-def _fixed_marks(spark, sf_dir, name, rule):
+def _fixed_marks(spark, sf_dir, name, below=None):
     p = PRESETS[name]
-    m = bus_motion(spark, sf_dir, rule, limits=p.limits, limits_read=p.limits_read)
+    m = add_motion(_third_fixes(spark, sf_dir, below, (5, 60)), limits=p.limits, limits_read=p.limits_read)
     mark = marks.band_mark(marks.batch_limits(p), p.straight, p.turn_first)
     return tidy(marks.with_marks(m, mark).select(*MARKED))
 
 
 @query
 def marks_bus_detail(spark, sf_dir):
-    return _fixed_marks(spark, sf_dir, "bus_detail_stream", PairRule(speed_after=80.0, strict=True))
+    return _fixed_marks(spark, sf_dir, "bus_detail_stream", 80.0)
 
 
 @query
 def marks_bus_event(spark, sf_dir):
-    return _fixed_marks(spark, sf_dir, "bus_event_stream", PairRule(speed_after=None))
+    return _fixed_marks(spark, sf_dir, "bus_event_stream")
 
 
 @query
 def marks_taxi_detail_old(spark, sf_dir):
-    return _fixed_marks(spark, sf_dir, "taxi_detail_bk", PairRule(speed_after=120.0, strict=True))
+    return _fixed_marks(spark, sf_dir, "taxi_detail_bk", 120.0)
 
 
 @query
 def marks_taxi_event_old(spark, sf_dir):
-    return _fixed_marks(spark, sf_dir, "taxi_event_bk", PairRule(speed_after=120.0, strict=True))
+    return _fixed_marks(spark, sf_dir, "taxi_event_bk", 120.0)
 
 
 @query
 def marks_bus_event_old(spark, sf_dir):
-    return _fixed_marks(spark, sf_dir, "bus_event_bk", PairRule(speed_after=None))
+    return _fixed_marks(spark, sf_dir, "bus_event_bk")
 
 
 @query
 def marks_taxi_learned(spark, sf_dir):
     """Stream order of the rules with limits from the published statistics."""
     stats = thresholds.published_stats(_stat_pairs(spark, sf_dir, 120.0))
-    m = bus_motion(spark, sf_dir, PairRule(speed_after=120.0, strict=True), limits="ramp")
+    m = add_motion(_third_fixes(spark, sf_dir, 120.0, (5, 60)), limits="ramp")
     mark = marks.band_mark(marks.published_limits("stats"), straight=30.0, turn_first=False)
     return tidy(marks.with_marks(attach_row(m, stats, "stats"), mark).select(*MARKED))
 
 
 @query
 def marks_simple(spark, sf_dir):
-    return tidy(marks.with_marks(free_pairs(spark, sf_dir), marks.simple_mark()).select(*MARKED))
+    return tidy(marks.with_marks(add_motion(_third_fixes(spark, sf_dir)), marks.simple_mark()).select(*MARKED))
 
 
 @query
 def marks_or_rule(spark, sf_dir):
     stats = thresholds.published_stats(_stat_pairs(spark, sf_dir, 80.0), mode="moments")
-    m = attach_row(free_pairs(spark, sf_dir), stats, "stats")
+    m = attach_row(add_motion(_third_fixes(spark, sf_dir)), stats, "stats")
     return tidy(marks.with_marks(m, marks.either_mark("stats")).select(*MARKED))
 
 
 @query
 def marks_iqr_rule(spark, sf_dir):
     stats = thresholds.published_stats(_stat_pairs(spark, sf_dir, 80.0), mode="full")
-    pairs = pair_fixes(telemetry(spark, sf_dir), PairRule(speed_after=None))
-    m = add_motion(thresholds.add_published_motion(pairs))
+    m = add_motion(thresholds.add_published_motion(_third_fixes(spark, sf_dir)))
     mark = marks.fence_mark("stats")
     return tidy(marks.with_marks(attach_row(m, stats, "stats"), mark).select(*MARKED))
 

@@ -14,7 +14,7 @@ PLACES = {0: "section", 1: "cross", 2: "station"}
 
 
 def free_pairs(spark: SparkSession, sf_dir: str, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs 5-60 s apart at any speed, with their motion."""
+    """Pairs 5-60 s apart, the gaps that mileage and counts are taken over, at any speed, with their motion."""
     return add_motion(pair_fixes(telemetry(spark, sf_dir), PairRule(speed_after=None), carry=carry))
 
 

@@ -45,14 +45,16 @@ def rr(names: str, digits: int = 6) -> str:
 
 
 def pairs(name: str = "pr", keys: str = "jsy", before: float | None = None, after: float | None = 80,
-          strict: bool = False, lo: int = 5, hi: int = 60, heading: str = "orientation") -> str:
+          strict: bool = False, lo: int = 5, hi: int | None = 60, heading: str = "orientation", third: bool = False) -> str:
     where = "" if before is None else f"WHERE speed <= {before}"
-    keep = f"longtime - pretime BETWEEN {lo} AND {hi}"
+    keep = f"longtime - pretime >= {lo}" + ("" if hi is None else f" AND longtime - pretime <= {hi}")
+    if third:
+        keep += " AND pretime > pptime"
     if after is not None:
         keep += f" AND speed < {after}" if strict else f" AND speed <= {after} AND v0 <= {after}"
     return f"""
 {name}_w AS (SELECT *, lag(llon) OVER w AS prelon, lag(llat) OVER w AS prelat, lag(longtime) OVER w AS pretime,
-  lag(speed) OVER w AS v0, lag({heading}) OVER w AS preorien, lag(roadcross) OVER w AS preroadcross,
+  lag(longtime, 2) OVER w AS pptime, lag(speed) OVER w AS v0, lag({heading}) OVER w AS preorien, lag(roadcross) OVER w AS preroadcross,
   lag(isturn) OVER w AS preisturn
   FROM tel {where} WINDOW w AS (PARTITION BY {keys} ORDER BY longtime, event_id)),
 {name} AS (SELECT jsy, dbuscard, event_id, ehstatus, roadcross, isturn, roadsection, wayname, waytype,
@@ -189,7 +191,7 @@ def turning(cond: str, quart: bool = True, turn: bool = False, rnd: bool = True)
 def stats(name: str, mode: str, rnd: bool, prefix: str = "sp") -> str:
     """CTEs ending in a one-row ``name`` with the published statistics."""
     speed = 120 if mode == "two_pass" else 80
-    base = f"{pairs(prefix, before=speed, after=None)}, {published(prefix, prefix + 's')}"
+    base = f"{pairs(prefix, before=speed, after=None, lo=1, hi=None)}, {published(prefix, prefix + 's')}"
     src = f"{prefix}s"
     if mode == "two_pass":
         mean = r("max(avg_turn)") if rnd else "max(avg_turn)"
@@ -305,11 +307,11 @@ for _name, _pairs, _args in (
         ("marks_bus_event_old", dict(after=None), dict(
             up="0.885", dn="-0.878", lo="26.256", hi="41.484", turn=45, rate=20.486, speed=33.79))):
     ORACLES[_name] = marked(
-        f"{pairs(**_pairs)}, {motion(variant='truncated' if _name == 'marks_bus_event_old' else 'ramp')}",
+        f"{pairs(**_pairs, third=True)}, {motion(variant='truncated' if _name == 'marks_bus_event_old' else 'ramp')}",
         band(**_args, turn_first=False))
 
 ORACLES["marks_taxi_learned"] = marked(
-    f"{pairs(after=120, strict=True)}, {motion(variant='ramp')}, {stats('stat', 'two_pass', False)}, "
+    f"{pairs(after=120, strict=True, third=True)}, {motion(variant='ramp')}, {stats('stat', 'two_pass', False)}, "
     "ms AS (SELECT * FROM mo, stat)",
     band("avg_upaspeed + 3 * std_upaspeed", "avg_dnaspeed - 3 * std_upaspeed", "iqr_updist", "iqr_updist_max",
          turn="avg_turn", rate="avg_aturn + 3 * std_aturn", speed="avg_tnspeed + 3 * std_tnspeed",
@@ -319,11 +321,12 @@ SIMPLE = case(("a_speed > 0.763468 AND v1 > 20.5", 1), ("a_speed < -0.763468 AND
               ("angle_speed > 11.5 AND (v0 + v1) / 2 > 20.5", 3))
 FREE = f"{pairs(after=None)}, {motion()}"
 SIMPLE_MARKS = f"{FREE}, mk AS (SELECT * FROM (SELECT *, {SIMPLE} AS rapid_mark FROM mo) WHERE rapid_mark <> 0)"
-ORACLES["marks_simple"] = marked(FREE, SIMPLE)
+THIRD = f"{pairs(after=None, lo=1, hi=None, third=True)}, {motion()}"
+ORACLES["marks_simple"] = marked(THIRD, SIMPLE)
 
 _FAST = "(v0 + v1) / 2 > avg_tnspeed + std_tnspeed"
 ORACLES["marks_or_rule"] = marked(
-    f"{FREE}, {stats('stat', 'moments', False)}, ms AS (SELECT * FROM mo, stat)",
+    f"{THIRD}, {stats('stat', 'moments', False)}, ms AS (SELECT * FROM mo, stat)",
     case((f"""(a_speed > avg_upaspeed + 2 * std_upaspeed AND gap > avg_updist + std_updist)
       OR (a_speed > avg_upaspeed + 3 * std_upaspeed AND {_FAST})
       OR (a_speed > 0 AND gap > avg_updist + 3 * std_updist AND time_interval <= 30)""", 1),
@@ -333,7 +336,7 @@ ORACLES["marks_or_rule"] = marked(
          (f"angle_speed > avg_aturn + std_aturn AND orient > 60 AND {_FAST}", 3)), "ms")
 
 ORACLES["marks_iqr_rule"] = marked(
-    f"{FREE}, {stats('stat', 'full', False)}, "
+    f"{THIRD}, {stats('stat', 'full', False)}, "
     "ms AS (SELECT *, abs(actual_dist / time_interval * 3.6 - (v0 + v1) / 2) AS vgap FROM mo, stat)",
     case(("a_speed > iqr_upaspeed AND gap > iqr_updist AND vgap > iqr_upgap AND time_interval <= 30", 1),
          ("a_speed < iqr_dnaspeed AND gap > iqr_dndist AND vgap > iqr_dngap AND time_interval <= 30", 2),

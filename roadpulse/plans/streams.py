@@ -16,6 +16,9 @@ from ..streaming.state import alarms as stream_alarms_of
 from .fixture import table
 from .inputs import over_code
 
+#: Input of a micro-batch.
+BATCH_BYTES = 1 << 30
+
 FIXES = [
     "cast(user_id AS string) AS jsy", "event_id", "'B' || cast(user_id % 40 AS string) AS dbuscard",
     "unix_timestamp(ts) div 600 AS longtime", "least(round(value, 1), cast(130 AS double)) AS speed",
@@ -28,7 +31,8 @@ FIXES = [
 
 def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
-    raw = (spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    # a pattern, since only then may the table be one file as well as a folder of files
+    raw = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(f"{sf_dir}/events.parque[t]")
     return detectors.with_event_time(raw.selectExpr(*FIXES))
 
 

@@ -148,3 +148,23 @@ def test_published_statistics_feed_the_detector(spark, source, tmp_path):
     mark = marks.band_mark(marks.published_limits("stats"), straight=30.0, turn_first=False)
     batch = marks.with_marks(attach_row(m.join(rank.where("rank >= 3"), ["jsy", "event_id"]), stats, "stats"), mark)
     assert sorted(map(tuple, written)) == sorted(map(tuple, batch.select("jsy", "event_id", "rapid_mark").collect()))
+
+
+def test_stream_reads_a_table_of_many_files(spark, data, tmp_path):
+    from roadpulse.plans import streams
+
+    spark.read.parquet(f"{data}/events.parquet").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    rows = lambda d: {tuple(r) for r in streams.steps(spark, d).collect()}
+    whole = rows(data)
+    assert whole and rows(str(tmp_path)) == whole
+
+
+def test_every_pair_takes_any_gap(spark):
+    from roadpulse.operators.pairs import every_pair
+
+    at = [0, 3, 1000, 1000, 90_000]
+    fixes = spark.createDataFrame([("a", i, t, 50.0, 0.0, 116.0, 32.0) for i, t in enumerate(at)],
+                                  "jsy string, event_id long, longtime long, speed double, orientation double, llon double, llat double")
+    gaps = lambda n: sorted((r.event_id, r.time_interval) for r in every_pair(fixes, earlier=n).collect())
+    assert gaps(1) == [(1, 3), (2, 997), (4, 89_000)]
+    assert gaps(2) == [(2, 997)]
