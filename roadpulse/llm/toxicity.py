@@ -46,7 +46,7 @@ def held_out() -> Column:
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
 @dataclass
@@ -89,6 +89,8 @@ class Lexicon:
             if e > self.room[node] or best.get(node, 99) <= e:
                 continue
             best[node] = e
+            if node == 0:
+                continue
             todo += [(child, e + 1) for child in self.children[node].values()]
         if not best:
             return -1
@@ -100,6 +102,8 @@ class Lexicon:
         return self.ids[key]
 
     def _step(self, state: int, c: str) -> int:
+        if state == self.start:  # a term's first letter is right
+            return self._state({(self.children[0][c], 0)} if c in self.children[0] else set())
         after = set()
         for node, e in self.sets[state]:
             for letter, child in self.children[node].items():
@@ -111,7 +115,9 @@ class Lexicon:
         """The nearest term and its distance, the likeliest of equally near ones."""
         if word in self.known:
             return self.known[word]
-        if len(self.known) > 300_000 or len(self.sets) > 50_000:
+        if len(self.known) > 300_000:
+            self.known.clear()
+        if len(self.sets) > 100_000:
             self._reset()
         state, found = self.start, None
         for c in word:
@@ -205,14 +211,27 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
     return Lexicon({w: float(np.log(r.ratio)) for w, r in words.items() if not any(w.startswith(s) for s in stems)}, stems)
 
 
+#: A worker's lexicons with the automata it has built, over the tasks that it runs.
+_built: dict[tuple, Lexicon] = {}
+
+
+def built(words: dict[str, float], stems: dict[str, float]) -> Lexicon:
+    key = (tuple(words.items()), tuple(stems.items()))
+    if key not in _built:
+        _built.clear()
+        _built[key] = Lexicon(words, stems)
+    return _built[key]
+
+
 @dataclass(frozen=True)
 class Model:
-    lexicon: Lexicon
+    words: dict[str, float]
+    stems: dict[str, float]
     weights: tuple[float, ...]
     bias: float
 
-    def score(self, text: str) -> float:
-        z = self.bias + float(np.dot(self.weights, features(text, self.lexicon)))
+    def score(self, text: str, lexicon: Lexicon) -> float:
+        z = self.bias + float(np.dot(self.weights, features(text, lexicon)))
         return float(1 / (1 + np.exp(-np.clip(z, -40, 40))))
 
 
@@ -230,20 +249,23 @@ def fit(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> Model:
                     .select("text", (F.col("toxic") == 1).alias("toxic")), "sample")
     lexicon = learn_lexicon(sample)
 
+    words, stems = lexicon.words, lexicon.stems
+
     def run(batch: pa.RecordBatch):
+        lexicon = built(words, stems)
         yield {"x": [features(t, lexicon) for t in batch.column("text").to_pylist()], "y": batch.column("toxic")}
     rows = map_batches(sample, run, "x array<double>, y boolean").toPandas()  # the bounded sample's few numbers
     y = rows["y"].to_numpy(float)
     if not len(y) or y.min() == y.max():
         share = float(y.mean()) if len(y) else 0.0
-        return Model(lexicon, (0.0,) * len(FEATURES), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
+        return Model(words, stems, (0.0,) * len(FEATURES), float(np.log((share + 1e-9) / (1 - share + 1e-9))))
     x = np.column_stack([np.ones(len(y)), np.array(rows["x"].tolist())])
     w, ridge = np.zeros(x.shape[1]), np.full(x.shape[1], 0.05)
     ridge[0] = 1e-6
     for _ in range(30):  # Newton's method
         p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
         w -= np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + np.diag(ridge), x.T @ (p - y) + ridge * w)
-    return Model(lexicon, tuple(w[1:]), float(w[0]))
+    return Model(words, stems, tuple(w[1:].tolist()), float(w[0]))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -256,7 +278,8 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     ids = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batch: pa.RecordBatch):
-        s = np.array([model.score(t) for t in batch.column("text").to_pylist()])
+        lexicon = built(model.words, model.stems)
+        s = np.array([model.score(t, lexicon) for t in batch.column("text").to_pylist()])
         yield {"doc_id": batch.column("doc_id"), "score": s, "predicted": (s >= 0.5).astype(np.int32)}
     return map_batches(doc_texts(docs), run, f"doc_id {ids}, score double, predicted int").select(
         "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score", "predicted")
@@ -273,7 +296,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFr
     text = names.index("text")
 
     def run(batches):
+        lexicon = built(model.words, model.stems)
         for batch in batches:
-            keep = pa.array([model.score(t or "") < 0.5 for t in batch.column(text).to_pylist()], pa.bool_())
+            keep = pa.array([model.score(t or "", lexicon) < 0.5 for t in batch.column(text).to_pylist()], pa.bool_())
             yield batch.filter(keep)
     return docs.mapInArrow(run, docs.schema)
