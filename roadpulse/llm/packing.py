@@ -30,7 +30,7 @@ TIERS = (256, 512, 1024, 2048, 4096)
 GROUP_TOKENS = 256 * CONTEXT
 END = 2
 #: Distinct words whose ids a worker remembers.
-CACHED_WORDS = 600_000
+CACHED_WORDS = 250_000
 _SPECIAL = "<|"
 _LOWER = LOWER.tobytes()
 #: Set between words that are encoded in one call: it is a word of its own and has one id.

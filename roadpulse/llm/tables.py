@@ -13,6 +13,10 @@ from pyspark.sql import types as T
 from roadpulse.session import checkpoint_dir, materialise
 
 
+#: Rows that a function sees at a time, so that few texts are Python objects at once.
+SLICE_ROWS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -37,12 +41,11 @@ def map_batches(df: DataFrame, fn, schema: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            for columns in fn(batch):
-                yield pa.RecordBatch.from_arrays(
-                    [columns[n] if isinstance(columns[n], pa.Array) else pa.array(columns[n], t) for n, t in fields],
-                    [n for n, _ in fields])
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                for columns in fn(batch.slice(at, SLICE_ROWS)):
+                    yield pa.RecordBatch.from_arrays(
+                        [columns[n] if isinstance(columns[n], pa.Array) else pa.array(columns[n], t) for n, t in fields],
+                        [n for n, _ in fields])
     return df.mapInArrow(run, schema)
 
 

@@ -21,7 +21,7 @@ from .tables import doc_texts, map_batches
 #: What a word's begin looks like in the vocabulary, and what an unknown character costs more than the worst piece.
 BEGIN, UNKNOWN = "▁", 10.0
 #: Distinct words whose counts a worker remembers.
-CACHED_WORDS = 400_000
+CACHED_WORDS = 250_000
 
 
 def piece_vocabulary(path: str) -> list[tuple[str, float]]:

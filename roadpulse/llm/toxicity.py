@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import doc_texts, map_batches, stored
+from .tables import SLICE_ROWS, doc_texts, map_batches, stored
 
 #: Labelled documents that the model is fitted on, chosen by a hash of their id.
 SAMPLE = 20_000
@@ -115,9 +115,9 @@ class Lexicon:
         """The nearest term and its distance, the likeliest of equally near ones."""
         if word in self.known:
             return self.known[word]
-        if len(self.known) > 300_000:
+        if len(self.known) > 100_000:
             self.known.clear()
-        if len(self.sets) > 100_000:
+        if len(self.sets) > 20_000:
             self._reset()
         state, found = self.start, None
         for c in word:
@@ -297,7 +297,7 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, most: int = SAMPLE) -> DataFr
 
     def run(batches):
         lexicon = built(model.words, model.stems)
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             keep = pa.array([model.score(t or "", lexicon) < 0.5 for t in batch.column(text).to_pylist()], pa.bool_())
             yield batch.filter(keep)
     return docs.mapInArrow(run, docs.schema)
