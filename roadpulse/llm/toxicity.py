@@ -11,7 +11,8 @@ to an address or further hits it is abuse. A logistic model weighs the sums.
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Iterable
 from dataclasses import dataclass, field
 
 import numpy as np
@@ -49,6 +50,25 @@ def edits_allowed(term: str) -> int:
     return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
 
 
+def intact_pieces(terms: Iterable[str]) -> dict[tuple[str, int], list[tuple[int, int, set[str]]]]:
+    """(first letter, length) of a word -> (from, to, pieces): what such a word holds there if it is near a term.
+
+    ``k`` edits leave one of ``k + 1`` pieces of a term whole. Moved by ``s``
+    letters, it has ``|s|`` edits before it and, in a word longer by ``d``,
+    ``|d - s|`` after it, together at most ``k``.
+    """
+    found: dict[tuple[str, int], dict[tuple[int, int], set[str]]] = defaultdict(lambda: defaultdict(set))
+    for term in terms:
+        m, k = len(term), edits_allowed(term)
+        cuts = [1 + (m - 1) * i // (k + 1) for i in range(k + 2)]
+        for a, b in zip(cuts, cuts[1:]):
+            for d in range(-k, k + 1):
+                for s in range(-k, k + 1):
+                    if k and abs(s) + abs(d - s) <= k and a + s >= 1 and b + s <= m + d:
+                        found[term[0], m + d][a + s, b + s].add(term[a:b])
+    return {key: [(at, to, pieces) for (at, to), pieces in spans.items()] for key, spans in found.items()}
+
+
 @dataclass
 class Lexicon:
     """Terms with weights; a trie whose walk with edits is kept as states of an automaton."""
@@ -72,6 +92,7 @@ class Lexicon:
                     node = self.children[node][c]
                     self.room[node] = max(self.room[node], edits)  # edits that some term below allows
                 at[node] = term
+        self.pieces = intact_pieces(self.words)
         self._reset()
 
     def _reset(self) -> None:
@@ -119,30 +140,28 @@ class Lexicon:
             self.known.clear()
         if len(self.sets) > 20_000:
             self._reset()
-        state, found = self.start, None
+        found = (word, 0) if word in self.words else self._walk(word) if self.may_match(word) else None
+        if found is None or found[1]:
+            stem = next((word[:n] for n in range(1, len(word) + 1) if word[:n] in self.stems), None) if self.stems else None
+            if stem is not None:
+                found = stem, 0
+        self.known[word] = found
+        return found
+
+    def may_match(self, word: str) -> bool:
+        """Whether some term within its edits has a piece that ``word`` holds unedited."""
+        return any(word[at:to] in pieces for at, to, pieces in self.pieces.get((word[:1], len(word)), ()))
+
+    def _walk(self, word: str) -> tuple[str, int] | None:
+        state = self.start
         for c in word:
             steps = self.steps[state]
             state = steps[c] if c in steps else steps.setdefault(c, self._step(state, c))
             if state < 0:
-                break
-        else:
-            ends = [(e, -self.words[self.word_at[n]], self.word_at[n]) for n, e in self.sets[state]
-                    if n in self.word_at and e <= edits_allowed(self.word_at[n])]
-            if ends:
-                e, _, term = min(ends)
-                found = term, e
-        if found is None or found[1]:
-            node = 0
-            for c in word:
-                if node in self.stem_at:
-                    break
-                node = self.children[node].get(c, -1)
-                if node < 0:
-                    break
-            if node in self.stem_at:
-                found = self.stem_at[node], 0
-        self.known[word] = found
-        return found
+                return None
+        e, _, term = min(((e, -self.words[self.word_at[n]], self.word_at[n]) for n, e in self.sets[state]
+                          if n in self.word_at and e <= edits_allowed(self.word_at[n])), default=(0, 0, None))
+        return None if term is None else (term, e)
 
     def weight(self, term: str) -> float:
         return self.words.get(term, self.stems.get(term, 0.0))
