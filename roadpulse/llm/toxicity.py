@@ -78,59 +78,72 @@ class Lexicon:
     word_at: dict[int, str] = field(default_factory=dict)
     stem_at: dict[int, str] = field(default_factory=dict)
     room: list[int] = field(default_factory=lambda: [0])
+    left: list[int] = field(default_factory=lambda: [0])
 
     def __post_init__(self):
         for terms, at in ((self.words, self.word_at), (self.stems, self.stem_at)):
             for term in terms:
                 node, edits = 0, edits_allowed(term) if terms is self.words else 0
                 self.room[0] = max(self.room[0], edits)
-                for c in term:
+                for depth, c in enumerate(term, 1):
                     if c not in self.children[node]:
                         self.children[node][c] = len(self.children)
                         self.children.append({})
                         self.room.append(0)
+                        self.left.append(0)
                     node = self.children[node][c]
                     self.room[node] = max(self.room[node], edits)  # edits that some term below allows
+                    if terms is self.words:
+                        self.left[node] |= 1 << (len(term) - depth)  # letters to the ends of terms below, as bits
                 at[node] = term
         self.pieces = intact_pieces(self.words)
         self._reset()
 
     def _reset(self) -> None:
-        self.ids: dict[frozenset, int] = {}
+        self.ids: dict[tuple[int, frozenset], int] = {}
         self.sets: list[frozenset] = []
         self.steps: list[dict[str, int]] = []
         self.known: dict[str, tuple[str, int] | None] = {}
-        self.start = self._state({(0, 0)})
+        self.starts: dict[tuple[str, int], int] = {}
 
-    def _state(self, positions: set[tuple[int, int]]) -> int:
-        """The state of these (node, edits), with what skipping letters of a term adds; -1 if there are none."""
+    def _state(self, positions: set[tuple[int, int]], rest: int) -> int:
+        """The state of these (node, edits), with what skipping letters of a term adds, before the word's last ``rest`` letters.
+
+        Nodes from which no term ends within the edits left are not in it; -1 if there are none.
+        """
         todo, best = list(positions), {}
         while todo:
             node, e = todo.pop()
-            if e > self.room[node] or best.get(node, 99) <= e:
-                continue
-            best[node] = e
-            if node == 0:
+            spare = self.room[node] - e
+            if spare < 0 or best.get(node, 99) <= e:
                 continue
-            todo += [(child, e + 1) for child in self.children[node].values()]
+            if self.left[node] << spare >> rest & ((2 << 2 * spare) - 1):  # a term's end is rest - spare to rest + spare letters off
+                best[node] = e
+            if spare:
+                todo += [(child, e + 1) for child in self.children[node].values()]
         if not best:
             return -1
-        key = frozenset(best.items())
+        key = rest, frozenset(best.items())
         if key not in self.ids:
             self.ids[key] = len(self.sets)
-            self.sets.append(key)
+            self.sets.append(key[1])
             self.steps.append({})
         return self.ids[key]
 
-    def _step(self, state: int, c: str) -> int:
-        if state == self.start:  # a term's first letter is right
-            return self._state({(self.children[0][c], 0)} if c in self.children[0] else set())
+    def _start(self, first: str, rest: int) -> int:
+        """The state after a word's first letter, which is that of the term."""
+        if (first, rest) not in self.starts:
+            node = self.children[0].get(first)
+            self.starts[first, rest] = -1 if node is None else self._state({(node, 0)}, rest)
+        return self.starts[first, rest]
+
+    def _step(self, state: int, c: str, rest: int) -> int:
         after = set()
         for node, e in self.sets[state]:
             for letter, child in self.children[node].items():
                 after.add((child, e if letter == c else e + 1))
             after.add((node, e + 1))
-        return self._state(after)
+        return self._state(after, rest)
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its distance, the likeliest of equally near ones."""
@@ -153,12 +166,15 @@ class Lexicon:
         return any(word[at:to] in pieces for at, to, pieces in self.pieces.get((word[:1], len(word)), ()))
 
     def _walk(self, word: str) -> tuple[str, int] | None:
-        state = self.start
-        for c in word:
-            steps = self.steps[state]
-            state = steps[c] if c in steps else steps.setdefault(c, self._step(state, c))
+        rest = len(word) - 1
+        state = self._start(word[0], rest)
+        for c in word[1:]:
             if state < 0:
                 return None
+            rest, steps = rest - 1, self.steps[state]
+            state = steps[c] if c in steps else steps.setdefault(c, self._step(state, c, rest))
+        if state < 0:
+            return None
         e, _, term = min(((e, -self.words[self.word_at[n]], self.word_at[n]) for n, e in self.sets[state]
                           if n in self.word_at and e <= edits_allowed(self.word_at[n])), default=(0, 0, None))
         return None if term is None else (term, e)
