@@ -11,6 +11,7 @@ to an address or further hits it is abuse. A logistic model weighs the sums.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable
 from dataclasses import dataclass, field
@@ -186,23 +187,23 @@ class Lexicon:
 def features(text: str, lexicon: Lexicon) -> list[float]:
     """The sums of FEATURES over the hits of a text."""
     low = text.lower()
-    hits = [(w, m) for w in set(_WORD.findall(low)) if (m := lexicon.match(w))]
-    if not hits:
+    tokens = _WORD.findall(low)
+    of = {w: m for w in set(tokens) if (m := lexicon.match(w))}
+    if not of:
         return [0.0] * len(FEATURES)
-    of = dict(hits)
-    spots, tokens = [], []
-    for t in _WORD.finditer(low):
-        if t[0] in of:
-            spots.append(len(tokens))
-        tokens.append((t.start(), t.end(), t[0]))
+    spots = [i for i, w in enumerate(tokens) if w in of]
+    quotes = [m.start() for m in _QUOTES.finditer(low)]
+    spans = [m.span() for m in _WORD.finditer(low)] if quotes else []
     plain = fuzzy = quoted = addressed = crowded = 0.0
     at = set(spots)
     for i in spots:
-        term, edits = of[tokens[i][2]]
+        term, edits = of[tokens[i]]
         lo, hi = max(0, i - WINDOW), min(len(tokens), i + WINDOW + 1)
-        before = len(_QUOTES.findall(low, tokens[lo][0], tokens[i][0]))
-        after = len(_QUOTES.findall(low, tokens[i][1], tokens[hi - 1][1] + 1))
-        around = {tokens[j][2] for j in range(lo, hi) if j != i}
+        before = after = 0
+        if quotes:
+            before = bisect_left(quotes, spans[i][0]) - bisect_left(quotes, spans[lo][0])
+            after = bisect_left(quotes, spans[hi - 1][1] + 1) - bisect_left(quotes, spans[i][1])
+        around = {*tokens[lo:i], *tokens[i + 1:hi]}
         weight = lexicon.weight(term) / (1 + edits)
         if before % 2 and after or around & REPORTING and before + after:
             quoted += weight
