@@ -109,3 +109,24 @@ def test_pipeline(spark, data):
     kept = {r.doc_id for r in docs.collect()}
     packed = corpus_pipeline.run(spark, data)
     assert {r.doc_id for r in packed.select("doc_id").distinct().collect()} == kept and 0 < len(kept) < before.count()
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, c in enumerate(a, 1):
+        new = [i]
+        for j, d in enumerate(b, 1):
+            new.append(min(row[j] + 1, new[-1] + 1, row[j - 1] + (c != d)))
+        row = new
+    return row[-1]
+
+
+def test_lexicon_finds_all_terms_within_their_edits():
+    rng = np.random.default_rng(5)
+    terms = {"".join(rng.choice(list("abc"), n)): float(w) for w, n in enumerate(rng.integers(1, 13, 80), 1)}
+    lexicon = toxicity.Lexicon(terms, {})
+    for n in rng.integers(1, 15, 1500):
+        word = "".join(rng.choice(list("abc"), n))
+        near = [(e, -w, t) for t, w in terms.items()
+                if t[0] == word[0] and (e := edit_distance(t[1:], word[1:])) <= toxicity.edits_allowed(t)]
+        assert lexicon.match(word) == ((min(near)[2], min(near)[0]) if near else None), word
