@@ -127,9 +127,9 @@ def _stat_pairs(spark, sf_dir, speed):
     return thresholds.add_published_motion(every_pair(telemetry(spark, sf_dir), speed_before=speed))
 
 
-def _third_fixes(spark, sf_dir, below=None, gaps=None):
+def _third_fixes(spark, sf_dir, below=None, gaps=None, carry=()):
     """Pairs of fixes that have two others before them, as the stateful rules see them."""
-    pairs = every_pair(telemetry(spark, sf_dir), earlier=2)
+    pairs = every_pair(telemetry(spark, sf_dir), earlier=2, carry=carry)
     if gaps is not None:
         pairs = pairs.where(F.col("time_interval").between(*gaps))
     return pairs if below is None else pairs.where(F.col("v1_kmh") < F.lit(below))
@@ -225,11 +225,20 @@ def marks_gap_band(spark, sf_dir):
     return tidy(marks.gap_band_mark(m, 0.885, -0.878).select(*MARKED))
 
 
-def _fixed_marks(spark, sf_dir, name, below=None):
+def _preset_motion(spark, sf_dir, name, below=None, carry=()):
+    """Marked pairs of a preset with fixed limits, with all motion columns."""
     p = PRESETS[name]
-    m = add_motion(_third_fixes(spark, sf_dir, below, (5, 60)), limits=p.limits, limits_read=p.limits_read)
-    mark = marks.band_mark(marks.batch_limits(p), p.straight, p.turn_first)
-    return tidy(marks.with_marks(m, mark).select(*MARKED))
+    m = add_motion(_third_fixes(spark, sf_dir, below, (5, 60), carry), limits=p.limits, limits_read=p.limits_read)
+    return marks.with_marks(m, marks.band_mark(marks.batch_limits(p), p.straight, p.turn_first))
+
+
+def _fixed_marks(spark, sf_dir, name, below=None):
+    return tidy(_preset_motion(spark, sf_dir, name, below).select(*MARKED))
+
+
+def _detail_marks(spark, sf_dir):
+    """Marks of the bus detail detector, whose alarms and cells are written."""
+    return _preset_motion(spark, sf_dir, "bus_detail_stream", 80.0, ("dbuscard",))
 
 
 @query
@@ -388,7 +397,7 @@ def alarms_sliding(spark, sf_dir):
 @query
 def alarm_texts(spark, sf_dir):
     p = PRESETS["bus_detail_stream"]
-    m = simple_marks(spark, sf_dir)
+    m = _detail_marks(spark, sf_dir)
     tip = text.alarm_text(F.col("rapid_mark"), F.col("a_speed"), F.lit(p.accel), F.lit(p.brake),
                           *[F.col(c) for c in ("up_min", "up_max", "dn_min", "dn_max", "actual_dist")])
     return m.select("jsy", "event_id", text.scatter_key(F.col("jsy"), F.col("longtime")).alias("rowkey"),
@@ -607,7 +616,7 @@ def cells_regions(spark, sf_dir):
 
 @query
 def mark_detail_cells(spark, sf_dir):
-    m = simple_marks(spark, sf_dir, ("dbuscard",))
+    m = _detail_marks(spark, sf_dir)
     rows = m.select(text.scatter_key(F.col("jsy"), F.col("longtime")).alias("rowkey"), "longtime", "dbuscard",
                     F.col("time_interval").cast("string").alias("interval"),
                     text.fixed(F.col("orient"), 1).alias("angle"),
@@ -666,7 +675,7 @@ def csv_round_trip(spark, sf_dir):
 @query
 def alarm_rows(spark, sf_dir):
     p = PRESETS["bus_detail_stream"]
-    m = simple_marks(spark, sf_dir, ("dbuscard",))
+    m = _detail_marks(spark, sf_dir)
     tip = text.alarm_text(F.col("rapid_mark"), F.col("a_speed"), F.lit(p.accel), F.lit(p.brake),
                           *[F.col(c) for c in ("up_min", "up_max", "dn_min", "dn_max", "actual_dist")])
     return jdbc.alarm_rows(m.withColumn("tips", tip)).drop("updatetime")

@@ -321,6 +321,9 @@ SIMPLE = case(("a_speed > 0.763468 AND v1 > 20.5", 1), ("a_speed < -0.763468 AND
               ("angle_speed > 11.5 AND (v0 + v1) / 2 > 20.5", 3))
 FREE = f"{pairs(after=None)}, {motion()}"
 SIMPLE_MARKS = f"{FREE}, mk AS (SELECT * FROM (SELECT *, {SIMPLE} AS rapid_mark FROM mo) WHERE rapid_mark <> 0)"
+DETAIL = band("0.503", "-0.500", "19.387", "31.020", 89.30, 14.98, 28.95, straight=30, turn_first=False)
+DETAIL_MARKS = (f"{pairs(strict=True, third=True)}, {motion(variant='ramp')}, "
+                f"mk AS (SELECT * FROM (SELECT *, {DETAIL} AS rapid_mark FROM mo) WHERE rapid_mark <> 0)")
 THIRD = f"{pairs(after=None, lo=1, hi=None, third=True)}, {motion()}"
 ORACLES["marks_simple"] = marked(THIRD, SIMPLE)
 
@@ -477,7 +480,7 @@ def _tip(limit: str, low: str, high: str) -> str:
             f"{_num(low, 2)} || 'm - ' || {_num(high, 2)} || 'm]; actual mileage ' || {_num('actual_dist', 2)} || 'm'")
 
 
-ORACLES["alarm_texts"] = f"""WITH {TEL}, {SIMPLE_MARKS} SELECT jsy, event_id,
+ORACLES["alarm_texts"] = f"""WITH {TEL}, {DETAIL_MARKS} SELECT jsy, event_id,
   jsy || '_' || reverse(cast(longtime AS varchar)) AS rowkey,
   strftime(make_timestamp(pretime * 1000000), '%Y-%m-%d %H:%M:%S') AS start_time,
   strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S') AS end_time,
@@ -749,7 +752,7 @@ ORACLES["cells_regions"] = f"""WITH {CELLS}, {SPLITS},
 p AS (SELECT rowkey, cast((SELECT count(*) FROM split s WHERE s.rowkey <= cell.rowkey) AS int) AS region FROM cell
   WHERE value IS NOT NULL)
 SELECT region, count(*) AS cells, min(rowkey) AS first_key, max(rowkey) AS last_key FROM p GROUP BY region"""
-ORACLES["mark_detail_cells"] = f"""WITH {TEL}, {SIMPLE_MARKS},
+ORACLES["mark_detail_cells"] = f"""WITH {TEL}, {DETAIL_MARKS},
 d AS (SELECT jsy || '_' || reverse(cast(longtime AS varchar)) AS rowkey, longtime AS version, dbuscard,
   cast(time_interval AS varchar) AS interval, printf('%.1f', orient) AS angle,
   cast(rapid_mark AS varchar) AS status FROM mk)
@@ -772,7 +775,7 @@ SELECT avg_upaspeed, std_upaspeed, iqr_updist, iqr_dnaspeed, avg_turn, std_aturn
 ORACLES["csv_round_trip"] = f"""WITH {TEL} SELECT jsy, dbuscard, wayname, waytype, ehstatus,
   {rr('llon llat speed carheadangle')}, strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S') AS lutc,
   longtime, strftime(make_timestamp(longtime * 1000000), '%Y%m') AS month FROM tel"""
-ORACLES["alarm_rows"] = f"""WITH {TEL}, {SIMPLE_MARKS},
+ORACLES["alarm_rows"] = f"""WITH {TEL}, {DETAIL_MARKS},
 tip AS (SELECT *, CASE WHEN rapid_mark = 1 AND actual_dist > 0 THEN {_tip('0.503', 'up_min', 'up_max')}
   WHEN rapid_mark = 2 AND actual_dist > 0 THEN {_tip('-0.500', 'dn_min', 'dn_max')}
   WHEN rapid_mark = 3 THEN 'hard turn' END AS tips FROM mk)
@@ -831,4 +834,4 @@ wp AS (SELECT *, speed AS v1, v0 / 3.6 AS prespeed, speed / 3.6 AS lspeed, longt
 ws AS (SELECT *, unnest([longtime // 300 * 300 - 900, longtime // 300 * 300 - 600, longtime // 300 * 300 - 300,
   longtime // 300 * 300]) AS window_start FROM wq)
 SELECT window_start, {updn(False)}, {turning('turn > 60', False, True)} FROM ws
-WHERE window_start + 1200 <= (SELECT max(longtime) FROM raw_fix WHERE speed <= 120) - 600 GROUP BY window_start"""
+WHERE pretime >= window_start AND window_start + 1200 <= (SELECT max(longtime) FROM raw_fix WHERE speed <= 120) - 600 GROUP BY window_start"""

@@ -98,10 +98,14 @@ def lookup_counts(statuses: DataFrame, counts: DataFrame, names: Sequence[str])
 
 def window_statistics(fixes: DataFrame, length: str = "120 minutes", slide: str = "30 minutes",
                       speed: float = 120.0, mode: str = "full") -> DataFrame:
-    """Statistics per sliding event-time window, emitted once a window closes."""
+    """Statistics per sliding event-time window, emitted once a window closes.
+
+    A pair counts in the windows that hold both of its fixes.
+    """
     pairs = thresholds.add_published_motion(
         pair_stream(fixes.where(F.col("speed") <= speed), min_rank=2))
-    windowed = pairs.withColumn("window", F.window("ts", length, slide))
+    windowed = (pairs.withColumn("window", F.window("ts", length, slide))
+                .where(F.col("pretime") >= F.unix_seconds(F.col("window.start"))))
     return thresholds.published_stats(windowed, by=["window"], mode=mode)
 
 
