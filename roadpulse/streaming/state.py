@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Iterator
+from decimal import ROUND_HALF_UP, Decimal
 from typing import Any
 
 from pyspark import cloudpickle
@@ -146,6 +147,11 @@ RIDE_SCHEMA = ("jsy string, ts timestamp, begin_time bigint, end_time bigint, ov
                "over2 bigint, over3 bigint, accelerations bigint, brakings bigint, turns bigint")
 
 
+def to_cents(score: float) -> float:
+    """Two decimals, half up, by the rule of ``trips.running_score``."""
+    return float(Decimal(repr(score + 1e-9)).quantize(Decimal("0.01"), ROUND_HALF_UP))
+
+
 class RunningScore(StatefulProcessor):
     """Keeps the running score of a driver, rounded to cents after each trip."""
 
@@ -157,7 +163,7 @@ class RunningScore(StatefulProcessor):
         running = self._score.get()[0] if self._score.exists() else None
         for row in sorted(rows, key=lambda x: x["end_time"]):
             mean = ((row["score"] if running is None else running) + row["score"]) / 2
-            running = int(mean * 100 + 0.5000001) / 100
+            running = to_cents(mean)
             yield self._out(*[row[c] for c in SCORE_NAMES], running)
         if running is not None:
             self._score.update((running,))
