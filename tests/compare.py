@@ -49,7 +49,7 @@ def compare(spark, con, name, fn, text, sf_dir):
         if a != b:
             diff = [(x, y) for x, y in zip(a, b) if x != y][:2]
             problems.append(f"rows {len(a)} vs {len(b)}, e.g. {diff}")
-        types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+        types = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
         odd = [(f.name, f.dataType.simpleString(), kinds[f.name]) for f in df.schema.fields
                if types.get(f.dataType.simpleString()) != kinds[f.name]]
         if odd:
