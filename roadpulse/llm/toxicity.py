@@ -1,9 +1,9 @@
 """Toxicity by a fuzzy lexicon and the context of its hits.
 
 Terms are learned from labelled documents: words, and word beginnings where no
-single word carries the sign. The lexicon is a trie; the Levenshtein automaton
-of a text's word runs over it, so misspelled terms are caught within an edit
-distance that grows with the term's length. Each hit is scored in a window of
+single word carries the sign. The Levenshtein automaton of a text's word runs
+over the trie of the terms that share an unedited piece with it, so misspelled
+terms are caught within an edit distance that grows with the term's length. Each hit is scored in a window of
 words: inside quotation marks or after a reporting cue it is a quotation, next
 to an address or further hits it is abuse. A logistic model weighs the sums.
 """
@@ -14,7 +14,7 @@ import re
 from bisect import bisect_left
 from collections import Counter, defaultdict
 from collections.abc import Iterable
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -48,103 +48,53 @@ def held_out() -> Column:
 
 
 def edits_allowed(term: str) -> int:
-    return 0 if len(term) < 5 else 1 if len(term) < 9 else 2
+    return 0 if len(term) < 5 else 1 if len(term) < 8 else 2
 
 
-def intact_pieces(terms: Iterable[str]) -> dict[tuple[str, int], list[tuple[int, int, set[str]]]]:
-    """(first letter, length) of a word -> (from, to, pieces): what such a word holds there if it is near a term.
+def intact_pieces(terms: Iterable[str], any_start: bool) -> dict[tuple[str, int], list[tuple[int, int, dict[str, list[str]]]]]:
+    """(first letter, length) of a word -> (from, to, terms by piece): what such a word holds there if it is near a term.
 
     ``k`` edits leave one of ``k + 1`` pieces of a term whole. Moved by ``s``
     letters, it has ``|s|`` edits before it and, in a word longer by ``d``,
-    ``|d - s|`` after it, together at most ``k``.
+    ``|d - s|`` after it, together at most ``k``. With ``any_start`` pieces
+    begin at the first letter, which may be edited, and the key has no letter.
     """
-    found: dict[tuple[str, int], dict[tuple[int, int], set[str]]] = defaultdict(lambda: defaultdict(set))
+    found: dict[tuple[str, int], dict[tuple[int, int], dict[str, list[str]]]] = \
+        defaultdict(lambda: defaultdict(lambda: defaultdict(list)))
     for term in terms:
-        m, k = len(term), edits_allowed(term)
-        cuts = [1 + (m - 1) * i // (k + 1) for i in range(k + 2)]
+        m, k, at = len(term), edits_allowed(term), 0 if any_start else 1
+        cuts = [at + (m - at) * i // (k + 1) for i in range(k + 2)]
         for a, b in zip(cuts, cuts[1:]):
             for d in range(-k, k + 1):
                 for s in range(-k, k + 1):
-                    if k and abs(s) + abs(d - s) <= k and a + s >= 1 and b + s <= m + d:
-                        found[term[0], m + d][a + s, b + s].add(term[a:b])
-    return {key: [(at, to, pieces) for (at, to), pieces in spans.items()] for key, spans in found.items()}
+                    if k and abs(s) + abs(d - s) <= k and a + s >= at and b + s <= m + d:
+                        found[term[:at], m + d][a + s, b + s][term[a:b]].append(term)
+    return {key: [(at, to, dict(pieces)) for (at, to), pieces in spans.items()] for key, spans in found.items()}
+
+
+def letter_set(word: str) -> int:
+    """The letters of a word as bits of their codes; an edit takes at most one letter out of the set and one in."""
+    bits = 0
+    for c in word:
+        bits |= 1 << (ord(c) & 63)
+    return bits
 
 
 @dataclass
 class Lexicon:
-    """Terms with weights; a trie whose walk with edits is kept as states of an automaton."""
+    """Terms with weights; those that share a piece with a word form the trie that the word's automaton runs over.
+
+    Without ``any_start`` a word's first letter must be that of the term.
+    """
     words: dict[str, float]
     stems: dict[str, float]
-    children: list[dict[str, int]] = field(default_factory=lambda: [{}])
-    word_at: dict[int, str] = field(default_factory=dict)
-    stem_at: dict[int, str] = field(default_factory=dict)
-    room: list[int] = field(default_factory=lambda: [0])
-    left: list[int] = field(default_factory=lambda: [0])
+    any_start: bool = False
 
     def __post_init__(self):
-        for terms, at in ((self.words, self.word_at), (self.stems, self.stem_at)):
-            for term in terms:
-                node, edits = 0, edits_allowed(term) if terms is self.words else 0
-                self.room[0] = max(self.room[0], edits)
-                for depth, c in enumerate(term, 1):
-                    if c not in self.children[node]:
-                        self.children[node][c] = len(self.children)
-                        self.children.append({})
-                        self.room.append(0)
-                        self.left.append(0)
-                    node = self.children[node][c]
-                    self.room[node] = max(self.room[node], edits)  # edits that some term below allows
-                    if terms is self.words:
-                        self.left[node] |= 1 << (len(term) - depth)  # letters to the ends of terms below, as bits
-                at[node] = term
-        self.pieces = intact_pieces(self.words)
-        self._reset()
-
-    def _reset(self) -> None:
-        self.ids: dict[tuple[int, frozenset], int] = {}
-        self.sets: list[frozenset] = []
-        self.steps: list[dict[str, int]] = []
+        self.pieces = intact_pieces(self.words, self.any_start)
+        self.letters = {term: letter_set(term) for term in self.words}
+        self.allowed = {term: edits_allowed(term) for term in self.words}
         self.known: dict[str, tuple[str, int] | None] = {}
-        self.starts: dict[tuple[str, int], int] = {}
-
-    def _state(self, positions: set[tuple[int, int]], rest: int) -> int:
-        """The state of these (node, edits), with what skipping letters of a term adds, before the word's last ``rest`` letters.
-
-        Nodes from which no term ends within the edits left are not in it; -1 if there are none.
-        """
-        todo, best = list(positions), {}
-        while todo:
-            node, e = todo.pop()
-            spare = self.room[node] - e
-            if spare < 0 or best.get(node, 99) <= e:
-                continue
-            if self.left[node] << spare >> rest & ((2 << 2 * spare) - 1):  # a term's end is rest - spare to rest + spare letters off
-                best[node] = e
-            if spare:
-                todo += [(child, e + 1) for child in self.children[node].values()]
-        if not best:
-            return -1
-        key = rest, frozenset(best.items())
-        if key not in self.ids:
-            self.ids[key] = len(self.sets)
-            self.sets.append(key[1])
-            self.steps.append({})
-        return self.ids[key]
-
-    def _start(self, first: str, rest: int) -> int:
-        """The state after a word's first letter, which is that of the term."""
-        if (first, rest) not in self.starts:
-            node = self.children[0].get(first)
-            self.starts[first, rest] = -1 if node is None else self._state({(node, 0)}, rest)
-        return self.starts[first, rest]
-
-    def _step(self, state: int, c: str, rest: int) -> int:
-        after = set()
-        for node, e in self.sets[state]:
-            for letter, child in self.children[node].items():
-                after.add((child, e if letter == c else e + 1))
-            after.add((node, e + 1))
-        return self._state(after, rest)
 
     def match(self, word: str) -> tuple[str, int] | None:
         """The nearest term and its distance, the likeliest of equally near ones."""
@@ -152,9 +102,7 @@ class Lexicon:
             return self.known[word]
         if len(self.known) > 100_000:
             self.known.clear()
-        if len(self.sets) > 20_000:
-            self._reset()
-        found = (word, 0) if word in self.words else self._walk(word) if self.may_match(word) else None
+        found = (word, 0) if word in self.words else self._walk(word)
         if found is None or found[1]:
             stem = next((word[:n] for n in range(1, len(word) + 1) if word[:n] in self.stems), None) if self.stems else None
             if stem is not None:
@@ -162,23 +110,44 @@ class Lexicon:
         self.known[word] = found
         return found
 
-    def may_match(self, word: str) -> bool:
-        """Whether some term within its edits has a piece that ``word`` holds unedited."""
-        return any(word[at:to] in pieces for at, to, pieces in self.pieces.get((word[:1], len(word)), ()))
+    def may_match(self, word: str) -> set[str]:
+        """The terms with a piece that ``word`` holds unedited and enough of its letters; no others are within their edits."""
+        spans = self.pieces.get(("" if self.any_start else word[:1], len(word)), ())
+        terms = {term for at, to, pieces in spans for term in pieces.get(word[at:to], ())}
+        if terms:
+            own, letters, allowed = letter_set(word), self.letters, self.allowed
+            terms = {t for t in terms if (letters[t] & ~own).bit_count() <= allowed[t] and (own & ~letters[t]).bit_count() <= allowed[t]}
+        return terms
 
     def _walk(self, word: str) -> tuple[str, int] | None:
-        rest = len(word) - 1
-        state = self._start(word[0], rest)
-        for c in word[1:]:
-            if state < 0:
-                return None
-            rest, steps = rest - 1, self.steps[state]
-            state = steps[c] if c in steps else steps.setdefault(c, self._step(state, c, rest))
-        if state < 0:
+        terms = self.may_match(word)
+        if not terms:
+            return None
+        letters: dict[str, int] = {}
+        for i, c in enumerate(word):
+            letters[c] = letters.get(c, 0) | 1 << i
+        end, found, before = len(word), [], ""
+        states = [(1, 3, 7)]  # after each letter of a term: places in the word, as bits, with at most 0, 1 and 2 edits
+        for term in sorted(terms):
+            shared = 0
+            while shared < len(before) and before[shared] == term[shared]:  # no term is the beginning of one before it
+                shared += 1
+            del states[shared + 1:]
+            zero, one, two = states[-1]
+            for c in term[shared:]:
+                here = letters.get(c, 0)
+                none = (zero & here) << 1
+                single = (one & here) << 1 | zero | (zero | none) << 1
+                zero, one, two = none, single, (two & here) << 1 | one | (one | single) << 1
+                states.append((zero, one, two))
+            before = term
+            e = 0 if zero >> end & 1 else 1 if one >> end & 1 else 2 if two >> end & 1 else 3
+            if e <= self.allowed[term]:
+                found.append((e, -self.words[term], term))
+        if not found:
             return None
-        e, _, term = min(((e, -self.words[self.word_at[n]], self.word_at[n]) for n, e in self.sets[state]
-                          if n in self.word_at and e <= edits_allowed(self.word_at[n])), default=(0, 0, None))
-        return None if term is None else (term, e)
+        e, _, term = min(found)
+        return term, e
 
     def weight(self, term: str) -> float:
         return self.words.get(term, self.stems.get(term, 0.0))
@@ -244,7 +213,7 @@ def learn_lexicon(sample: DataFrame) -> Lexicon:
         largest = max((w.bad for w in words.values() if w.term.startswith(r.term)), default=0)
         if not any(r.term.startswith(s) for s in stems) and largest < 0.7 * r.bad:
             stems[r.term] = float(np.log(r.ratio))
-    return Lexicon({w: float(np.log(r.ratio)) for w, r in words.items() if not any(w.startswith(s) for s in stems)}, stems)
+    return Lexicon({w: float(np.log(r.ratio)) for w, r in words.items() if not any(w.startswith(s) for s in stems)}, stems, any_start=True)
 
 
 #: A worker's lexicons with the automata it has built, over the tasks that it runs.
@@ -255,7 +224,7 @@ def built(words: dict[str, float], stems: dict[str, float]) -> Lexicon:
     key = (tuple(words.items()), tuple(stems.items()))
     if key not in _built:
         _built.clear()
-        _built[key] = Lexicon(words, stems)
+        _built[key] = Lexicon(words, stems, any_start=True)
     return _built[key]
 
 

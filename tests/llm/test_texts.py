@@ -130,3 +130,22 @@ def test_lexicon_finds_all_terms_within_their_edits():
         near = [(e, -w, t) for t, w in terms.items()
                 if t[0] == word[0] and (e := edit_distance(t[1:], word[1:])) <= toxicity.edits_allowed(t)]
         assert lexicon.match(word) == ((min(near)[2], min(near)[0]) if near else None), word
+
+
+def test_lexicon_finds_terms_with_edits_of_the_first_letter():
+    lexicon = toxicity.Lexicon({"idiot": 1.0, "worthles": 2.0}, {}, any_start=True)
+    assert [lexicon.match(w) for w in ("udiot", "diot", "xidiot", "xworthle", "wrthlez", "udiat")] == [
+        ("idiot", 1), ("idiot", 1), ("idiot", 1), ("worthles", 2), ("worthles", 2), None]
+    rng = np.random.default_rng(6)
+    terms = {"".join(rng.choice(list("abcd"), n)): float(w) for w, n in enumerate(rng.integers(1, 13, 60), 1)}
+    lexicon = toxicity.Lexicon(terms, {}, any_start=True)
+    for n in rng.integers(1, 15, 1500):
+        word = "".join(rng.choice(list("abcd"), n))
+        near = [(e, -w, t) for t, w in terms.items() if (e := edit_distance(t, word)) <= toxicity.edits_allowed(t)]
+        assert lexicon.match(word) == ((min(near)[2], min(near)[0]) if near else None), word
+
+
+def test_toxicity_scores_with_edits_of_the_first_letter(spark):
+    model = toxicity.Model({"idiot": 5.0}, {}, (4.0, 4.0, 0.0, 0.0, 0.0, 0.0, 0.0), -2.0)
+    docs = spark.createDataFrame([(1, "what an udiot he is"), (2, "what a house it is")], "doc_id long, text string")
+    assert {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()} == {1: 1, 2: 0}
