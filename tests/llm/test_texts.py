@@ -149,3 +149,12 @@ def test_toxicity_scores_with_edits_of_the_first_letter(spark):
     model = toxicity.Model({"idiot": 5.0}, {}, (4.0, 4.0, 0.0, 0.0, 0.0, 0.0, 0.0), -2.0)
     docs = spark.createDataFrame([(1, "what an udiot he is"), (2, "what a house it is")], "doc_id long, text string")
     assert {r.doc_id: r.predicted for r in toxicity.score(docs, model).collect()} == {1: 1, 2: 0}
+
+
+def test_copies_of_a_page_do_not_lower_its_importance(spark):
+    page = lambda text: f"<body><div class=top>Same on all</div><div class=body><p>{text}</p></div>"
+    rows = [(n, "http://h.example/a", page("A copied text")) for n in range(300)] \
+        + [(300 + n, "http://h.example/a", page(f"Text number {n} of this site")) for n in range(10)] \
+        + [(400 + n, "http://k.example/a", page("The only text")) for n in range(6)]
+    got = {r.page_id: r.text for r in site_style.page_texts(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert got[0] == "A copied text" and got[303] == "Text number 3 of this site" and got[400].endswith("The only text")
