@@ -64,4 +64,58 @@ SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
 FROM (SELECT l.*, trim(line, ' ') <> '' AND form IN (SELECT form FROM gone) AS dropped FROM l) GROUP BY doc_id
 """
 
-ORACLES = {"op2_exact_dedup": OP2, "op5_line_templates": OP5, "op9_secrets": OP9}
+OP11 = r"""
+WITH t AS (SELECT doc_id, k, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS raw
+           FROM (SELECT doc_id, text, row_number() OVER () AS k FROM documents)),
+tf AS (SELECT k, doc_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term, count(*) AS tf
+       FROM t GROUP BY ALL),
+size AS (SELECT k, sum(tf)::BIGINT AS n FROM tf GROUP BY k),
+whole AS (SELECT count(*) AS n_docs, sum(n)::BIGINT AS n_terms FROM size),
+m AS (SELECT k, 50 + (50 * n * n_docs) // n_terms AS m FROM size, whole),
+item AS (SELECT DISTINCT item_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS term
+         FROM (SELECT item_id, unnest(regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS raw FROM benchmark)),
+w AS (SELECT term, floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+      FROM tf, whole WHERE term IN (SELECT term FROM item) GROUP BY term),
+scored AS (SELECT item_id, k, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+           FROM item JOIN w USING (term) JOIN tf USING (term) JOIN m USING (k) GROUP BY item_id, k, doc_id),
+ranked AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INTEGER AS rank, doc_id, score
+           FROM scored WHERE score > 0)
+SELECT * FROM ranked WHERE rank <= 50
+"""
+
+
+def _written(c: str) -> str:
+    return f"coalesce(octet_length(encode({c}::VARCHAR)) || ':' || {c}::VARCHAR, '-')"
+
+
+# crc32 of a decimal number: its bytes, each followed by seven empty ones, go bit by bit through the polynomial
+_CRC = ("xor(4294967295, list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''), "
+        "lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), "
+        "lambda a, x: xor(xor(a, x) >> 1, (xor(a, x) & 1) * 3988292384)))")
+_HEAD = " || ".join(map(_written, ("doc_id", "source", "lang", "n_chars")))
+_RUN = "PARTITION BY {by}l, i // 3 ORDER BY i ROWS BETWEEN"
+_SIDES = """SELECT *, coalesce(string_agg(h, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS before,
+       coalesce(string_agg(h, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS after"""
+OP13 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, source, sha256({_HEAD} || {_written('text')}) AS leaf,
+  sha256({_HEAD} || {_written(f"(CASE WHEN {_CRC} % 2 = 0 THEN replace(text, chr(10), '') ELSE text END)")}) AS claimed FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i,
+                count(*) OVER (PARTITION BY source) AS n, coalesce('s' || source, '') AS s FROM d),
+node AS (SELECT 0 AS l, s, i, n, leaf AS h FROM leaf UNION ALL
+         SELECT l + 1, s, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM node WHERE n > 1 GROUP BY l, s, i // 3),
+sub AS (SELECT s, h AS subroot, row_number() OVER (ORDER BY s) - 1 AS j, count(*) OVER () AS trees FROM node WHERE n = 1),
+top AS (SELECT 0 AS l, j AS i, trees AS n, subroot AS h FROM sub UNION ALL
+        SELECT l + 1, i // 3, (any_value(n) + 2) // 3, sha256(string_agg(h, '' ORDER BY i)) FROM top WHERE n > 1 GROUP BY l, i // 3),
+side AS ({_SIDES.format(run=_RUN.format(by="s, "))} FROM node WHERE n > 1),
+top_side AS ({_SIDES.format(run=_RUN.format(by=""))} FROM top WHERE n > 1),
+fold AS (SELECT doc_id, s, leaf, 0 AS l, i, n, claimed AS h, '' AS proof FROM leaf UNION ALL
+         SELECT doc_id, s, leaf, f.l + 1, f.i // 3, (f.n + 2) // 3, sha256(before || f.h || after), proof || before || after
+         FROM fold f JOIN side USING (s, l, i)),
+up AS (SELECT doc_id, leaf, subroot, 0 AS l, j AS i, trees AS n, h, proof FROM fold JOIN sub USING (s) WHERE n = 1 UNION ALL
+       SELECT doc_id, leaf, subroot, u.l + 1, u.i // 3, (u.n + 2) // 3, sha256(before || u.h || after), proof || before || after
+       FROM up u JOIN top_side USING (l, i))
+SELECT doc_id, leaf, subroot, root, sha256(proof) AS proof_sha256, up.h AS folded_root, up.h = root AS verified
+FROM up, (SELECT h AS root FROM top WHERE n = 1) WHERE n = 1
+"""
+
+ORACLES = {"op2_exact_dedup": OP2, "op5_line_templates": OP5, "op9_secrets": OP9, "op11_ranked_search": OP11, "op13_merkle_manifest": OP13}

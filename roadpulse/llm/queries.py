@@ -5,8 +5,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontaminate, exact_dedup, line_templates, packing, secret_scan, simhash, site_style, substrings, \
-    token_counts, toxicity
+from . import decontaminate, exact_dedup, language, line_templates, merkle, packing, ranked_search, secret_scan, simhash, \
+    site_style, substrings, token_counts, toxicity
 from .tables import table
 
 
@@ -51,5 +51,17 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.identify(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digests(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op1_decontamination, op2_exact_dedup, op3_simhash, op4_toxicity, op5_line_templates, op6_substrings, op7_site_style, op8_token_counts, op9_secrets, op10_packing)}
+    op1_decontamination, op2_exact_dedup, op3_simhash, op4_toxicity, op5_line_templates, op6_substrings, op7_site_style, op8_token_counts, op9_secrets, op10_packing, op11_ranked_search, op12_language, op13_merkle_manifest)}
