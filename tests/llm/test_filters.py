@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import xxhash
 from tokenizers import Tokenizer
 
@@ -216,10 +217,38 @@ def test_packing(docs, corpus, none, nameless):
     assert packing.pack(nameless, path).agg({"length": "sum"}).first()[0] == 6 + 1 + 6
 
 
+def test_tiers_have_windows_of_their_own():
+    rng = np.random.default_rng(5)
+    sizes = [int(x) for x in np.exp(rng.uniform(0, 9.5, 700))]
+    packed = packing.pack_pool(sizes)
+    filled = [sum(n for _, _, n in pieces) for _, pieces in packed]
+    assert sum(filled) == sum(sizes) and {t for t, _ in packed} == set(packing.TIERS)
+    assert sum(n != t for (t, _), n in zip(packed, filled)) <= 1  # one sequence at most is not full
+    opened = [(t, packing.tier_of(pieces[0][2])) for t, pieces in packed]
+    assert sum(t != own for t, own in opened) <= len(packing.TIERS)  # by a rest of its tier, but for the last ones
+    seen = defaultdict(int)
+    for _, pieces in packed:
+        for doc, _, n in pieces:
+            seen[doc] += n
+    assert [seen[i] for i in range(len(sizes))] == sizes
+
+
+def test_step_groups_are_balanced():
+    rng = np.random.default_rng(6)
+    tiers = [int(rng.choice(packing.TIERS)) for _ in range(900)]
+    group = packing.step_groups(tiers, tiers, 4)
+    loads = [sum(t for t, g in zip(tiers, group) if g == k) for k in range(4)]
+    assert max(loads) - min(loads) <= min(packing.TIERS)
+    for tier in packing.TIERS:
+        own = [sum(t == tier and g == k for t, g in zip(tiers, group)) for k in range(4)]
+        assert max(own) - min(own) <= 32 if tier == 256 else max(own) - min(own) <= 2
+
+
 def test_words_are_encoded_as_in_the_whole_text(spark, data):
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     enc = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
     texts += ["a\n\n  b\t c", "x\x1cy\u0085z", "é ́x", "ΟΔΟΣ ΣΑΣ.", "it's I'LL 'S", "<|startoftext|>a <|endoftext|>", " lead", "ﬁ İ ǅ"]
-    for t in texts:
-        assert enc.encode(t).tolist() == tok.encode(t, add_special_tokens=False).ids, t[:80]
+    column = pa.array(["cut off", *texts, "end"]).slice(1, len(texts))
+    for t, ids in zip(texts, enc.encode(column), strict=True):
+        assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t[:80]
