@@ -13,10 +13,12 @@ partition's number and a count in it.
 
 from __future__ import annotations
 
+import re
+import struct
 import zlib
 from bisect import bisect_right, insort
-from heapq import heapify, heapreplace
 from collections.abc import Iterator
+from heapq import heapify, heapreplace
 
 import numpy as np
 import pyarrow as pa
@@ -36,11 +38,17 @@ GROUP_TOKENS = 256 * CONTEXT
 POOL_GROUPS = 4
 END = 2
 #: Distinct words whose ids a worker remembers; bytes of the texts that are encoded together.
-CACHED_WORDS, TOGETHER = 250_000, 4 << 20
+CACHED_WORDS, TOGETHER = 500_000, 4 << 20
 _SPECIAL = "<|"
 #: Set between words that are encoded in one call: it is a word of its own and has one id.
 _BETWEEN = "\x01"
 _TAILS = frozenset(".,;:!?")
+#: Words of these letters alone are what normaliser and splitter leave as they are.
+_PLAIN = re.compile("[a-zß-öø-ÿ]+").fullmatch
+#: The tokenizer spells bytes as characters: printable ones of Latin-1 as themselves, the others in order from 256 on.
+_SPELT = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or b >= 174]
+_SPELLING = {b: chr(b) for b in _SPELT} | {b: chr(256 + k) for k, b in enumerate(x for x in range(256) if x not in _SPELT)}
+_LETTERS = {c: "".join(_SPELLING[b] for b in chr(c).encode()) for c in range(0xDF, 0x100)}
 
 
 class Encoder:
@@ -57,6 +65,7 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_padding()
         self.tokenizer.no_truncation()
+        self.model = self.tokenizer.model
         self.between = self._ids(_BETWEEN)
         self.known: dict[str, bytes] = {}
         self._start()
@@ -69,7 +78,17 @@ class Encoder:
         self.known.update({c: np.array(self._ids(c), "<u4").tobytes() for c in _TAILS})
 
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words, in one call of the tokenizer."""
+        """Ids of new words: plain ones by the model alone, the others in one call of the whole tokenizer."""
+        tokenize, others = self.model.tokenize, []
+        for w in words:
+            if _PLAIN(w):
+                found = tokenize(w.translate(_LETTERS))
+                self.known[w] = struct.pack(f"<{len(found)}I", *[x.id for x in found])
+            else:
+                others.append(w)
+        if not others:
+            return
+        words = others
         ids = np.array(self._ids(f" {_BETWEEN} ".join(words)), "<u4")
         cuts = np.flatnonzero(ids == self.between[0]) if len(self.between) == 1 else ()
         if len(cuts) == len(words) - 1:

@@ -248,7 +248,8 @@ def test_words_are_encoded_as_in_the_whole_text(spark, data):
     tok = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
     enc = packing.Encoder(public_tokenizers.path("word_bpe_49k.json"))
     texts = [r.text for r in spark.read.parquet(f"{data}/documents.parquet").collect()]
-    texts += ["a\n\n  b\t c", "x\x1cy\u0085z", "é ́x", "ΟΔΟΣ ΣΑΣ.", "it's I'LL 'S", "<|startoftext|>a <|endoftext|>", " lead", "ﬁ İ ǅ"]
+    texts += ["a\n\n  b\t c", "x\x1cy\u0085z", "é ́x", "ΟΔΟΣ ΣΑΣ.", "it's I'LL 'S", "<|startoftext|>a <|endoftext|>", " lead", "ﬁ İ ǅ",
+              " ".join(chr(c) + "a" + chr(c) for c in range(0x21, 0x250)), "naïve ÿÿ ×÷ ß. garçon's e\u0301t"]
     column = pa.array(["cut off", *texts, "end"]).slice(1, len(texts))
     for t, ids in zip(texts, enc.encode(column), strict=True):
         assert ids.tolist() == tok.encode(t, add_special_tokens=False).ids, t[:80]
