@@ -1,90 +1,135 @@
 """Line deduplication with a fixed-depth tree of log templates.
 
-A line's tokens that hold a digit become wildcards. The tree leads by token
-count and the leading tokens to a leaf. A template is either one masked line or
-the leaf's common form: the tokens that most of its documents agree on, the
-other places being variable. Lines of a template that occurs in enough
-documents are dropped. Built-in column functions only; the counts are combined
-before the shuffle, texts meet only where a leaf mixes several masked lines.
+A line's tokens that hold a digit become wildcards: that is its form. The tree
+leads by token count and the leading tokens to a leaf. A leaf whose forms agree
+in most places is one template, the other places being variable; a mixed one is
+split by the constant token that most documents share, its parts are judged
+again, and so on for a fixed number of levels. Lines of a template, and lines of
+one form, that occur in enough documents are dropped.
+
+Built-in column functions only. Texts are masked once; each line is kept with
+its place and the 128-bit digest of its form, and all counting and the last pass
+read that. Forms themselves meet only where a leaf holds several.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .tables import doc_texts, stored
 
-#: Leading tokens below the token count, so the tree's depth.
-DEPTH = 3
+#: Leading tokens below the token count, and splits below them: the tree's depth.
+DEPTH, SPLITS = 3, 3
 #: Documents in which a template must occur to be dropped.
 LEAST_DOCS = 3
-#: A place is constant if one token has at least this share of the leaf's documents,
-#: a leaf is a template if this share of its places is constant, and a line is of it
+#: Tenths: a place is constant if one token has this share of the group's votes,
+#: a group is a template if this share of its places is constant, and a form is of it
 #: if it agrees in this share of the constant places.
-AGREED, CONSTANT, ALIKE = 0.5, 0.7, 0.8
-_VARIABLE = r"(?<![^ ])[^ 0-9]*+[0-9][^ ]*+"
-
-
-def masked(line: Column) -> Column:
-    return F.regexp_replace(line, _VARIABLE, "<*>")
-
-
-def _keys(text: Column) -> Column:
-    """leaf and template (hashes) of each line of a text; blank lines have none."""
-    def key(line: Column) -> Column:
-        m = F.transform(F.array(masked(line)), lambda x: F.struct(
-            F.xxhash64(F.length(x) - F.length(F.replace(x, F.lit(" "), F.lit(""))), F.substring_index(x, " ", DEPTH)).alias("leaf"),
-            F.xxhash64(x, F.lit(1)).alias("template")))[0]
-        return F.when(F.trim(line) != "", m)
-    return F.transform(F.split(text, "\n"), key)
-
-
-def recurring(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
-    """template: the hashes of masked lines that are to be dropped."""
-    lines = docs.select(F.explode(F.array_distinct(_keys(F.col("text")))).alias("k")).where("k is not null")
-    counts = stored(lines.groupBy("k.leaf", "k.template").agg(F.count("*").alias("docs")), "templates")
-    mixed = stored(counts.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms"))
-                   .where((F.col("docs") >= least_docs) & (F.col("forms") > 1)).select("leaf"), "mixed-leaves")
-    wanted = counts.join(mixed, "leaf")
-    texts = docs.select(F.explode(F.arrays_zip(F.split("text", "\n").alias("line"), _keys(F.col("text")).alias("k"))).alias("x")) \
-        .where("x.k is not null").select(F.col("x.line").alias("line"), F.col("x.k.leaf").alias("leaf"), F.col("x.k.template").alias("template"))
-    forms = texts.join(mixed, "leaf", "left_semi").groupBy("template").agg(F.first(masked(F.col("line"))).alias("form"))
-    forms = stored(wanted.join(forms, "template"), "forms")
-    tokens = forms.select("leaf", "template", "docs", F.posexplode(F.split("form", " ")).alias("at", "token"))
-    places = tokens.groupBy("leaf", "at", "token").agg(F.sum("docs").alias("docs")).groupBy("leaf", "at").agg(
-        F.max(F.struct("docs", "token")).alias("top"), F.sum("docs").alias("total"))
-    common = places.groupBy("leaf").agg(F.map_from_entries(F.collect_list(F.when(
-        F.col("top.docs") >= AGREED * F.col("total"), F.struct("at", "top.token")))).alias("constant"), F.count("*").alias("places"))
-    common = stored(common.where(F.size("constant") >= CONSTANT * F.col("places")), "leaf-templates")
-    agree = F.size(F.map_filter("constant", lambda at, token: F.split("form", " ")[at] == token))
-    alike = stored(forms.join(common, "leaf").where(agree >= ALIKE * F.size("constant")).select("leaf", "template", "docs"), "alike")
-    of_leaf = alike.groupBy("leaf").agg(F.sum("docs").alias("all_docs")).where(F.col("all_docs") >= least_docs)
-    return counts.where(F.col("docs") >= least_docs).select("template") \
-        .union(alike.join(of_leaf, "leaf").select("template")).distinct()
+AGREED, CONSTANT, ALIKE = 5, 7, 8
+#: A document's votes in a group, shared by its forms there.
+VOTES = 720_720
+_VARIABLE = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
+_ROW = ["doc_id", "text_key"]
+
+
+def masked(text: Column) -> Column:
+    return F.regexp_replace(text, _VARIABLE, "<*>")
+
+
+def _places(form: Column) -> Column:
+    return F.length(form) - F.length(F.replace(form, F.lit(" "), F.lit(""))) + 1
+
+
+def _digest(form: Column) -> list[Column]:
+    return [F.xxhash64(form).alias("a"), F.xxhash64(F.lit(1), form).alias("b")]
+
+
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc_id, text_key, k (place), leaf (hash), a, b (digest of the form), form of all lines but blank ones."""
+    rows = docs.select(*_ROW, F.posexplode(F.split(masked(F.col("text")), "\n")).alias("k", "form")).where(F.trim("form") != "")
+    form = F.col("form")
+    return rows.select(*_ROW, "k", F.xxhash64(_places(form), F.substring_index(form, " ", DEPTH)).alias("leaf"), *_digest(form), "form")
+
+
+def judge(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(forms of templates, what is left, split into the groups of the next level).
+
+    ``rows`` are distinct: doc_id, text_key, form, group.
+    """
+    own = Window.partitionBy(*_ROW, "group")
+    shares = rows.withColumn("forms", F.count("*").over(own)).withColumn("share", F.expr(f"{VOTES} div forms"))
+    forms = stored(shares.groupBy("group", "form").agg(F.sum("share").alias("weight")), "forms")
+    tokens = forms.select("group", "form", "weight", F.posexplode(F.split("form", " ")).alias("at", "token"))
+    votes = stored(tokens.groupBy("group", "at", "token").agg(F.sum("weight").alias("votes")), "votes")
+    places = votes.groupBy("group", "at").agg(F.max(F.struct("votes", "token")).alias("top"), F.sum("votes").alias("total"))
+    constant = F.when(10 * F.col("top.votes") >= AGREED * F.col("total"), F.struct("at", "top.token"))
+    groups = stored(places.groupBy("group").agg(  # a place each: no more than a form has tokens
+        F.collect_list(constant).alias("constants"), F.count("*").alias("places"), F.max("total").alias("total")), "groups")
+    is_template = 10 * F.size("constants") >= CONSTANT * F.col("places")
+    parts = F.split("form", " ")
+    agree = F.size(F.filter("constants", lambda c: parts[c["at"]] == c["token"]))
+    judged = forms.join(groups.where(is_template), "group").select(
+        "group", "form", (10 * agree >= ALIKE * F.size("constants")).alias("alike"))
+    # mixed groups: each form goes with the token that most votes are for, of those that tell forms apart
+    wide = votes.join(groups.where(~is_template).select("group", "total"), "group").where(
+        (F.col("votes") >= least_docs * VOTES) & (F.col("votes") < F.col("total"))).select("group", "at", "token", "votes")
+    chosen = tokens.join(wide, ["group", "at", "token"]).groupBy("group", "form").agg(F.max(F.struct("votes", "at", "token")).alias("by"))
+    moves = judged.where("alike").select("group", "form", F.lit(None).cast("string").alias("to")) \
+        .union(judged.where("not alike").select("group", "form", F.concat("group", F.lit("\n~")))) \
+        .union(chosen.select("group", "form", F.concat("group", F.lit("\n"), F.col("by.at").cast("string"), F.lit("="), F.col("by.token"))))
+    moved = stored(rows.join(moves, ["group", "form"]), "moved")
+    found = moved.where("to is null")
+    enough = found.select("group", *_ROW).distinct().groupBy("group").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs)
+    templates = found.join(enough, "group", "left_semi").select("form").distinct()
+    return templates, moved.where("to is not null").select(*_ROW, "form", F.col("to").alias("group"))
+
+
+def recurring(lines: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
+    """a, b: the digests of forms whose lines are to be dropped."""
+    counts = stored(lines.select("leaf", "a", "b", *_ROW).distinct().groupBy("leaf", "a", "b").agg(F.count("*").alias("docs")), "form-counts")
+    mixed = counts.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms")).where(
+        (F.col("docs") >= least_docs) & (F.col("forms") > 1)).select("leaf")
+    group = F.concat_ws(" ", _places(F.col("form")), F.substring_index("form", " ", DEPTH))
+    rows = stored(lines.join(mixed, "leaf", "left_semi").select(*_ROW, "form", group.alias("group")).distinct(), "mixed-lines")
+    gone = counts.where(F.col("docs") >= least_docs).select("a", "b")
+    for _ in range(SPLITS + 1):
+        if rows.isEmpty():
+            break
+        templates, rows = judge(rows, least_docs)
+        gone = gone.union(templates.select(*_digest(F.col("form"))))
+    return stored(gone.distinct(), "recurring")
 
 
 def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """doc_id, n_lines, n_dropped, text (what is kept, lines joined by a line break), one row per row of ``docs``.
 
     Lines are what lies between line breaks; blank ones are kept and counted.
-    Null counts as empty, which is one blank line. A document counts once for
-    a template, a repeated row as a document of its own; a null doc_id is an id
-    like any other. An empty table gives no rows; other columns are not looked
-    at.
+    Null counts as empty, which is one blank line. A document counts once for a
+    template, however many of its lines are of it, and has ``VOTES`` votes on
+    what is constant in a group, shared equally (rounded down) by its forms
+    there. Rows of one doc_id, null included, and one text are one document. In
+    a mixed group a form goes with the token for which the most votes are, of
+    those with the votes of ``least_docs`` documents or more but not with all;
+    of equal ones the last place. Forms of a template's group that are not of it
+    are a group of their own on the next level. An empty table gives no rows;
+    other columns are not looked at.
     """
-    docs = doc_texts(docs)
-    drop = stored(recurring(docs, least_docs), "recurring")
-    lines = docs.select("doc_id", F.explode(F.array_distinct(_keys(F.col("text")))).alias("k")).where("k is not null") \
-        .select("doc_id", F.col("k.template").alias("template"))
-    found = stored(lines.join(drop, "template"), "line-hits")
-    per_doc = found.groupBy("doc_id").agg(F.collect_set("template").alias("templates")).withColumnRenamed("doc_id", "hit_id")
-    both = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["hit_id"]), "left")
-    zipped = F.arrays_zip(F.split("text", "\n").alias("line"), _keys(F.col("text")).alias("k"))
-    kept = F.when(F.col("templates").isNull(), F.split("text", "\n")).otherwise(F.transform(F.filter(
-        zipped, lambda x: x["k"].isNull() | ~F.array_contains("templates", x["k"]["template"])), lambda x: x["line"]))
-    return both.select("doc_id", F.size(F.split("text", "\n")).cast("bigint").alias("n_lines"), kept.alias("kept")).select(
-        "doc_id", "n_lines", (F.col("n_lines") - F.size("kept")).alias("n_dropped"), F.array_join("kept", "\n").alias("text"))
+    docs = doc_texts(docs).withColumn("text_key", F.xxhash64("text"))
+    lines = stored(lines_of(docs), "lines")
+    hits = lines.select(*_ROW, "k", "a", "b").join(recurring(lines, least_docs), ["a", "b"], "left_semi")
+    # places of dropped lines, no more than the document has lines
+    per_doc = hits.groupBy(*_ROW).agg(F.sort_array(F.collect_set("k")).alias("gone")).withColumnRenamed("doc_id", "hit_id")
+    both = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["hit_id"]) & (docs["text_key"] == per_doc["text_key"]), "left")
+    all_lines = F.split("text", "\n")
+    cuts = F.concat(F.array(F.lit(-1)), "gone", F.array(F.size(all_lines)))  # kept lines lie between neighbours
+    kept = F.flatten(F.transform(F.arrays_zip(
+        F.slice(cuts, 1, F.size("gone") + 1).alias("a"), F.slice(cuts, 2, F.size("gone") + 1).alias("b")),
+        lambda x: F.slice("lines", x["a"] + 2, x["b"] - x["a"] - 1)))
+    some = both.withColumn("lines", all_lines).select(
+        docs["doc_id"], F.size("lines").cast("bigint").alias("n_lines"), F.coalesce(F.size("gone"), F.lit(0)).cast("int").alias("n_gone"),
+        F.when(F.col("gone").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n")).alias("text"))
+    return some.select("doc_id", "n_lines", F.greatest("n_gone", F.lit(0)).alias("n_dropped"), "text")
 
 
 def line_digests(docs: DataFrame) -> DataFrame:

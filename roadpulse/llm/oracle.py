@@ -39,27 +39,36 @@ SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_a
 FROM documents d LEFT JOIN a USING (doc_id)
 """
 
-OP5 = r"""
+# the tree's levels: votes, constant places, templates; what is left goes on in narrower groups
+_LEVEL = """
+f{r} AS MATERIALIZED (SELECT grp, form, sum(share) AS weight, string_split(form, ' ') AS tokens
+      FROM (SELECT grp, form, 720720 // count(*) OVER (PARTITION BY doc_id, grp) AS share FROM r{r}) GROUP BY grp, form),
+t{r} AS (SELECT grp, form, weight, unnest(range(len(tokens))) AS p, unnest(tokens) AS token FROM f{r}),
+v{r} AS MATERIALIZED (SELECT grp, p, token, sum(weight) AS votes FROM t{r} GROUP BY ALL),
+c{r} AS (SELECT grp, p, token, votes, sum(votes) OVER place AS total,
+                row_number() OVER (PARTITION BY grp, p ORDER BY votes DESC, token DESC) AS k FROM v{r} WINDOW place AS (PARTITION BY grp, p)),
+g{r} AS MATERIALIZED (SELECT grp, count(*) AS places, count(*) FILTER (2 * votes >= total) AS fixed, any_value(total) AS total
+      FROM c{r} WHERE k = 1 GROUP BY grp),
+a{r} AS MATERIALIZED (SELECT grp, form, 10 * count(c.token) >= 8 * any_value(fixed) AS alike
+      FROM t{r} JOIN g{r} USING (grp) LEFT JOIN (SELECT * FROM c{r} WHERE k = 1 AND 2 * votes >= total) c USING (grp, p, token)
+      WHERE 10 * fixed >= 7 * places GROUP BY grp, form),
+b{r} AS (SELECT grp, form, arg_max(p || '=' || token, (v.votes, p, token)) AS pick
+         FROM t{r} JOIN g{r} USING (grp) JOIN v{r} v USING (grp, p, token)
+         WHERE 10 * fixed < 7 * places AND v.votes >= 3 * 720720 AND v.votes < total GROUP BY grp, form),
+x{r} AS (SELECT DISTINCT form FROM a{r} WHERE alike AND grp IN (
+         SELECT grp FROM r{r} JOIN a{r} USING (grp, form) WHERE alike GROUP BY grp HAVING count(DISTINCT doc_id) >= 3)),
+r{n} AS MATERIALIZED (SELECT doc_id, form, grp || chr(10) || '~' AS grp FROM r{r} JOIN a{r} USING (grp, form) WHERE NOT alike
+      UNION ALL SELECT doc_id, form, grp || chr(10) || pick FROM r{r} JOIN b{r} USING (grp, form)),"""
+OP5 = f"""
 WITH l AS (SELECT doc_id, k, line, regexp_replace(' ' || line, ' [^ 0-9]*[0-9][^ ]*', ' <*>', 'g')[2:] AS form
            FROM (SELECT doc_id, unnest(string_split(coalesce(text, ''), chr(10))) AS line,
                         unnest(range(len(string_split(coalesce(text, ''), chr(10))))) AS k FROM documents)),
-f AS (SELECT form, string_split(form, ' ') AS tokens, len(string_split(form, ' ')) AS places,
-             list_slice(string_split(form, ' '), 1, 3) AS head, count(DISTINCT doc_id) AS docs
-      FROM l WHERE trim(line, ' ') <> '' GROUP BY form),
-mixed AS (SELECT places, head FROM f GROUP BY ALL HAVING sum(docs) >= 3 AND count(*) > 1),
-m AS (SELECT f.* FROM f SEMI JOIN mixed USING (places, head)),
-t AS (SELECT places, head, unnest(range(places)) AS p, unnest(tokens) AS token, docs FROM m),
-tops AS (SELECT places, head, p, token, sum(docs) AS n, sum(sum(docs)) OVER (PARTITION BY places, head, p) AS total,
-                row_number() OVER (PARTITION BY places, head, p ORDER BY sum(docs) DESC, token DESC) AS k
-         FROM t GROUP BY places, head, p, token),
-const AS (SELECT places, head, p, token, count(*) OVER (PARTITION BY places, head) AS n
-          FROM tops WHERE k = 1 AND n >= 0.5 * total),
-alike AS (SELECT form, any_value(docs) AS docs, places, head
-          FROM m JOIN const USING (places, head) WHERE const.n >= 0.7 * places
-          GROUP BY form, places, head, const.n HAVING count(*) FILTER (tokens[p + 1] = token) >= 0.8 * const.n),
-gone AS (SELECT form FROM f WHERE docs >= 3 UNION
-         SELECT form FROM (SELECT form, sum(docs) OVER (PARTITION BY places, head) AS n FROM alike) WHERE n >= 3)
-SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
+r0 AS MATERIALIZED (SELECT DISTINCT doc_id, form, len(string_split(form, ' ')) || ' ' || array_to_string(list_slice(string_split(form, ' '), 1, 3), ' ') AS grp
+       FROM l WHERE trim(line, ' ') <> ''),
+{''.join(_LEVEL.format(r=r, n=r + 1) for r in range(4))}
+gone AS (SELECT form FROM r0 GROUP BY form HAVING count(*) >= 3
+         {' '.join(f'UNION SELECT form FROM x{r}' for r in range(4))})
+SELECT doc_id, count(*) AS n_lines, (count(*) FILTER (dropped))::INTEGER AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY k) FILTER (NOT dropped), '')) AS kept_sha256
 FROM (SELECT l.*, trim(line, ' ') <> '' AND form IN (SELECT form FROM gone) AS dropped FROM l) GROUP BY doc_id
 """

@@ -69,6 +69,40 @@ def test_line_templates(spark, none, nameless):
     assert line_templates.line_digests(none).count() == 0 and line_templates.line_digests(nameless).count() == 3
 
 
+def lines_left(spark, rows):
+    frame = spark.createDataFrame([(*r, "x", 1) for r in rows], "doc_id long, text string, form string, k int")
+    return sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in line_templates.drop_recurring_lines(frame).collect()), key=str)
+
+
+def test_a_document_counts_once_for_a_template(spark):
+    fruit = [f"Item on the list: {x}" for x in ("apple", "pear", "plum")]
+    assert lines_left(spark, [(1, "\n".join(fruit)), (2, "other text of its own")]) == [(1, 3, 0, "\n".join(fruit)), (2, 1, 0, "other text of its own")]
+    left = lines_left(spark, [(i, f"own{chr(97 + i)}\nItem on the list: {x}") for i, x in enumerate("apple pear plum fig".split())])
+    assert left == [(i, 2, 1, f"own{chr(97 + i)}") for i in range(4)]
+
+
+def test_a_leaf_has_several_templates(spark):
+    say = ("opened the door by {}", "closed one window by {}", "started a motor by {}")
+    names = "Ann Bob Cid Dan Eve Fay Gus Hal".split()
+    rows = [(8 * k + i, f"2024-01-{i + 1:02d} 10:{i}:00 {i} {s.format(n + chr(97 + k))}\n{n}{chr(97 + k)} stays")
+            for k, s in enumerate(say) for i, n in enumerate(names)]
+    assert lines_left(spark, rows) == sorted(((i, 2, 1, t.split("\n")[1]) for i, t in rows), key=str)
+
+
+def test_lines_of_one_leaf_that_share_little_stay(spark):
+    rows = [(i, f"It was a {a} {b} {c}") for i, (a, b, c) in enumerate(
+        zip("red big old new wet dry".split(), "cat dog cow hen fox owl".split(), "ran sat hid fed saw won".split()))]
+    assert all(r[2] == 0 for r in lines_left(spark, rows))
+
+
+def test_repeated_rows_and_long_texts_of_lines(spark):
+    same = [(1, "line of mine\nline of yours"), (1, "line of mine\nline of yours"), (1, "line of mine\nother"), (None, "line of mine"), (None, "line of mine")]
+    assert lines_left(spark, same) == sorted([(1, 2, 1, "line of yours")] * 2 + [(1, 2, 1, "other"), *[(None, 1, 1, "")] * 2], key=str)
+    long = "\n".join(f"word{chr(97 + i % 26)} number {chr(97 + i // 26 % 26)} {'x' * (i // 676)} end" for i in range(20_000))
+    rows = [(1, long), (2, long + "\nlast"), (3, "first\n" + long), (4, "")]
+    assert lines_left(spark, rows) == [(1, 20_000, 20_000, ""), (2, 20_001, 20_000, "last"), (3, 20_001, 20_000, "first"), (4, 1, 0, "")]
+
+
 def test_page_text(spark):
     page = ("<!DOCTYPE html><html><head><title>t</title><style>p{a>b}</style></head><body><nav><a>Menu</a></nav><header>Top</header>"
             "<div class='ad'>buy</div><article><h1>A &amp; B</h1><p>one <b>two</b>three<br>four<p>five<div class=share>Share me</div>"
