@@ -59,16 +59,15 @@ def judge(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
     """
     own = Window.partitionBy(*_ROW, "group")
     shares = rows.withColumn("forms", F.count("*").over(own)).withColumn("share", F.expr(f"{VOTES} div forms"))
-    forms = stored(shares.groupBy("group", "form").agg(F.sum("share").alias("weight")), "forms")
-    tokens = forms.select("group", "form", "weight", F.posexplode(F.split("form", " ")).alias("at", "token"))
+    forms = stored(shares.groupBy("group", "form").agg(F.sum("share").alias("weight")).withColumn("parts", F.split("form", " ")), "forms")
+    tokens = forms.select("group", "form", "weight", F.posexplode("parts").alias("at", "token"))
     votes = stored(tokens.groupBy("group", "at", "token").agg(F.sum("weight").alias("votes")), "votes")
     places = votes.groupBy("group", "at").agg(F.max(F.struct("votes", "token")).alias("top"), F.sum("votes").alias("total"))
     constant = F.when(10 * F.col("top.votes") >= AGREED * F.col("total"), F.struct("at", "top.token"))
     groups = stored(places.groupBy("group").agg(  # a place each: no more than a form has tokens
         F.collect_list(constant).alias("constants"), F.count("*").alias("places"), F.max("total").alias("total")), "groups")
     is_template = 10 * F.size("constants") >= CONSTANT * F.col("places")
-    parts = F.split("form", " ")
-    agree = F.size(F.filter("constants", lambda c: parts[c["at"]] == c["token"]))
+    agree = F.size(F.filter("constants", lambda c: F.col("parts")[c["at"]] == c["token"]))
     judged = forms.join(groups.where(is_template), "group").select(
         "group", "form", (10 * agree >= ALIKE * F.size("constants")).alias("alike"))
     # mixed groups: each form goes with the token that most votes are for, of those that tell forms apart
@@ -88,8 +87,9 @@ def judge(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
 def recurring(lines: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """a, b: the digests of forms whose lines are to be dropped."""
     counts = stored(lines.select("leaf", "a", "b", *_ROW).distinct().groupBy("leaf", "a", "b").agg(F.count("*").alias("docs")), "form-counts")
-    mixed = counts.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms")).where(
-        (F.col("docs") >= least_docs) & (F.col("forms") > 1)).select("leaf")
+    # stored, so that its size is known where it is joined: forms need not be shuffled for a few leaves
+    mixed = stored(counts.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms")).where(
+        (F.col("docs") >= least_docs) & (F.col("forms") > 1)).select("leaf"), "mixed-leaves")
     group = F.concat_ws(" ", _places(F.col("form")), F.substring_index("form", " ", DEPTH))
     rows = stored(lines.join(mixed, "leaf", "left_semi").select(*_ROW, "form", group.alias("group")).distinct(), "mixed-lines")
     gone = counts.where(F.col("docs") >= least_docs).select("a", "b")
