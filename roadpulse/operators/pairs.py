@@ -88,7 +88,8 @@ def every_pair(fixes: DataFrame, keys: Sequence[str] = ("jsy",), speed_before: f
     """Each fix with the one before it, however far away, in the columns of ``pair_fixes``.
 
     Only later times form a pair. With ``earlier`` = 2 a fix needs two fixes
-    before it, in order, as the detectors do that keep two states.
+    before it, in order, as the detectors do that keep two states; the speed of
+    the first of them is ``pp_kmh``.
     """
     source = fixes.withColumn("heading", F.col(heading))
     if speed_before is not None:
@@ -103,7 +104,8 @@ def every_pair(fixes: DataFrame, keys: Sequence[str] = ("jsy",), speed_before: f
         F.col("p1.speed").alias("v0_kmh"), F.col("speed").alias("v1_kmh"),
         motion.metres_per_second(F.col("p1.speed")).alias("prespeed"), F.col("p1.heading").alias("preorien"),
         "llon", "llat", "longtime", motion.metres_per_second(F.col("speed")).alias("lspeed"),
-        F.col("heading").alias("orientation"), (F.col("longtime") - F.col("p1.longtime")).alias("time_interval"))
+        F.col("heading").alias("orientation"), (F.col("longtime") - F.col("p1.longtime")).alias("time_interval"),
+        *([F.col("p2.speed").alias("pp_kmh")] if earlier > 1 else []))
 
 
 def add_motion(pairs: DataFrame, full_circle: float = motion.FULL_CIRCLE_DEGREES,

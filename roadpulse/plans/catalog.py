@@ -17,7 +17,10 @@ from ..operators.slices import attach_row
 from ..functions.registry import register_sql_functions
 from ..session import checkpoint_dir, materialise
 from ..sources import files, jdbc, records, snapshots
+from ..sources.detail import detail_cells
 from ..streaming import detectors
+from ..streaming.jobs import alarm_tips
+from ..streaming.summaries import NAMES
 from . import streams
 from .fixture import table, telemetry
 from .inputs import accidents as accident_rows
@@ -396,10 +399,8 @@ def alarms_sliding(spark, sf_dir):
 
 @query
 def alarm_texts(spark, sf_dir):
-    p = PRESETS["bus_detail_stream"]
     m = _detail_marks(spark, sf_dir)
-    tip = text.alarm_text(F.col("rapid_mark"), F.col("a_speed"), F.lit(p.accel), F.lit(p.brake),
-                          *[F.col(c) for c in ("up_min", "up_max", "dn_min", "dn_max", "actual_dist")])
+    tip = alarm_tips(PRESETS["bus_detail_stream"])
     return m.select("jsy", "event_id", text.scatter_key(F.col("jsy"), F.col("longtime")).alias("rowkey"),
                     text.time_text(F.col("pretime")).alias("start_time"),
                     text.time_text(F.col("longtime")).alias("end_time"), tip.alias("tips"))
@@ -616,13 +617,7 @@ def cells_regions(spark, sf_dir):
 
 @query
 def mark_detail_cells(spark, sf_dir):
-    m = _detail_marks(spark, sf_dir)
-    rows = m.select(text.scatter_key(F.col("jsy"), F.col("longtime")).alias("rowkey"), "longtime", "dbuscard",
-                    F.col("time_interval").cast("string").alias("interval"),
-                    text.fixed(F.col("orient"), 1).alias("angle"),
-                    F.col("rapid_mark").cast("string").alias("status"))
-    return cells.put_columns(rows, {"cf": ["dbuscard", "interval", "angle", "status"]},
-                             F.col("longtime"), key="rowkey")
+    return detail_cells(_detail_marks(spark, sf_dir))
 
 
 # --- records and snapshots ---------------------------------------------------
@@ -674,11 +669,8 @@ def csv_round_trip(spark, sf_dir):
 
 @query
 def alarm_rows(spark, sf_dir):
-    p = PRESETS["bus_detail_stream"]
     m = _detail_marks(spark, sf_dir)
-    tip = text.alarm_text(F.col("rapid_mark"), F.col("a_speed"), F.lit(p.accel), F.lit(p.brake),
-                          *[F.col(c) for c in ("up_min", "up_max", "dn_min", "dn_max", "actual_dist")])
-    return jdbc.alarm_rows(m.withColumn("tips", tip)).drop("updatetime")
+    return jdbc.alarm_rows(m.withColumn("tips", alarm_tips(PRESETS["bus_detail_stream"]))).drop("updatetime")
 
 
 @query
@@ -739,3 +731,32 @@ def stream_alarms(spark, sf_dir):
 @query
 def stream_windows(spark, sf_dir):
     return tidy(streams.windows(spark, sf_dir))
+
+
+@query
+def stream_rendezvous_scores(spark, sf_dir):
+    """Trips scored once both of their messages have come, some of them late, repeated or too late."""
+    scored = streams.rendezvous_scores(_trips(spark, sf_dir)).drop("ts")
+    return scored.withColumn("score", F.round("score", 2)).withColumn("minutes", F.round("minutes", 1))
+
+
+@query
+def stream_learned(spark, sf_dir):
+    """Marks (0 for none) whose limits a second stream learns and publishes, and those limits."""
+    return tidy(streams.learned(spark, sf_dir).select(*MARKED, *[F.col(f"stats.{n}") for n in NAMES]))
+
+
+@query
+def stream_fixed_detail(spark, sf_dir):
+    return streams.fixed_detail(spark, sf_dir)[0].drop("updatetime")
+
+
+@query
+def stream_detail_cells(spark, sf_dir):
+    """The cells that the same job writes."""
+    return streams.fixed_detail(spark, sf_dir)[1]
+
+
+@query
+def stream_event_alarms(spark, sf_dir):
+    return streams.event_alarms(spark, sf_dir).drop("updatetime")

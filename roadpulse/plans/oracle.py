@@ -53,10 +53,10 @@ def pairs(name: str = "pr", keys: str = "jsy", before: float | None = None, afte
     return f"""
 {name}_w AS (SELECT *, lag(llon) OVER w AS prelon, lag(llat) OVER w AS prelat, lag(longtime) OVER w AS pretime,
   lag(longtime, 2) OVER w AS pptime, lag(speed) OVER w AS v0, lag({heading}) OVER w AS preorien, lag(roadcross) OVER w AS preroadcross,
-  lag(isturn) OVER w AS preisturn
+  lag(isturn) OVER w AS preisturn, lag(speed, 2) OVER w AS pp
   FROM tel {where} WINDOW w AS (PARTITION BY {keys} ORDER BY longtime, event_id)),
 {name} AS (SELECT jsy, dbuscard, event_id, ehstatus, roadcross, isturn, roadsection, wayname, waytype,
-  preroadcross, preisturn, prelon, prelat, pretime, llon, llat, longtime, v0, speed AS v1,
+  preroadcross, preisturn, prelon, prelat, pretime, llon, llat, longtime, pp, v0, speed AS v1,
   v0 / 3.6 AS prespeed, speed / 3.6 AS lspeed, preorien, {heading} AS orientation,
   longtime - pretime AS time_interval
   FROM {name}_w WHERE pretime IS NOT NULL AND {keep})"""
@@ -768,14 +768,17 @@ ORACLES["cells_regions"] = f"""WITH {CELLS}, {SPLITS},
 p AS (SELECT rowkey, cast((SELECT count(*) FROM split s WHERE s.rowkey <= cell.rowkey) AS int) AS region FROM cell
   WHERE value IS NOT NULL)
 SELECT region, count(*) AS cells, min(rowkey) AS first_key, max(rowkey) AS last_key FROM p GROUP BY region"""
-ORACLES["mark_detail_cells"] = f"""WITH {TEL}, {DETAIL_MARKS},
-d AS (SELECT jsy || '_' || reverse(cast(longtime AS varchar)) AS rowkey, longtime AS version, dbuscard,
-  cast(time_interval AS varchar) AS interval, printf('%.1f', orient) AS angle,
-  cast(rapid_mark AS varchar) AS status FROM mk)
-SELECT rowkey, 'cf' AS family, q AS qualifier, version, v AS value FROM (
-  SELECT rowkey, version, 'dbuscard' AS q, dbuscard AS v FROM d UNION ALL
-  SELECT rowkey, version, 'interval', interval FROM d UNION ALL
-  SELECT rowkey, version, 'angle', angle FROM d UNION ALL SELECT rowkey, version, 'status', status FROM d)"""
+_DETAIL_COLUMNS = {
+    "dbuscard": "dbuscard", "time": "strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S')", "lut": "cast(llon AS varchar)",
+    "lat": "cast(llat AS varchar)", "ppspeed": "cast(pp AS varchar)", "pspeed": "cast(v0 AS varchar)", "speed": "cast(v1 AS varchar)",
+    "actualMileage": _num("actual_dist", 2), "theryAvgMileage": _num("avg_dist", 2), "theroyUpMin": _num("up_min", 2),
+    "theroyUpMax": _num("up_max", 2), "theroyDnMin": _num("dn_min", 2), "theroyDnMax": _num("dn_max", 2),
+    "timeInterval": "cast(time_interval AS varchar)", "angle": "cast(orient AS varchar)",
+    "status": "CASE rapid_mark WHEN 3 THEN '5' ELSE cast(rapid_mark AS varchar) END"}
+DETAIL_CELLS = " UNION ALL ".join(
+    f"SELECT jsy || '_' || reverse(cast(longtime AS varchar)) AS rowkey, 'cf' AS family, '{name}' AS qualifier, longtime AS version, "
+    f"{e} AS value FROM mk" for name, e in _DETAIL_COLUMNS.items())
+ORACLES["mark_detail_cells"] = f"WITH {TEL}, {DETAIL_MARKS} {DETAIL_CELLS}"
 
 
 # --- records and snapshots ---------------------------------------------------
@@ -791,8 +794,7 @@ SELECT avg_upaspeed, std_upaspeed, iqr_updist, iqr_dnaspeed, avg_turn, std_aturn
 ORACLES["csv_round_trip"] = f"""WITH {TEL} SELECT jsy, dbuscard, wayname, waytype, ehstatus,
   {rr('llon llat speed carheadangle')}, strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S') AS lutc,
   longtime, strftime(make_timestamp(longtime * 1000000), '%Y%m') AS month FROM tel"""
-ORACLES["alarm_rows"] = f"""WITH {TEL}, {DETAIL_MARKS},
-tip AS (SELECT *, CASE WHEN rapid_mark = 1 AND actual_dist > 0 THEN {_tip('0.503', 'up_min', 'up_max')}
+ALARM_ROWS = f"""tip AS (SELECT *, CASE WHEN rapid_mark = 1 AND actual_dist > 0 THEN {_tip('0.503', 'up_min', 'up_max')}
   WHEN rapid_mark = 2 AND actual_dist > 0 THEN {_tip('-0.500', 'dn_min', 'dn_max')}
   WHEN rapid_mark = 3 THEN 'hard turn' END AS tips FROM mk)
 SELECT dbuscard, jsy AS dguid, strftime(make_timestamp(pretime * 1000000), '%Y-%m-%d %H:%M:%S') AS starttime,
@@ -800,6 +802,7 @@ SELECT dbuscard, jsy AS dguid, strftime(make_timestamp(pretime * 1000000), '%Y-%
   CASE rapid_mark WHEN 3 THEN '5' ELSE cast(rapid_mark AS varchar) END AS alarmtype, 0 AS alarmlevel,
   sha256(jsy || '_' || pretime || '_' || longtime || '_' || rapid_mark) AS uid, tips,
   prelon || ',' || prelat AS startpos, llon || ',' || llat AS endpos FROM tip WHERE tips IS NOT NULL"""
+ORACLES["alarm_rows"] = f"WITH {TEL}, {DETAIL_MARKS}, {ALARM_ROWS}"
 ORACLES["score_messages"] = f"""WITH RECURSIVE {TEL}, {TAXI_TRIPS},
 rq AS (SELECT *, {TAXI_SCORE} AS score, row_number() OVER (PARTITION BY jsy ORDER BY end_time) AS n FROM tt),
 rf AS (SELECT jsy, n, round(score + 1e-9, 2) AS running FROM rq WHERE n = 1
@@ -851,3 +854,74 @@ ws AS (SELECT *, unnest([longtime // 300 * 300 - 900, longtime // 300 * 300 - 60
   longtime // 300 * 300]) AS window_start FROM wq)
 SELECT window_start, {updn(False)}, {turning('turn > 60', False, True)} FROM ws
 WHERE pretime >= window_start AND window_start + 1200 <= (SELECT max(longtime) FROM raw_fix WHERE speed <= 120) - 600 GROUP BY window_start"""
+
+
+# fixes of the stream with the columns that pairs look at
+STREAM_FIXES = EVERY.replace("tel AS (SELECT * FROM raw_fix", "tel AS (SELECT *, 'B' || (cast(jsy AS bigint) % 40) AS dbuscard, "
+                             "NULL AS roadcross, 0 AS isturn, NULL AS roadsection, NULL AS wayname, NULL AS waytype FROM raw_fix")
+ORACLES["stream_fixed_detail"] = f"WITH {STREAM_FIXES}, {DETAIL_MARKS}, {ALARM_ROWS}"
+ORACLES["stream_detail_cells"] = f"WITH {STREAM_FIXES}, {DETAIL_MARKS} {DETAIL_CELLS}"
+_EVENT = band("0.885", "-0.878", "26.256", "41.484", 89.29677, 14.98, 28.95, turn_first=False)
+_FIRED = alarms().replace(f"{TEL}, {SIMPLE_MARKS}", f"{STREAM_FIXES}, {pairs(after=None, third=True)}, {motion(variant='ramp')}, "
+    f"mk AS (SELECT * FROM (SELECT *, {_EVENT} AS rapid_mark FROM mo) WHERE rapid_mark <> 0)")
+ORACLES["stream_event_alarms"] = f"""SELECT 'B' || (cast(jsy AS bigint) % 40) AS dbuscard, jsy AS dguid,
+  strftime(make_timestamp(opened * 1000000), '%Y-%m-%d %H:%M:%S') AS starttime,
+  strftime(make_timestamp(ends * 1000000), '%Y-%m-%d %H:%M:%S') AS endtime, 180 AS contime, cast(rapid_mark AS varchar) AS alarmtype,
+  0 AS alarmlevel, 0 AS deal, sha256(jsy || '_' || opened || '_' || rapid_mark) AS uid, 0 AS speed, 0 AS wspeed FROM ({_FIRED})"""
+
+
+def _fences(kind: str, condition: str) -> str:
+    """Fences of the mileage gap, to a tenth of a metre, over the pairs of each window."""
+    return f"""
+{kind}_x AS (SELECT e, floor(distance * 10 + 0.5) AS x, count(*) AS n FROM lw WHERE {condition} GROUP BY ALL),
+{kind}_c AS (SELECT e, x, sum(n) OVER (PARTITION BY e ORDER BY x) AS upto, sum(n) OVER (PARTITION BY e) AS n FROM {kind}_x),
+{kind}_q AS (SELECT e, min(x) FILTER (WHERE upto >= 0.25 * n) / 10 AS q1, min(x) FILTER (WHERE upto >= 0.75 * n) / 10 AS q3 FROM {kind}_c GROUP BY e)"""
+
+
+_LEARNED = band("avg_upaspeed + 3 * std_upaspeed", "avg_dnaspeed - 3 * std_upaspeed", "iqr_updist", "iqr_updist_max",
+                turn="avg_turn", rate="avg_aturn + 3 * std_aturn", speed="avg_tnspeed + 3 * std_tnspeed",
+                straight=30, turn_first=False, dlo="iqr_dndist", dhi="iqr_dndist_max")
+ORACLES["stream_learned"] = f"""WITH {STREAM_FIXES},
+lf AS (SELECT *, lag(llon) OVER w AS prelon, lag(llat) OVER w AS prelat, lag(longtime) OVER w AS pretime,
+  lag(speed) OVER w AS v0, lag(orientation) OVER w AS preorien FROM (SELECT * FROM raw_fix WHERE speed <= 120
+  QUALIFY row_number() OVER (PARTITION BY jsy, longtime ORDER BY event_id) = 1) WINDOW w AS (PARTITION BY jsy ORDER BY longtime)),
+lp AS (SELECT *, speed AS v1, v0 / 3.6 AS prespeed, speed / 3.6 AS lspeed, longtime - pretime AS time_interval
+  FROM lf WHERE pretime IS NOT NULL), {published('lp', 'lq')},
+lw AS (SELECT *, unnest(range(longtime // 300 + 1, pretime // 300 + 5)) AS e FROM lq),
+lt AS (SELECT e, avg(turn) FILTER (WHERE turn > 45) AS avg_turn FROM lw GROUP BY e),
+{_fences('up', 'aspeed > 0')}, {_fences('dn', 'aspeed < 0')},
+ls AS (SELECT e, avg(aspeed) FILTER (WHERE aspeed > 0) AS avg_upaspeed, stddev_samp(aspeed) FILTER (WHERE aspeed > 0) AS std_upaspeed,
+  avg(aspeed) FILTER (WHERE aspeed < 0) AS avg_dnaspeed, stddev_samp(aspeed) FILTER (WHERE aspeed < 0) AS std_dnaspeed,
+  any_value(avg_turn) AS avg_turn, avg(aturn) FILTER (WHERE turn > avg_turn) AS avg_aturn,
+  stddev_samp(aturn) FILTER (WHERE turn > avg_turn) AS std_aturn, avg(tnspeed) FILTER (WHERE turn > avg_turn) AS avg_tnspeed,
+  stddev_samp(tnspeed) FILTER (WHERE turn > avg_turn) AS std_tnspeed FROM lw JOIN lt USING (e) GROUP BY e),
+published AS (SELECT ls.*, u.q3 + 1.5 * (u.q3 - u.q1) AS iqr_updist, u.q3 + 3 * (u.q3 - u.q1) AS iqr_updist_max,
+  d.q3 + 1.5 * (d.q3 - d.q1) AS iqr_dndist, d.q3 + 3 * (d.q3 - d.q1) AS iqr_dndist_max
+  FROM ls JOIN up_q u USING (e) JOIN dn_q d USING (e)
+  WHERE e <= (SELECT max(longtime // 300) FROM lq) AND std_upaspeed IS NOT NULL AND std_dnaspeed IS NOT NULL AND std_aturn IS NOT NULL),
+{pairs(after=120, strict=True, third=True)}, {motion(variant='ramp')},
+near AS (SELECT unnest(range(e, e + 4)) AS slide, e FROM published),
+ms AS (SELECT mo.*, published.* EXCLUDE (e) FROM mo JOIN (SELECT slide, max(e) AS e FROM near GROUP BY slide) n ON mo.longtime // 300 = n.slide
+  JOIN published USING (e)),
+mk AS (SELECT *, {_LEARNED} AS rapid_mark FROM ms)
+SELECT {MARKED}, {rr("avg_upaspeed std_upaspeed iqr_updist iqr_updist_max avg_dnaspeed std_dnaspeed iqr_dndist iqr_dndist_max "
+                     "avg_turn avg_aturn std_aturn avg_tnspeed std_tnspeed")} FROM mk"""
+
+ORACLES["stream_rendezvous_scores"] = f"""WITH RECURSIVE {TEL}, {TAXI_TRIPS},
+zb AS (SELECT min(end_time) AS t0, max(end_time) AS t1 FROM tt),
+zt AS (SELECT tt.*, (end_time - t0) * 3 // (t1 - t0 + 1) AS part,
+  CASE WHEN begin_time % 11 = 0 THEN 2 WHEN begin_time % 5 = 0 THEN 1 ELSE 0 END AS late FROM tt, zb),
+zo AS (SELECT jsy, begin_time, end_time, part AS sent FROM zt
+  UNION ALL SELECT jsy, begin_time, end_time, part + 1 FROM zt WHERE begin_time % 7 = 0),
+zm AS (SELECT jsy, begin_time, end_time, part + late AS sent FROM zt),
+low AS (SELECT sent, least((SELECT max(end_time) FROM zo WHERE zo.sent < s.sent), (SELECT max(end_time) FROM zm WHERE zm.sent < s.sent))
+  - 899.5 AS low FROM (SELECT unnest(range(5)) AS sent) s),
+met AS (SELECT DISTINCT jsy, begin_time, end_time FROM zo JOIN low USING (sent) WHERE low IS NULL OR end_time > low
+  INTERSECT SELECT jsy, begin_time, end_time FROM zm JOIN low USING (sent) WHERE low IS NULL OR end_time > low),
+rq AS (SELECT tt.*, {TAXI_SCORE} AS score, row_number() OVER (PARTITION BY jsy ORDER BY end_time) AS n
+  FROM tt JOIN met USING (jsy, begin_time, end_time)),
+rf AS (SELECT jsy, n, round(score + 1e-9, 2) AS running FROM rq WHERE n = 1
+  UNION ALL SELECT q.jsy, q.n, round((f.running + q.score) / 2 + 1e-9, 2)
+  FROM rf f JOIN rq q ON q.jsy = f.jsy AND q.n = f.n + 1)
+SELECT jsy, begin_time, end_time, over0, over1, over2, over3, accelerations, brakings, turns, round(score, 2) AS score,
+  round(seconds / 60 + 1e-9, 1) AS minutes, running FROM rq JOIN rf USING (jsy, n)"""

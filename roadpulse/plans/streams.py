@@ -6,13 +6,16 @@ A user's events are hours apart; ten minutes of the table count as one second.
 from __future__ import annotations
 
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import trips
-from ..session import checkpoint_dir
-from ..streaming import detectors
-from ..streaming.state import alarms as stream_alarms_of
+from ..session import checkpoint_dir, materialise
+from ..sources import records
+from ..streaming import detectors, jobs, summaries
+from ..streaming.state import SCORE_NAMES, alarms as stream_alarms_of, running_scores
 from .fixture import table
 from .inputs import over_code
 
@@ -37,23 +40,35 @@ def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def run_to_end(df: DataFrame, name: str) -> DataFrame:
-    """Process everything there is, write it as a table and read it back.
+    """Process everything there is, write it as a table and read it back."""
+    base = folder(df.sparkSession, name)
+    with few_partitions(df.sparkSession):
+        query = (df.writeStream.format("parquet").option("path", f"{base}/rows")
+                 .option("checkpointLocation", f"{base}/state").outputMode("append")
+                 .trigger(availableNow=True).start())
+    finish(query)
+    return df.sparkSession.read.schema(df.schema).parquet(f"{base}/rows")
 
-    Every state partition costs a store and a Python worker per stateful step,
-    so there are no more of them than cores.
-    """
-    spark = df.sparkSession
-    base = f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
+
+@contextmanager
+def few_partitions(spark: SparkSession):
+    """No more state partitions than cores: each costs a store and a Python worker per stateful step."""
     partitions = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", min(int(partitions), spark.sparkContext.defaultParallelism))
     try:
-        query = (df.writeStream.format("parquet").option("path", f"{base}/rows")
-                 .option("checkpointLocation", f"{base}/state").outputMode("append")
-                 .trigger(availableNow=True).start())
+        yield
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
+def folder(spark: SparkSession, name: str) -> str:
+    return f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
+
+
+def finish(query: StreamingQuery) -> None:
     query.awaitTermination()
-    return spark.read.schema(df.schema).parquet(f"{base}/rows")
+    if query.exception() is not None:
+        raise query.exception()
 
 
 def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -74,8 +89,8 @@ def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
 def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     detectors.use_state_store(spark)
     marked = detectors.step_marks(event_stream(spark, sf_dir)).where("raw_mark <> 0").select(
-        "jsy", F.col("raw_mark").alias("rapid_mark"), "ts", "longtime", F.col("p1.longtime").alias("pretime"))
-    return run_to_end(stream_alarms_of(marked).drop("ts"), "alarms")
+        "jsy", F.col("raw_mark").alias("rapid_mark"), "ts", "dbuscard", "longtime", F.col("p1.longtime").alias("pretime"))
+    return run_to_end(stream_alarms_of(marked).drop("ts", "dbuscard"), "alarms")
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,3 +99,80 @@ def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     stats = detectors.window_statistics(event_stream(spark, sf_dir), "20 minutes", "5 minutes", mode="moments")
     out = stats.withColumn("window_start", F.unix_seconds(F.col("window.start"))).drop("window")
     return run_to_end(out, "windows")
+
+
+#: Windows of 20 minutes every 5, as in ``windows``.
+LEARNING = summaries.Windows(seconds=300, slides=4)
+
+
+def learned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Judged pairs and their limits, which a second job learns from the same stream and publishes window by window."""
+    detectors.use_state_store(spark)
+    base = folder(spark, "learned")
+    with few_partitions(spark):
+        plausible = detectors.pair_stream(event_stream(spark, sf_dir).where("speed <= 120"), min_rank=2)
+        finish(jobs.start(plausible, summaries.publish(base, LEARNING), f"{base}/learn", availableNow=True))
+        pairs = detectors.pair_stream(event_stream(spark, sf_dir))
+        judge = summaries.detect(base, jobs.table_sink(f"{base}/marks"), LEARNING, keep_zero=True)
+        finish(jobs.start(pairs, judge, f"{base}/detect", availableNow=True))
+    return spark.read.parquet(f"{base}/marks").drop("batch")
+
+
+def fixed_detail(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(alarm rows, cells) of the detail detector."""
+    detectors.use_state_store(spark)
+    base = folder(spark, "detail")
+    with few_partitions(spark):
+        finish(jobs.fixed_detail(event_stream(spark, sf_dir), base, f"{base}/state", availableNow=True))
+    return tuple(spark.read.parquet(f"{base}/{part}").drop("batch") for part in ("alarms", "cells"))
+
+
+def event_alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detectors.use_state_store(spark)
+    base = folder(spark, "event-alarms")
+    with few_partitions(spark):
+        finish(jobs.event_alarms(event_stream(spark, sf_dir), f"{base}/rows", f"{base}/state", availableNow=True))
+    return spark.read.parquet(f"{base}/rows").drop("batch")
+
+
+#: Parts of the trips' time, and the parts by which a message may come late.
+PARTS, LATEST = 3, 2
+#: How long a message may wait; half a second keeps it off whole seconds.
+MEETING = "899500 milliseconds"
+
+
+def rendezvous_scores(found: DataFrame) -> DataFrame:
+    """Trips scored by the rendezvous of their two messages, with the driver's running score.
+
+    The messages go out part by part: over-speed ones with the trip's part and
+    every seventh again with the next, mark ones up to two parts late. The job
+    is stopped and started again between the parts.
+    """
+    spark = found.sparkSession
+    detectors.use_state_store(spark)
+    base = folder(spark, "rendezvous")
+    late = F.when(F.col("begin_time") % 11 == 0, 2).when(F.col("begin_time") % 5 == 0, 1).otherwise(0)
+    rows = found.withColumn("seconds", F.col("end_time") - F.col("begin_time"))
+    rows = materialise(rows, "trips")
+    low, high = rows.agg(F.min("end_time"), F.max("end_time")).first()
+    if low is None:
+        return spark.createDataFrame([], ", ".join(["jsy string, begin_time bigint, end_time bigint", *[f"{n} bigint" for n in (*jobs.OVER, *jobs.MARKS)],
+                                                    "minutes double, score double, running double"]))
+    rows = rows.withColumn("part", F.expr(f"(end_time - {low}) * {PARTS} div {high - low + 1}")).withColumn("late", late)
+
+    def messages(kind: str) -> DataFrame:
+        raw = spark.readStream.schema("value string").parquet(f"{base}/{kind}")
+        return records.parse_status(raw).drop("tag").withColumn("ts", F.timestamp_seconds("end_time"))
+
+    with few_partitions(spark):
+        for part in range(PARTS + LATEST):
+            again = (F.col("part") == part - 1) & (F.col("begin_time") % 7 == 0)
+            records.status_message(rows.where((F.col("part") == part) | again)).write.mode("append").parquet(f"{base}/over")
+            records.status_message(rows.where(F.col("part") + F.col("late") == part)).write.mode("append").parquet(f"{base}/marks")
+            for kind, names in (("over", jobs.OVER), ("marks", jobs.MARKS)):
+                jobs.store_counts(rows.where(F.col("part") == part), f"{base}/counts/{kind}", names, part)
+            finish(jobs.rendezvous_scores(messages("over"), messages("marks"), f"{base}/counts", f"{base}/scored", f"{base}/state",
+                                          MEETING, availableNow=True))
+    scored = spark.read.parquet(f"{base}/scored")
+    stream = spark.readStream.schema(scored.schema).parquet(f"{base}/scored").withWatermark("ts", "3650 days")
+    return run_to_end(running_scores(stream.select(*SCORE_NAMES)), "rendezvous-running")

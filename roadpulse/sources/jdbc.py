@@ -67,9 +67,9 @@ def alarm_rows(marks: DataFrame, tips: str | None = "tips") -> DataFrame:
 
 
 def event_rows(alarms: DataFrame, window: int = 180) -> DataFrame:
-    """Rows of the alarm table for fired alarms (``jsy, rapid_mark, opened, ends``)."""
+    """Rows of the alarm table for fired alarms (``jsy, dbuscard, rapid_mark, opened, ends``)."""
     return alarms.select(
-        F.col("jsy").alias("dguid"), text.time_text(F.col("opened")).alias("starttime"),
+        "dbuscard", F.col("jsy").alias("dguid"), text.time_text(F.col("opened")).alias("starttime"),
         text.time_text(F.col("ends")).alias("endtime"), F.lit(window).alias("contime"),
         F.col("rapid_mark").cast("string").alias("alarmtype"),
         F.date_format(F.current_timestamp(), text.TIME_FORMAT).alias("updatetime"),

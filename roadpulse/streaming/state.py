@@ -83,7 +83,7 @@ class Alarms(StatefulProcessor):
                 opened, _, ends, seen = now
                 seen += 1
                 if seen == self.fire_at:
-                    yield self._out(key[0], key[1], row["ts"], t, opened, ends)
+                    yield self._out(key[0], key[1], row["ts"], row["dbuscard"], t, opened, ends)
                 if self.slide and seen <= self.fire_at:
                     ends = t + self.window
                 now = (opened, t, ends, min(seen, self.fire_at))
@@ -97,7 +97,7 @@ class Alarms(StatefulProcessor):
         pass
 
 
-ALARM_SCHEMA = "jsy string, rapid_mark int, ts timestamp, fired_at bigint, opened bigint, ends bigint"
+ALARM_SCHEMA = "jsy string, rapid_mark int, ts timestamp, dbuscard string, fired_at bigint, opened bigint, ends bigint"
 
 
 class Rides(StatefulProcessor):
@@ -195,8 +195,9 @@ def previous_fixes(fixes: DataFrame) -> DataFrame:
 
 
 def alarms(marks: DataFrame, window: int = 180, fire_at: int = 2, slide: bool = False) -> DataFrame:
-    """Alarms of a stream of marked pairs (``jsy, rapid_mark, ts, longtime, pretime``)."""
-    rows = marks.select("jsy", F.col("rapid_mark").cast("int").alias("rapid_mark"), "ts", "longtime", "pretime")
+    """Alarms of a stream of marked pairs (``jsy, rapid_mark, ts, dbuscard, longtime, pretime``), with the
+    vehicle of the mark that fired."""
+    rows = marks.select("jsy", F.col("rapid_mark").cast("int").alias("rapid_mark"), "ts", "dbuscard", "longtime", "pretime")
     return _run(rows, ["jsy", "rapid_mark"], Alarms(window, fire_at, slide), ALARM_SCHEMA)
 
 

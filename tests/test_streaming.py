@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from roadpulse.operators import episodes, marks, pairs, thresholds, trips
+from roadpulse.operators import episodes, marks, pairs, trips
 from roadpulse.operators.presets import PRESETS
 from roadpulse.plans.inputs import over_code
 from roadpulse.streaming import detectors, state
@@ -51,10 +51,8 @@ def test_scores(spark, source, tmp_path):
 def test_fixed_detector_and_alarms(spark, source, tmp_path):
     preset = PRESETS["bus_event_stream"]
     got = finish(detectors.fixed_alarms(stream(spark, source), preset), "s_alarms", str(tmp_path / "a"))
-    motion = pairs.add_motion(pairs.pair_fixes(source[1], pairs.PairRule(speed_after=None)), limits="ramp")
-    rank = pairs.neighbours(source[1], ["jsy"], ["longtime"]).select("jsy", "event_id", "rank")
+    motion = pairs.add_motion(pairs.every_pair(source[1], earlier=2).where("time_interval BETWEEN 5 AND 60"), limits="ramp")
     m = marks.with_marks(motion, marks.band_mark(marks.batch_limits(preset), preset.straight, preset.turn_first))
-    m = m.join(rank.where("rank >= 3"), ["jsy", "event_id"])
     same(got, episodes.fired(m), ["jsy", "rapid_mark", "fired_at", "opened", "ends"])
 
 
@@ -115,41 +113,6 @@ def test_lookup_of_missing_counts(spark):
     assert got == {"a": 5, "b": 0}
 
 
-def test_published_statistics_feed_the_detector(spark, source, tmp_path):
-    out = str(tmp_path / "pub")
-    stats_pairs = detectors.pair_stream(stream(spark, source).where("speed <= 120"), min_rank=2)
-    q = (stats_pairs.writeStream.foreachBatch(detectors.publish_statistics(out))
-         .option("checkpointLocation", str(tmp_path / "ck1")).trigger(availableNow=True).start())
-    q.awaitTermination(300)
-    assert q.exception() is None
-    batch_pairs = pairs.pair_fixes(source[1], pairs.PairRule(min_gap=0, max_gap=3600, speed_before=120.0, speed_after=None))
-    want = thresholds.published_stats(thresholds.add_published_motion(batch_pairs)).first().asDict()
-    from roadpulse.sources import snapshots
-    names = list(want)
-    got = snapshots.read_latest(spark, f"{out}/stats", names).first().asDict()
-    for n in ("avg_upaspeed", "std_upaspeed", "avg_turn", "iqr_updist"):
-        assert got[n] == pytest.approx(want[n])
-
-    written = []
-
-    def write(df, epoch):
-        written.extend(df.select("jsy", "event_id", "rapid_mark").collect())
-
-    q = detectors.detect_learned(detectors.pair_stream(stream(spark, source)), f"{out}/stats", names, write,
-                                 str(tmp_path / "ck2"), availableNow=True)
-    q.awaitTermination(300)
-    assert q.exception() is None
-    everything = detectors.pair_stream(stream(spark, source))
-    assert everything.isStreaming
-    rank = pairs.neighbours(source[1], ["jsy"], ["longtime"]).select("jsy", "event_id", "rank")
-    m = pairs.add_motion(pairs.pair_fixes(source[1], pairs.PairRule(speed_after=120.0, strict=True)), limits="ramp")
-    from roadpulse.operators.slices import attach_row
-    stats = snapshots.read_latest(spark, f"{out}/stats", names)
-    mark = marks.band_mark(marks.published_limits("stats"), straight=30.0, turn_first=False)
-    batch = marks.with_marks(attach_row(m.join(rank.where("rank >= 3"), ["jsy", "event_id"]), stats, "stats"), mark)
-    assert sorted(map(tuple, written)) == sorted(map(tuple, batch.select("jsy", "event_id", "rapid_mark").collect()))
-
-
 def test_stream_reads_a_table_of_many_files(spark, data, tmp_path):
     from roadpulse.plans import streams
 
