@@ -8,6 +8,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer, models, normalizers
 
+from pyspark.sql import functions as F
+
 from roadpulse.llm import line_templates, site_style, substrings, token_counts, toxicity
 from roadpulse.llm.fm_index import FmIndex, suffix_array
 
@@ -116,6 +118,64 @@ def test_page_text(spark):
     assert site_style.page_texts(pages.where("false")).count() == 0
 
 
+def test_names_are_evidence_only():
+    kept = "<p>Main text here.</p>"
+    for page in (f"<div class='content with-sidebar'><article>{kept}</article></div>", f"<article class='post comments-open'>{kept}</article>",
+                 f"<article><h2 id='related-work'>Main</h2><section id='discussion'><p>text</p></section><p id='legal'>here.</p></article>",
+                 f"<main><article><p>Main</p></article><article><p>text here.</p></article></main>",
+                 f"<main><h1>Main</h1><article><p>text here.</p></article></main>",
+                 f"<article><div class='social-policy'>{kept}</div></article>", f"<form id=page><div class=sidebar><article>{kept}</article></div></form>",
+                 f"<div id=content class='has-sidebar no-comments'><main>{kept}</main></div>",
+                 f"<main>{kept}<section id=comments><article><p>First!</p></article></section></main>",
+                 f"<article>{kept}<div id='comments'><p>Nice</p></div><ul class='share-buttons'><li>x</ul><div class='related-posts'>y</div></article>",
+                 f"<article>{kept}</article><aside><article><p>A longer text of another article stands here</p></article></aside>",
+                 f"<article>{kept}</article><div class='related'><article><p>A longer text of another article stands here</p></article></div>"):
+        assert site_style.main_text(f"<html><body><nav>Menu</nav>{page}<footer>f</footer></body></html>") == "Main text here.", page
+
+
+def test_layout_speaks_for_a_text_that_is_everywhere(spark):
+    """A heading that all pages have stays where its element is laid out anew on each page."""
+    def page(n):
+        return (f"<body><div class=note>Same on all</div><div class=body><h2>Ingredients</h2>{'<p>part</p>' * (n + 1)}<p>salt {n}</p></div>"
+                f"<div class=box><h2>Same</h2><p>box</p></div></body>")
+    pages = spark.createDataFrame([(n, "http://h.example/a", page(n)) for n in range(9)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in site_style.page_texts(pages).collect()}
+    assert got[2] == "Ingredients part part part salt 2"
+    tree = {r.path.rsplit("/", 2)[-2:][0] + "/" + r.path.rsplit("/", 1)[-1]: r for r in site_style.style_tree(
+        pages.withColumn("host", F.lit("h"))).collect()}
+    assert tree["div.body/h2"].content == 0 and tree["div.body/h2"].presentation == 1 and tree["div.box/h2"].importance == 0
+
+
+def test_pages_built_with_their_text(spark):
+    """Pages of several hosts built at random together with the text that is theirs."""
+    rng = np.random.default_rng(11)
+    say = lambda n: " ".join("".join(rng.choice(list("abcdeé<&"), 5)) for _ in range(n))
+    hidden = ["<nav><ul><li>Home<li>About</ul></nav>", "<aside><h3>More</h3><p>Other</p></aside>", "<div class='ad'>Buy</div>", "<form><label>Mail</label><input></form>",
+              "<script>var p='</p>'</script>", "<div class=cookie-banner>We use</div>", "<!-- <p>old</p> -->", "<section id=comments><p>First!</p></section>"]
+    rows, want = [], {}
+    for i in range(60):
+        own, body = [], ""
+        for _ in range(rng.integers(1, 9)):
+            text = say(rng.integers(1, 12))
+            safe = text.replace("&", "&amp;").replace("<", "&lt;")
+            kind = rng.integers(0, 5)
+            if kind == 4:
+                body += hidden[rng.integers(0, len(hidden))]
+                continue
+            body += [f"<p>{safe}</p>", f"<h2 id=share>{safe}</h2>", f"<ul><li>{safe}</ul>", f"<blockquote><p><b>{safe[:0]}</b>{safe}</blockquote>"][kind]
+            own.append(text)
+        shell = ["<div class='page with-sidebar'><article>{}</article></div>", "<main>{}</main>", "<article class='post no-share'>{}</article>"][i % 3]
+        noise = "".join(hidden[k] for k in rng.integers(0, len(hidden), 3))
+        rows.append((i, f"https://h{i % 3}.example/{i}", f"<html><head><title>t</title></head><body><header>Site</header>{noise}{shell.format(body)}{noise}<footer>f</footer></body></html>"))
+        want[i] = " ".join(own)
+    rows += [(100, rows[0][1], rows[0][2]), (100, rows[0][1], rows[0][2])]
+    want[100] = want[0]
+    got = site_style.page_texts(spark.createDataFrame([(*r, 7, "x") for r in rows], "page_id long, url string, html string, n_chars int, host string")).collect()
+    assert len(got) == 62
+    for r in got:
+        assert r.text == want[r.page_id] and r.n_chars == len(r.text), rows[r.page_id % 100]
+
+
 def test_lexicon_catches_misspellings():
     lexicon = toxicity.Lexicon({"worthless": 2.0, "idiot": 1.0, "scum": 1.0}, {"vequ": 1.0})
     assert [lexicon.match(w) for w in ("idiot", "idiott", "idoit", "wortless", "worthlesss", "scun", "vequment", "idea")] == [
