@@ -17,7 +17,7 @@ from collections import defaultdict
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .tables import doc_texts, map_batches, stored
@@ -25,6 +25,8 @@ from .words import ALNUM, Words, shingle_hashes, words
 
 WINDOW = 10
 SHINGLE = 3
+#: What stands for items without id.
+NO_ID = "null"
 #: Words of the items of one block: some 10 MB with the index over them.
 BLOCK_WORDS = 200_000
 
@@ -126,7 +128,7 @@ def windows_in(w: Words, index: WindowIndex) -> tuple[np.ndarray, np.ndarray]:
 
 
 def hits_of_block(docs: DataFrame, index: WindowIndex) -> DataFrame:
-    """One row per document: doc_id, n_words, hits (disjoint spans of words, end exclusive), items."""
+    """One row per document: doc_id, text_key, n_words, hits (disjoint spans of words, end exclusive), items."""
     ids = docs.schema["doc_id"].dataType.simpleString()
 
     def find(batch: pa.RecordBatch):
@@ -149,45 +151,59 @@ def hits_of_block(docs: DataFrame, index: WindowIndex) -> DataFrame:
             spans: list[list[dict]] = [[] for _ in range(n_docs)]
             for d, a, b in zip((np.searchsorted(w.first, begins, "right") - 1).tolist(), begins.tolist(), ends.tolist()):
                 spans[d].append({"start": a - base[d], "end": b - base[d]})
-            yield {"doc_id": batch.column("doc_id").slice(w.lo, n_docs), "n_words": pa.array(np.diff(w.first)),
-                   "hits": spans, "items": [sorted(x) for x in items]}
+            yield {"doc_id": batch.column("doc_id").slice(w.lo, n_docs), "text_key": batch.column("text_key").slice(w.lo, n_docs),
+                   "n_words": pa.array(np.diff(w.first)), "hits": spans, "items": [sorted(x) for x in items]}
 
-    return map_batches(docs, find, f"doc_id {ids}, n_words long, hits array<struct<start:long,end:long>>, items array<string>")
+    return map_batches(docs, find, f"doc_id {ids}, text_key string, n_words long, hits array<struct<start:long,end:long>>, items array<string>")
 
 
-def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """doc_id, n_words, hits, items: where item windows lie in each document.
+def text_key(text: Column) -> Column:
+    """What tells the texts of rows with one doc_id apart, null ids included."""
+    return F.md5(F.coalesce(text.cast("string"), F.lit("")))
 
-    Words are runs of digits, letters and non-ASCII characters of the
-    lower-cased text. Null or empty documents have no words and no hits; null,
-    empty or wordless items have no window; an empty benchmark hits nothing; an
-    empty table gives no rows. Repeated rows get a row each; item ids that
-    repeat count once. Columns other than doc_id, item_id and text are not
-    looked at.
-    """
-    docs = doc_texts(docs)
-    items = stored(benchmark.select(F.col("item_id").cast("string").alias("item_id"), "text")
-                   .where("item_id is not null and text is not null")
-                   .withColumn("size", F.length("text")), "items")
+
+def find_in_rows(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, text_key, n_words, hits, items of every row; see ``find_contamination``."""
+    docs = doc_texts(docs).withColumn("text_key", text_key(F.col("text")))
+    items = stored(benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit(NO_ID)).alias("item_id"), "text")
+                   .where("text is not null").withColumn("size", F.length("text")), "items")
     blocks = max(1, -((items.agg(F.sum("size")).first()[0] or 0) // -(4 * block_words)))
     found = []
     for b in range(blocks):
-        block = items.where(F.pmod(F.xxhash64("item_id"), F.lit(blocks)) == b).select("item_id", "text")
+        # by text, so that many rows of one id, or of none, do not make one block large
+        block = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == b).select("item_id", "text").distinct()
         index = WindowIndex([tuple(r) for r in block.collect()])  # about block_words words
         found.append(hits_of_block(docs, index.choose(count_shingles(docs, index))))
     if blocks == 1:
         return found[0]
-    # one row per document and block; rows are numbered within equal ids by what they hold alone
-    every = found[0].withColumn("block", F.lit(0))
-    for b, f in enumerate(found[1:], 1):
-        every = every.unionByName(f.withColumn("block", F.lit(b)))
-    merged = every.groupBy("doc_id").agg(
-        F.max("n_words").alias("n_words"), F.count(F.when(F.col("block") == 0, 1)).alias("copies"),
+    # equal rows have equal hits, so a row's id and text stand for it; only rows with hits are merged
+    some = None
+    for f in found:
+        own = f.where(F.size("hits") > 0).dropDuplicates(["doc_id", "text_key"]).select(
+            F.col("doc_id").alias("hit_id"), F.col("text_key").alias("hit_key"), "hits", "items")
+        some = own if some is None else some.unionByName(own)
+    merged = stored(some.groupBy("hit_id", "hit_key").agg(  # a row a block each
         F.array_sort(F.flatten(F.collect_list("hits"))).alias("hits"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items"))
-    return merged.select(
-        "doc_id", "n_words", union_spans(F.col("hits")).alias("hits"), "items",
-        F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))).alias("copy")).drop("copy")
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("items")))).alias("items")), "merged-hits")
+    rows = found[0].select("doc_id", "text_key", "n_words")
+    both = rows.join(merged, rows["doc_id"].eqNullSafe(merged["hit_id"]) & (rows["text_key"] == merged["hit_key"]), "left")
+    none = F.array().cast("array<struct<start:long,end:long>>")
+    return both.select("doc_id", "text_key", "n_words", F.coalesce(union_spans(F.col("hits")), none).alias("hits"),
+                       F.coalesce("items", F.array().cast("array<string>")).alias("items"))
+
+
+def find_contamination(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """doc_id, n_words, hits, items: where item windows lie in each document, one row per row of ``docs``.
+
+    Words are runs of digits, letters and non-ASCII characters of the
+    lower-cased text. Null or empty documents have no words and no hits; null,
+    empty or wordless items have no window; an empty benchmark hits nothing; an
+    empty table gives no rows. Every row is judged by its own text, also where
+    ids repeat or are null. Rows of one item id are one item; items without id
+    are the one item ``null``. Columns other than doc_id, item_id and text are
+    not looked at. A benchmark of any size gives the same result.
+    """
+    return find_in_rows(docs, benchmark, block_words).drop("text_key")
 
 
 def union_spans(hits):
@@ -209,7 +225,12 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The documents without any item window, all their columns."""
-    bad = stored(find_contamination(docs, benchmark).where(F.size("hits") > 0).select(F.col("doc_id").alias("bad_id")), "contaminated")
-    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]), "left_anti")
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The documents without any item window, all their columns.
+
+    Every row is judged by its own text: rows that share an id, or have none,
+    go only if they hold a window themselves.
+    """
+    bad = stored(find_in_rows(docs, benchmark, block_words).where(F.size("hits") > 0).select(
+        F.col("doc_id").alias("bad_id"), F.col("text_key").alias("bad_key")), "contaminated")
+    return docs.join(bad, docs["doc_id"].eqNullSafe(bad["bad_id"]) & (text_key(docs["text"]) == bad["bad_key"]), "left_anti")

@@ -53,6 +53,26 @@ def test_contamination(spark, docs, corpus, none, nameless):
     assert kept.columns == docs.columns and kept.count() == sum(n for k, n in want.items() if not k[-1])
 
 
+def test_contamination_is_the_same_in_blocks(spark):
+    """Repeated and null ids of documents and items, over one block and over many."""
+    window = "one two three four five six seven eight nine ten"
+    rows = [(7, f"{window} and more"), (7, "nothing at all"), (7, f"{window} and more"), (None, "nothing here"), (None, f"x {window.upper()}"),
+            (None, None), (8, "short item only"), (9, ""), (9, f"{window} eleven twelve short item")]
+    items = [(1, f"{window} eleven"), (None, window), (None, "short item"), (2, "short item"), (2, "only"), (3, None), (4, " ?"), (1, f"{window} eleven")]
+    docs = spark.createDataFrame([(*r, k) for k, r in enumerate(rows)], "doc_id long, text string, bad_key int").repartition(3)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    want = brute_contamination(rows, [("null" if i is None else i, t) for i, t in items])
+    assert sum(want.values()) == len(rows) and {k[3] for k in want} == {0, 2, 3}
+    for block_words in (decontaminate.BLOCK_WORDS, 8, 3):
+        got = decontaminate.find_contamination(docs, bench, block_words)
+        assert Counter((r.doc_id, r.n_words, sum(h.end - h.start for h in r.hits), len(r["items"]),
+                        hashlib.sha256(",".join(r["items"]).encode()).hexdigest(), bool(r.hits)) for r in got.collect()) == want
+        kept = decontaminate.drop_contaminated(docs, bench, block_words)
+        assert kept.columns == docs.columns
+        assert sorted((r.doc_id or 0, r.text or "") for r in kept.collect()) == sorted([(7, "nothing at all"), (0, "nothing here"), (0, ""), (9, "")])
+    assert Counter(map(tuple, decontaminate.contamination(docs, bench).collect())) == want
+
+
 def test_exact_copies(docs, corpus, none, nameless):
     groups = defaultdict(list)
     for i, t in corpus:
