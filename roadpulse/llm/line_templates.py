@@ -30,7 +30,7 @@ AGREED, CONSTANT, ALIKE = 5, 7, 8
 #: A document's votes in a group, shared by its forms there.
 VOTES = 720_720
 _VARIABLE = r"(?<![^ \n])[^ \n0-9]*+[0-9][^ \n]*+"
-_ROW = ["doc_id", "text_key"]
+_ROW, _FORM = ["doc_id", "text_key"], ["a", "b"]
 
 
 def masked(text: Column) -> Column:
@@ -52,16 +52,21 @@ def lines_of(docs: DataFrame) -> DataFrame:
     return rows.select(*_ROW, "k", F.xxhash64(_places(form), F.substring_index(form, " ", DEPTH)).alias("leaf"), *_digest(form), "form")
 
 
-def judge(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
-    """(forms of templates, what is left, split into the groups of the next level).
+def _narrower(*parts: Column) -> Column:
+    """Key of the group that the parts lead to, 16 bytes."""
+    return F.unhex(F.md5(F.concat_ws("\n", *parts)))
 
-    ``rows`` are distinct: doc_id, text_key, form, group.
+
+def judge(rows: DataFrame, texts: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
+    """(a, b of the forms of templates; what is left, split into the groups of the next level).
+
+    ``rows`` are distinct: doc_id, text_key, a, b, group; ``texts`` has the tokens of each form.
     """
     own = Window.partitionBy(*_ROW, "group")
     shares = rows.withColumn("forms", F.count("*").over(own)).withColumn("share", F.expr(f"{VOTES} div forms"))
-    forms = stored(shares.groupBy("group", "form").agg(F.sum("share").alias("weight")).withColumn("parts", F.split("form", " ")), "forms")
-    tokens = forms.select("group", "form", "weight", F.posexplode("parts").alias("at", "token"))
-    votes = stored(tokens.groupBy("group", "at", "token").agg(F.sum("weight").alias("votes")), "votes")
+    forms = stored(shares.groupBy("group", *_FORM).agg(F.sum("share").alias("weight")).join(texts, _FORM), "forms")
+    votes = stored(forms.select("group", "weight", F.posexplode("parts").alias("at", "token"))
+                   .groupBy("group", "at", "token").agg(F.sum("weight").alias("votes")), "votes")
     places = votes.groupBy("group", "at").agg(F.max(F.struct("votes", "token")).alias("top"), F.sum("votes").alias("total"))
     constant = F.when(10 * F.col("top.votes") >= AGREED * F.col("total"), F.struct("at", "top.token"))
     groups = stored(places.groupBy("group").agg(  # a place each: no more than a form has tokens
@@ -69,35 +74,38 @@ def judge(rows: DataFrame, least_docs: int) -> tuple[DataFrame, DataFrame]:
     is_template = 10 * F.size("constants") >= CONSTANT * F.col("places")
     agree = F.size(F.filter("constants", lambda c: F.col("parts")[c["at"]] == c["token"]))
     judged = forms.join(groups.where(is_template), "group").select(
-        "group", "form", (10 * agree >= ALIKE * F.size("constants")).alias("alike"))
+        "group", *_FORM, (10 * agree >= ALIKE * F.size("constants")).alias("alike"))
     # mixed groups: each form goes with the token that most votes are for, of those that tell forms apart
-    wide = votes.join(groups.where(~is_template).select("group", "total"), "group").where(
-        (F.col("votes") >= least_docs * VOTES) & (F.col("votes") < F.col("total"))).select("group", "at", "token", "votes")
-    chosen = tokens.join(wide, ["group", "at", "token"]).groupBy("group", "form").agg(F.max(F.struct("votes", "at", "token")).alias("by"))
-    moves = judged.where("alike").select("group", "form", F.lit(None).cast("string").alias("to")) \
-        .union(judged.where("not alike").select("group", "form", F.concat("group", F.lit("\n~")))) \
-        .union(chosen.select("group", "form", F.concat("group", F.lit("\n"), F.col("by.at").cast("string"), F.lit("="), F.col("by.token"))))
-    moved = stored(rows.join(moves, ["group", "form"]), "moved")
+    mixed = stored(groups.where(~is_template).select("group", "total"), "mixed-groups")
+    telling = votes.join(mixed, "group").where((F.col("votes") >= least_docs * VOTES) & (F.col("votes") < F.col("total"))).drop("total")
+    tokens = forms.join(mixed.select("group"), "group", "left_semi").select("group", *_FORM, F.posexplode("parts").alias("at", "token"))
+    chosen = tokens.join(telling, ["group", "at", "token"]).groupBy("group", *_FORM).agg(F.max(F.struct("votes", "at", "token")).alias("by"))
+    moves = judged.where("alike").select("group", *_FORM, F.lit(None).cast("binary").alias("to")) \
+        .union(judged.where("not alike").select("group", *_FORM, _narrower(F.hex("group")))) \
+        .union(chosen.select("group", *_FORM, _narrower(F.hex("group"), F.col("by.at").cast("string"), F.col("by.token"))))
+    moved = stored(rows.join(moves, ["group", *_FORM]), "moved")
     found = moved.where("to is null")
     enough = found.select("group", *_ROW).distinct().groupBy("group").agg(F.count("*").alias("docs")).where(F.col("docs") >= least_docs)
-    templates = found.join(enough, "group", "left_semi").select("form").distinct()
-    return templates, moved.where("to is not null").select(*_ROW, "form", F.col("to").alias("group"))
+    templates = found.join(enough, "group", "left_semi").select(*_FORM)
+    return templates, moved.where("to is not null").select(*_ROW, *_FORM, F.col("to").alias("group"))
 
 
 def recurring(lines: DataFrame, least_docs: int = LEAST_DOCS) -> DataFrame:
     """a, b: the digests of forms whose lines are to be dropped."""
-    counts = stored(lines.select("leaf", "a", "b", *_ROW).distinct().groupBy("leaf", "a", "b").agg(F.count("*").alias("docs")), "form-counts")
+    counts = stored(lines.select("leaf", *_FORM, *_ROW).distinct().groupBy("leaf", *_FORM).agg(F.count("*").alias("docs")), "form-counts")
     # stored, so that its size is known where it is joined: forms need not be shuffled for a few leaves
-    mixed = stored(counts.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms")).where(
+    leaves = stored(counts.groupBy("leaf").agg(F.sum("docs").alias("docs"), F.count("*").alias("forms")).where(
         (F.col("docs") >= least_docs) & (F.col("forms") > 1)).select("leaf"), "mixed-leaves")
-    group = F.concat_ws(" ", _places(F.col("form")), F.substring_index("form", " ", DEPTH))
-    rows = stored(lines.join(mixed, "leaf", "left_semi").select(*_ROW, "form", group.alias("group")).distinct(), "mixed-lines")
-    gone = counts.where(F.col("docs") >= least_docs).select("a", "b")
+    mixed = stored(lines.join(leaves, "leaf", "left_semi").select(*_ROW, *_FORM, "form"), "mixed-lines")
+    texts = stored(mixed.groupBy(*_FORM).agg(F.first("form").alias("form")).select(*_FORM, F.split("form", " ").alias("parts")), "form-tokens")
+    group = _narrower(_places(F.col("form")).cast("string"), F.substring_index("form", " ", DEPTH))
+    rows = stored(mixed.select(*_ROW, *_FORM, group.alias("group")).distinct(), "mixed-rows")
+    gone = counts.where(F.col("docs") >= least_docs).select(*_FORM)
     for _ in range(SPLITS + 1):
         if rows.isEmpty():
             break
-        templates, rows = judge(rows, least_docs)
-        gone = gone.union(templates.select(*_digest(F.col("form"))))
+        templates, rows = judge(rows, texts, least_docs)
+        gone = gone.union(templates)
     return stored(gone.distinct(), "recurring")
 
 
@@ -117,7 +125,7 @@ def drop_recurring_lines(docs: DataFrame, least_docs: int = LEAST_DOCS) -> DataF
     """
     docs = doc_texts(docs).withColumn("text_key", F.xxhash64("text"))
     lines = stored(lines_of(docs), "lines")
-    hits = lines.select(*_ROW, "k", "a", "b").join(recurring(lines, least_docs), ["a", "b"], "left_semi")
+    hits = lines.select(*_ROW, "k", *_FORM).join(recurring(lines, least_docs), _FORM, "left_semi")
     # places of dropped lines, no more than the document has lines
     per_doc = hits.groupBy(*_ROW).agg(F.sort_array(F.collect_set("k")).alias("gone")).withColumnRenamed("doc_id", "hit_id")
     both = docs.join(per_doc, docs["doc_id"].eqNullSafe(per_doc["hit_id"]) & (docs["text_key"] == per_doc["text_key"]), "left")
