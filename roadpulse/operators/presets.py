@@ -14,7 +14,8 @@ class Preset:
     turn below which a speed change counts; ``turn_first`` is the order in
     which the three rules are tried. ``limits`` picks the mileage-limit variant
     and ``limits_read`` the unit it takes the m/s speed columns for: ``kmh``
-    keeps the double conversion the taxi numbers were learned with.
+    keeps the double conversion the taxi numbers were learned with. Pairs are
+    ``least_gap`` to 60 whole seconds apart.
     """
 
     name: str
@@ -30,6 +31,7 @@ class Preset:
     use_gap: bool = True
     limits: str = "ramp"
     limits_read: str = "ms"
+    least_gap: int = 5
 
 
 PRESETS = {p.name: p for p in (
@@ -48,7 +50,7 @@ PRESETS = {p.name: p for p in (
            straight=45.0, turn_first=False),
     Preset("taxi_event_bk", 0.414, -0.407, 26.256, 41.484, 45.0, 20.486, 46.62, turn_first=False),
     Preset("bus_event_bk", 0.885, -0.878, 26.256, 41.484, 45.0, 20.486, 33.79,
-           turn_first=False, limits="truncated"),
+           turn_first=False, limits="truncated", least_gap=6),
     Preset("quantile_event_bk", 0.2438, -0.2381, None, None, 45.0, 2.1968, 29.843,
            turn_first=False, use_gap=False),
 )}

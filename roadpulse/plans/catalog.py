@@ -231,7 +231,7 @@ def marks_gap_band(spark, sf_dir):
 def _preset_motion(spark, sf_dir, name, below=None, carry=()):
     """Marked pairs of a preset with fixed limits, with all motion columns."""
     p = PRESETS[name]
-    m = add_motion(_third_fixes(spark, sf_dir, below, (5, 60), carry), limits=p.limits, limits_read=p.limits_read)
+    m = add_motion(_third_fixes(spark, sf_dir, below, (p.least_gap, 60), carry), limits=p.limits, limits_read=p.limits_read)
     return marks.with_marks(m, marks.band_mark(marks.batch_limits(p), p.straight, p.turn_first))
 
 

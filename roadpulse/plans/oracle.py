@@ -302,7 +302,7 @@ for _name, _pairs, _args in (
             up="0.414", dn="-0.407", lo="26.256", hi="100", turn=45, rate=20.486, speed=33.79, straight=45)),
         ("marks_taxi_event_old", dict(after=120, strict=True), dict(
             up="0.414", dn="-0.407", lo="26.256", hi="41.484", turn=45, rate=20.486, speed=46.62)),
-        ("marks_bus_event_old", dict(after=None), dict(
+        ("marks_bus_event_old", dict(after=None, lo=6), dict(
             up="0.885", dn="-0.878", lo="26.256", hi="41.484", turn=45, rate=20.486, speed=33.79))):
     ORACLES[_name] = marked(
         f"{pairs(**_pairs, third=True)}, {motion(variant='truncated' if _name == 'marks_bus_event_old' else 'ramp')}",

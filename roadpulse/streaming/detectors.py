@@ -45,7 +45,7 @@ def plausible(pairs: DataFrame, speed: float | None, lo: int = 5, hi: int = 60)
 def fixed_marks(fixes: DataFrame, preset: Preset = PRESETS["bus_detail_stream"],
                 speed: float | None = 80.0) -> DataFrame:
     """Marks of a preset with fixed limits."""
-    m = add_motion(plausible(pair_stream(fixes), speed), limits=preset.limits, limits_read=preset.limits_read)
+    m = add_motion(plausible(pair_stream(fixes), speed, preset.least_gap), limits=preset.limits, limits_read=preset.limits_read)
     return marks.with_marks(m, marks.band_mark(marks.batch_limits(preset), preset.straight, preset.turn_first))
 
 
