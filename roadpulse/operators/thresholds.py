@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions import motion
 from ..session import materialise
-from .ranks import quantile_arrays
+from .ranks import grouped_quantiles, quantile_arrays
 from .slices import attach_row
 
 ACCURACY = 10_000
@@ -154,22 +154,23 @@ def published_stats(pairs: DataFrame, by: Sequence[str] = (), mode: str = "two_p
 
 
 def driver_speed_gaps(pairs: DataFrame) -> DataFrame:
-    """Per driver: moments and percentiles of the gap between driven and mean speed.
+    """Per driver: moments and exact percentiles of the gap between driven and mean speed.
 
-    The sketch and the moments are combined map-side, so a dominant driver
-    costs no more than any other.
+    The gaps are stored once; moments and bins are combined map-side, so a
+    dominant driver costs no more than any other.
     """
     metres = motion.distance_m(F.col("prelon"), F.col("prelat"), F.col("llon"), F.col("llat"))
     driven = motion.driven_speed_kmh(metres, F.col("time_interval"))
     mean_kmh = motion.round_half_up(motion.mean_speed(F.col("v0_kmh"), F.col("v1_kmh")), 1)
-    gaps = pairs.select("jsy", motion.speed_gap(driven, mean_kmh).alias("g"))
+    gaps = materialise(pairs.select("jsy", motion.speed_gap(driven, mean_kmh).alias("g")), "speed-gaps")
     labels = ("approx25", "median", "approx75", "approx90", "approx95")
-    stats = gaps.groupBy("jsy").agg(
+    summary = gaps.groupBy("jsy").agg(
         F.avg("g").alias("avg_upgap"), F.stddev_samp("g").alias("std_upgap"), F.min("g").alias("mi_upgap"),
-        F.percentile_approx("g", [0.25, 0.5, 0.75, 0.9, 0.95], ACCURACY).alias("_q"),
         F.max("g").alias("mx_upgap"))
+    found = grouped_quantiles(gaps, ["jsy"], "g", [0.25, 0.5, 0.75, 0.9, 0.95]).withColumnRenamed("jsy", "_jsy")
+    stats = summary.join(found, F.col("jsy").eqNullSafe(F.col("_jsy")), "left")
     return stats.select("jsy", "avg_upgap", "std_upgap", "mi_upgap",
-                        *[F.get("_q", i).alias(f"{label}_upgap") for i, label in enumerate(labels)],
+                        *[F.get("q", i).alias(f"{label}_upgap") for i, label in enumerate(labels)],
                         "mx_upgap")
 
 

@@ -188,3 +188,46 @@ def test_split_keys(spark):
     want = [ordered[i * q + min(i, r)] for i in range(1, 6)]
     got = [x.rowkey for x in ranks.split_keys(df, "rowkey", 6).orderBy("split").collect()]
     assert got == want
+
+
+def _at(values, p):
+    return values[max(1, -int(-(p * len(values)) // 1)) - 1]
+
+
+@pytest.mark.parametrize("kind", ["outlier", "infinities", "tiny", "equal", "signs"])
+def test_rounds_reach_every_spread(spark, kind):
+    rnd = random.Random(kind)
+    values = {
+        "outlier": [rnd.uniform(1, 1 + 1e-9) for _ in range(600)] + [1e300, -1e300],
+        "infinities": [float("inf")] * 50 + [float("-inf")] * 60 + [rnd.gauss(0, 1) for _ in range(400)],
+        "tiny": [rnd.choice([5e-324, 1e-310, -1e-310, 0.0, -0.0, 2.0**-1022]) for _ in range(300)],
+        "equal": [3.25] * 500,
+        "signs": [s * 2.0 ** rnd.randint(-40, 40) * rnd.choice([1, 1 + 2.0**-52]) for s in (1, -1) for _ in range(300)],
+    }[kind]
+    df = spark.createDataFrame([("x", v, 1) for v in values], "feature string, v double, n int")
+    probs = [0, 0.1, 0.25, 0.5, 0.75, 0.9, 1]
+    wanted = spark.createDataFrame([("x", i, max(1, -int(-(p * len(values)) // 1))) for i, p in enumerate(probs)],
+                                   "feature string, idx int, rank bigint")
+    got = {r.idx: r.v for r in ranks.select_ranks(df, lambda totals: wanted, sorted_rows=3).collect()}
+    assert got == {i: _at(sorted(values), p) for i, p in enumerate(probs)}
+
+
+def test_rounds_of_strings(spark):
+    rnd = random.Random(5)
+    keys = [rnd.choice(["p" * 300 + t for t in ("", "\x00", "\x00\x00", "a", "é", "\U0001f600")] + ["p" * 40 + str(rnd.random())])
+            for _ in range(400)] + ["", "zz"]
+    df = spark.createDataFrame([("x", k, 1) for k in keys], "feature string, v string, n int")
+    wanted = spark.createDataFrame([("x", i, i) for i in range(1, len(keys) + 1)], "feature string, idx int, rank bigint")
+    got = {r.idx: r.v for r in ranks.select_ranks(df, lambda totals: wanted, sorted_rows=1).collect()}
+    assert got == dict(enumerate(sorted(keys, key=str.encode), 1))
+
+
+def test_quantiles_of_a_driver_are_exact(spark):
+    """A driver of 20,000 distinct values, one of a few, one without any, and a null one."""
+    rnd = random.Random(9)
+    values = {"hot": rnd.sample(range(10**7), 20_000), "few": [3, 1, 2], None: [7, 7, 9, 8]}
+    rows = [(d, float(v)) for d, vs in values.items() for v in vs] + [("none", None), ("few", None), ("few", float("nan"))]
+    df = spark.createDataFrame(rows, "jsy string, g double").repartition(4)
+    probs = [0.25, 0.5, 0.75, 0.9, 0.95]
+    got = {r.jsy: r.q for r in ranks.grouped_quantiles(df, ["jsy"], "g", probs).collect()}
+    assert got == {d: [float(_at(sorted(vs), p)) for p in probs] for d, vs in values.items()}
