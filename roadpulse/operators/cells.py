@@ -2,7 +2,8 @@
 
 A cell is ``(rowkey, family, qualifier, version, value)``. Puts turn rows of
 any shape into cells; reads pick the latest version per cell and can nest the
-result per row; deletes are anti-joins. The writer lays cells out in key order.
+result per row; deletes are markers that take out the cells they cover. The
+writer lays cells out in key order.
 """
 
 from __future__ import annotations
@@ -129,20 +130,13 @@ def read_columns(cells: DataFrame, columns: Mapping[str, Sequence[str]], version
         F.array(*families), lambda x: F.size(x["value"]) > 0)).alias("families"))
 
 
-def read_families(cells: DataFrame, families: Sequence[str], versions: bool = False,
-                  cells_per_row: int = 10_000) -> DataFrame:
-    """Latest values of whole families, nested per row.
+def read_families(cells: DataFrame, families: Sequence[str]) -> DataFrame:
+    """Latest version of every cell of whole families, one row per cell.
 
-    A row with more than ``cells_per_row`` cells comes out in several ``part``
-    rows, so that no single value grows with the data; others have part 0.
+    A row of the store may have any number of cells, so it is not gathered;
+    ``nest`` does that for rows that are known to be narrow.
     """
-    found = latest(cells.where(F.col("family").isin(list(families))))
-    wide = (found.groupBy("rowkey").agg(F.count(F.lit(1)).alias("_n"))
-            .where(F.col("_n") > cells_per_row))
-    parts = F.ceil(F.col("_n") / F.lit(cells_per_row))
-    placed = found.join(wide, "rowkey", "left").withColumn(
-        "part", F.coalesce(F.pmod(F.xxhash64("qualifier"), parts), F.lit(0)).cast("int"))
-    return nest(placed, ("rowkey", "part"), versions)
+    return latest(cells.where(F.col("family").isin(list(families))))
 
 
 def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
@@ -151,29 +145,73 @@ def get_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
 
 
 # --- deletes -----------------------------------------------------------------
+#
+# A marker ``(rowkey, family, qualifier, version)`` covers the cells that agree
+# with it; a null means any. Markers of all kinds can be put together with
+# ``union_cells`` and resolved at once.
+
+MARKER = (*CELL, "version")
+
+
+def _markers(df: DataFrame) -> DataFrame:
+    """Markers of the rows of ``df``; parts of the key that it lacks are null."""
+    kinds = {**dict.fromkeys(CELL, "string"), "version": "bigint"}
+    return df.select(*[(F.col(c) if c in df.columns else F.lit(None)).cast(kinds[c]).alias(c)
+                       for c in MARKER]).distinct()
+
+
+def row_markers(keys: DataFrame) -> DataFrame:
+    """Whole rows."""
+    return _markers(keys.select("rowkey"))
+
+
+def family_markers(keys: DataFrame, families: Sequence[str]) -> DataFrame:
+    """Whole families of the given rows."""
+    return _markers(keys.select("rowkey", F.explode(F.array(*[F.lit(f) for f in families])).alias("family")))
+
+
+def column_markers(keys: DataFrame, columns: Mapping[str, Sequence[str]]) -> DataFrame:
+    """The same columns of all given rows, in every version."""
+    names = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(c).alias("qualifier"))
+                      for f, cs in columns.items() for c in cs])
+    return _markers(keys.select("rowkey", F.explode(names).alias("_c")).select("rowkey", "_c.*"))
+
+
+def listed_markers(gone: DataFrame) -> DataFrame:
+    """What ``gone`` lists per row: (rowkey, family, qualifier) and, if it has a
+    ``version`` column, only that version; a null version means all."""
+    return _markers(gone)
+
+
+def delete_marked(cells: DataFrame, markers: DataFrame) -> DataFrame:
+    """Cells that no marker covers.
+
+    One anti-join by row key, so the cells are shuffled once whatever the
+    kinds of markers; a row with very many cells may be split by AQE. A row's
+    markers are tried one by one; a list of very many single cells of one row
+    is better deleted by ``delete_listed``, which joins on the whole cell key.
+    """
+    m = markers.select(*[F.col(c).alias(f"_{c}") for c in MARKER])
+    covered = F.col("rowkey") == F.col("_rowkey")
+    for c in MARKER[1:]:
+        covered &= F.col(f"_{c}").isNull() | (F.col(c) == F.col(f"_{c}"))
+    return cells.join(m, covered, "left_anti")
+
 
 def delete_rows(cells: DataFrame, keys: DataFrame) -> DataFrame:
-    return cells.join(keys.select("rowkey").distinct(), "rowkey", "left_anti")
+    return delete_marked(cells, row_markers(keys))
 
 
 def delete_families(cells: DataFrame, keys: DataFrame, families: Sequence[str]) -> DataFrame:
-    """Delete whole families of the given rows."""
-    gone = keys.select("rowkey").distinct().select(
-        "rowkey", F.explode(F.array(*[F.lit(f) for f in families])).alias("family"))
-    return cells.join(gone, ["rowkey", "family"], "left_anti")
+    return delete_marked(cells, family_markers(keys, families))
 
 
 def delete_columns(cells: DataFrame, keys: DataFrame, columns: Mapping[str, Sequence[str]]) -> DataFrame:
-    """Delete the same columns of all given rows, in every version."""
-    names = F.array(*[F.struct(F.lit(f).alias("family"), F.lit(c).alias("qualifier"))
-                      for f, cs in columns.items() for c in cs])
-    gone = keys.select("rowkey").distinct().select("rowkey", F.explode(names).alias("_c")).select("rowkey", "_c.*")
-    return cells.join(gone, list(CELL), "left_anti")
+    return delete_marked(cells, column_markers(keys, columns))
 
 
 def delete_listed(cells: DataFrame, gone: DataFrame) -> DataFrame:
-    """Delete what ``gone`` lists per row: (rowkey, family, qualifier) and, if
-    it has a ``version`` column, only that version; a null version means all."""
+    """As ``delete_marked`` of ``listed_markers``, by the whole cell key: lists may be of any length."""
     if "version" not in gone.columns:
         return cells.join(gone.select(*CELL).distinct(), list(CELL), "left_anti")
     whole = gone.where("version IS NULL").select(*CELL).distinct()
@@ -204,23 +242,9 @@ def sorted_layout(cells: DataFrame, partitions: int | None = None) -> DataFrame:
     return ranged.sortWithinPartitions(*keys, F.col("version").desc())
 
 
-def with_region(cells: DataFrame, splits: DataFrame | Sequence[str], files: int) -> DataFrame:
-    """Add ``region`` (splits at or below the key) and ``salt`` (file of the region).
-
-    ``splits``: a list, or a frame ``(split, rowkey)`` as ``ranks.split_keys`` gives.
-    """
-    if isinstance(splits, DataFrame):
-        array = splits.agg(F.array_sort(F.collect_list("rowkey")).alias("s")).select("s").scalar()
-    else:
-        array = F.array(*[F.lit(s) for s in sorted(splits)])
+def with_range(cells: DataFrame, splits: DataFrame) -> DataFrame:
+    """Add ``region``, the number of split keys at or below the row key, to see
+    how evenly the splits ``(split, rowkey)`` of ``ranks.split_keys`` cut the cells."""
+    array = splits.agg(F.array_sort(F.collect_list("rowkey")).alias("s")).select("s").scalar()
     return (cells.withColumn("_s", array)
-            .withColumns({"region": F.size(F.filter("_s", lambda s: s <= F.col("rowkey"))),
-                          "salt": F.pmod(F.xxhash64("rowkey"), F.lit(files)).cast("int")})
-            .drop("_s"))
-
-
-def region_layout(cells: DataFrame, splits: DataFrame | Sequence[str], files: int) -> DataFrame:
-    """``files`` partitions per region, each sorted as ``sorted_layout``."""
-    placed = with_region(cells, splits, files)
-    return placed.repartition("region", "salt").sortWithinPartitions(
-        "region", "salt", "family", "rowkey", "qualifier", F.col("version").desc())
+            .withColumn("region", F.size(F.filter("_s", lambda s: s <= F.col("rowkey")))).drop("_s"))

@@ -64,17 +64,14 @@ def mark_steps(rows: DataFrame) -> DataFrame:
     })
 
 
-def split_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",),
-                ends: Sequence[tuple[str, str]] | None = None,
-                over: Column | None = None, over_codes: Sequence[str] = TAXI_OVER_CODES) -> DataFrame:
-    """Finished trips with their begin, end and counts.
+def _inner_change() -> Column:
+    """Time of a status change that does not end the trip."""
+    return F.when(F.col("_changed") & (F.col("_closes") == 0), F.col("longtime"))
 
-    ``steps`` comes from ``step_marks``. Any change of ``ehstatus`` starts a
-    new ride; it ends a trip too, or only if it is one of ``ends``. The trip
-    begins at the last change before its end, its marks count from the last
-    trip's end; the mark of the closing fix is included. ``over`` gives the
-    over-speed code of a fix (null for none).
-    """
+
+def number_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",), ends: Sequence[tuple[str, str]] | None = None,
+                 over: Column | None = None) -> DataFrame:
+    """Steps with ``trip_no``, the number of trips of the driver that ended before; see ``split_trips``."""
     window = (Window.partitionBy(*keys, "block").orderBy("rank")
               .rowsBetween(Window.unboundedPreceding, -1))
     changed = F.coalesce(F.col("p1.ehstatus") != F.col("ehstatus"), F.lit(False))
@@ -91,11 +88,24 @@ def split_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",),
     }).select(*keys, "block", "rank", "longtime", "mark", "_over", "_changed", "_closes",
               F.col("p1.longtime").alias("_before"))
     rows = rows.withColumn("_inside", F.coalesce(F.sum("_closes").over(window), F.lit(0)))
-    numbered = before_block(rows, keys, F.col("_closes"), "_ahead").withColumn(
+    return before_block(rows, keys, F.col("_closes"), "_ahead").withColumn(
         "trip_no", F.col("_ahead") + F.col("_inside"))
-    inner_change = F.when(F.col("_changed") & (F.col("_closes") == 0), F.col("longtime"))
+
+
+def split_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",),
+                ends: Sequence[tuple[str, str]] | None = None,
+                over: Column | None = None, over_codes: Sequence[str] = TAXI_OVER_CODES) -> DataFrame:
+    """Finished trips with their begin, end and counts.
+
+    ``steps`` comes from ``step_marks``. Any change of ``ehstatus`` starts a
+    new ride; it ends a trip too, or only if it is one of ``ends``. The trip
+    begins at the last change before its end, its marks count from the last
+    trip's end; the mark of the closing fix is included. ``over`` gives the
+    over-speed code of a fix (null for none).
+    """
+    numbered = number_trips(steps, keys, ends, over)
     trips = numbered.groupBy(*keys, "trip_no").agg(
-        F.coalesce(F.max(inner_change), F.min("_before"), F.min("longtime")).alias("begin_time"),
+        F.coalesce(F.max(_inner_change()), F.min("_before"), F.min("longtime")).alias("begin_time"),
         F.max("longtime").alias("end_time"),
         *[F.count(F.when(F.col("_over") == c, 1)).alias(f"over{i}") for i, c in enumerate(over_codes)],
         F.count(F.when(F.col("mark") == 1, 1)).alias("accelerations"),
@@ -106,14 +116,29 @@ def split_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",),
             .withColumn("seconds", F.col("end_time") - F.col("begin_time")))
 
 
-def trip_mark_lists(steps: DataFrame, keys: Sequence[str] = ("jsy",)) -> DataFrame:
-    """Marks of each driver as ``:``-joined lists in time order, one per block of
-    fixes (``part``), so that no list outgrows a block. ``text.count_code``
-    counts codes in them."""
-    return (steps.where("mark <> 0").withColumnRenamed("block", "part")
-            .groupBy(*keys, "part").agg(F.concat_ws(":", F.transform(
-                F.array_sort(F.collect_list(F.struct("rank", "mark"))),
-                lambda m: m["mark"].cast("string"))).alias("marks")))
+def trip_mark_lists(steps: DataFrame, keys: Sequence[str] = ("jsy",),
+                    ends: Sequence[tuple[str, str]] | None = None) -> DataFrame:
+    """Finished trips with their marks as a ``:``-joined list in time order, "0" if there are none.
+
+    ``text.count_code`` counts codes in the list. Marks are ordered and joined
+    inside the blocks of fixes; one trip then only gathers a text per block. The
+    list itself is one value, two bytes for every change of mark in the trip.
+    """
+    parts = number_trips(steps, keys, ends).groupBy(*keys, "trip_no", "block").agg(
+        F.max(_inner_change()).alias("_change"), F.min("_before").alias("_before"),
+        F.min("longtime").alias("_first"), F.max("longtime").alias("_last"), F.max("_closes").alias("_done"),
+        F.concat_ws(":", F.transform(
+            F.array_sort(F.collect_list(F.when(F.col("mark") != 0, F.struct("rank", "mark")))),
+            lambda m: m["mark"].cast("string"))).alias("_marks"))
+    whole = parts.groupBy(*keys, "trip_no").agg(
+        F.coalesce(F.max("_change"), F.min("_before"), F.min("_first")).alias("begin_time"),
+        F.max("_last").alias("end_time"),
+        F.concat_ws(":", F.transform(
+            F.array_sort(F.collect_list(F.when(F.col("_marks") != "", F.struct("block", "_marks")))),
+            lambda m: m["_marks"])).alias("_list"),
+        F.max("_done").alias("_done"))
+    return whole.where("_done = 1").select(
+        *keys, "begin_time", "end_time", F.when(F.col("_list") == "", F.lit("0")).otherwise(F.col("_list")).alias("marks"))
 
 
 def score_trips(trips: DataFrame, variant: str = "taxi") -> DataFrame:

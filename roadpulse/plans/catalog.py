@@ -16,7 +16,7 @@ from ..operators.presets import PRESETS
 from ..operators.slices import attach_row
 from ..functions.registry import register_sql_functions
 from ..session import checkpoint_dir, materialise
-from ..sources import files, jdbc, records, snapshots
+from ..sources import celltable, files, jdbc, records, snapshots
 from ..sources.detail import detail_cells
 from ..streaming import detectors
 from ..streaming.jobs import alarm_tips
@@ -432,7 +432,7 @@ def trips_bus(spark, sf_dir):
 @query
 def trip_mark_lists(spark, sf_dir):
     listed = trips.trip_mark_lists(trips.step_marks(telemetry(spark, sf_dir)))
-    return listed.select("jsy", "part", "marks", text.sorted_codes(F.col("marks")).alias("sorted_marks"),
+    return listed.select("jsy", "begin_time", "end_time", "marks", text.sorted_codes(F.col("marks")).alias("sorted_marks"),
                          *[text.count_code(F.col("marks"), c).alias(f"n{c}") for c in "123"])
 
 
@@ -563,8 +563,7 @@ def cells_read_ts(spark, sf_dir):
 
 @query
 def cells_families(spark, sf_dir):
-    whole = {"o": ["price", "status"], "m": ["date", "priority"]}
-    return _flat(cells.read_families(order_cells(spark, sf_dir), ["o", "m"]), whole)
+    return cells.read_families(order_cells(spark, sf_dir), ["o", "m"])
 
 
 @query
@@ -587,19 +586,35 @@ def _gone(spark, sf_dir, condition):
 
 @query
 def cells_delete(spark, sf_dir):
-    """Rows, families, columns, listed columns and single versions, one after another."""
-    c = order_cells(spark, sf_dir)
-    c = cells.delete_rows(c, _gone(spark, sf_dir, "o_orderkey % 11 = 0"))
-    c = cells.delete_families(c, _gone(spark, sf_dir, "o_orderkey % 7 = 0"), ["m"])
-    c = cells.delete_columns(c, _gone(spark, sf_dir, "o_orderkey % 5 = 0"), {"o": ["status"]})
+    """Rows, families, columns, listed columns and single versions, all at once."""
     listed = cells.listed_columns(
         _gone(spark, sf_dir, "o_orderkey % 13 = 0").withColumn(
             "columns", F.array(F.lit("date"), F.lit("priority"))), family="m")
-    c = cells.delete_listed(c, listed)
     versions = _gone(spark, sf_dir, "o_orderkey % 9 = 0").select(
         "rowkey", F.lit("o").alias("family"), F.lit("price").alias("qualifier"),
         (F.col("o_orderkey") + 1_000_000_000).alias("version"))
-    return cells.delete_listed(c, versions)
+    return cells.delete_marked(order_cells(spark, sf_dir), cells.union_cells(
+        cells.row_markers(_gone(spark, sf_dir, "o_orderkey % 11 = 0")),
+        cells.family_markers(_gone(spark, sf_dir, "o_orderkey % 7 = 0"), ["m"]),
+        cells.column_markers(_gone(spark, sf_dir, "o_orderkey % 5 = 0"), {"o": ["status"]}),
+        cells.listed_markers(listed), cells.listed_markers(versions)))
+
+
+@query
+def cells_delete_listed(spark, sf_dir):
+    """Listed cells, some in one version and some in all, by the whole cell key."""
+    o = _gone(spark, sf_dir, "o_orderkey % 3 = 0")
+    gone = o.select("rowkey", F.lit("o").alias("family"), F.lit("price").alias("qualifier"),
+                    F.expr("CASE WHEN o_orderkey % 2 = 0 THEN o_orderkey END").alias("version"))
+    return cells.delete_listed(order_cells(spark, sf_dir), gone)
+
+
+@query
+def cells_bulk_load(spark, sf_dir):
+    """All cells written in key order, and a range of keys of one family read back."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/cells-{uuid.uuid4().hex}"
+    celltable.bulk_load(order_cells(spark, sf_dir), path)
+    return celltable.read_range(spark, path, "o", "3", "6")
 
 
 @query
@@ -609,8 +624,9 @@ def cells_splits(spark, sf_dir):
 
 @query
 def cells_regions(spark, sf_dir):
+    """How evenly the split keys cut the cells."""
     c = order_cells(spark, sf_dir)
-    placed = cells.with_region(c, ranks.split_keys(c.select("rowkey"), "rowkey", 8), 4)
+    placed = cells.with_range(c, ranks.split_keys(c.select("rowkey"), "rowkey", 8))
     return placed.groupBy("region").agg(F.count(F.lit(1)).alias("cells"), F.min("rowkey").alias("first_key"),
                                         F.max("rowkey").alias("last_key"))
 

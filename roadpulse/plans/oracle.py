@@ -527,11 +527,11 @@ tt AS (SELECT *, end_time - begin_time AS seconds FROM trip)"""
 TAXI_TRIPS, BUS_TRIPS = trips(("0", "2", "3", "4")), trips(("0", "4", "5", "6"), True)
 ORACLES["trips_any"] = f"WITH {TEL}, {TAXI_TRIPS} SELECT * EXCLUDE (trip_no) FROM tt"
 ORACLES["trips_bus"] = f"WITH {TEL}, {BUS_TRIPS} SELECT * EXCLUDE (trip_no) FROM tt"
-ORACLES["trip_mark_lists"] = f"""WITH {TEL}, {STEPS}, l AS (SELECT jsy, (rank - 1) // 50000 AS part,
-  string_agg(cast(mark AS varchar), ':' ORDER BY rank) AS marks,
-  string_agg(cast(mark AS varchar), ':' ORDER BY mark) AS sorted_marks,
-  {', '.join(f"cast(count(*) FILTER (WHERE mark = {i}) AS int) AS n{i}" for i in (1, 2, 3))}
-  FROM steps WHERE mark <> 0 GROUP BY ALL) SELECT * FROM l"""
+ORACLES["trip_mark_lists"] = f"""WITH {TEL}, {TAXI_TRIPS}, l AS (SELECT jsy, trip_no,
+  string_agg(cast(mark AS varchar), ':' ORDER BY rank) AS marks, string_agg(cast(mark AS varchar), ':' ORDER BY mark) AS sorted_marks
+  FROM tg WHERE mark <> 0 GROUP BY ALL)
+SELECT jsy, begin_time, end_time, coalesce(marks, '0') AS marks, coalesce(sorted_marks, '0') AS sorted_marks,
+  cast(accelerations AS int) AS n1, cast(brakings AS int) AS n2, cast(turns AS int) AS n3 FROM tt LEFT JOIN l USING (jsy, trip_no)"""
 
 _POINTS = ("least(cast(floor(over0 + 1.5 * over1 + 2 * over2 + 2.5 * over3) AS int), 50) + least(accelerations, 20)"
            " + least(brakings, 20) + least(turns, 10)")
@@ -748,7 +748,7 @@ def _wide(columns: dict[str, list[str]]) -> str:
 
 ORACLES["cells_put"] = f"WITH {CELLS} SELECT * FROM cell WHERE value IS NOT NULL"
 ORACLES["cells_read"] = _wide({"o": ["price", "status"], "m": ["priority"]})
-ORACLES["cells_families"] = _wide({"o": ["price", "status"], "m": ["date", "priority"]})
+ORACLES["cells_families"] = f"WITH {CELLS} SELECT * FROM newest WHERE family IN ('o', 'm')"
 ORACLES["cells_read_ts"] = f"""WITH {CELLS} SELECT rowkey, value AS price, version FROM newest
 WHERE family = 'o' AND qualifier = 'price'"""
 ORACLES["cells_where"] = f"""WITH {CELLS} SELECT * FROM cell WHERE rowkey >= '3' AND rowkey < '6'
@@ -761,6 +761,12 @@ SELECT rowkey, family, qualifier, version, value FROM k WHERE k % 11 <> 0
   AND NOT (k % 7 = 0 AND family = 'm') AND NOT (k % 5 = 0 AND family = 'o' AND qualifier = 'status')
   AND NOT (k % 13 = 0 AND family = 'm' AND qualifier IN ('date', 'priority'))
   AND NOT (k % 9 = 0 AND qualifier = 'price' AND version = k + 1000000000)"""
+ORACLES["cells_delete_listed"] = f"""WITH {CELLS},
+k AS (SELECT c.*, o.o_orderkey AS k FROM cell c JOIN ord o USING (rowkey) WHERE value IS NOT NULL)
+SELECT rowkey, family, qualifier, version, value FROM k
+WHERE NOT (k % 3 = 0 AND family = 'o' AND qualifier = 'price' AND (k % 2 <> 0 OR version = k))"""
+ORACLES["cells_bulk_load"] = f"""WITH {CELLS} SELECT * FROM cell
+WHERE value IS NOT NULL AND family = 'o' AND rowkey >= '3' AND rowkey < '6'"""
 SPLITS = """tile AS (SELECT rowkey, ntile(8) OVER (ORDER BY rowkey) AS n FROM cell WHERE value IS NOT NULL),
 split AS (SELECT cast(n - 1 AS int) AS split, min(rowkey) AS rowkey FROM tile WHERE n > 1 GROUP BY n)"""
 ORACLES["cells_splits"] = f"WITH {CELLS}, {SPLITS} SELECT * FROM split"

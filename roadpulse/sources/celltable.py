@@ -7,7 +7,7 @@ next to the old one: readers of the old one are not disturbed.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.cells import FULL, sorted_layout
 
@@ -18,6 +18,16 @@ def read_cells(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(CELL_SCHEMA).parquet(path).select(*FULL)
 
 
+def read_range(spark: SparkSession, path: str, family: str, first: str, before: str) -> DataFrame:
+    """Cells of a family with ``first <= rowkey < before``.
+
+    Only that family's folder is listed, and in a loaded generation only the
+    row groups whose least and greatest keys reach into the range are read.
+    """
+    return read_cells(spark, path).where(
+        (F.col("family") == family) & (F.col("rowkey") >= first) & (F.col("rowkey") < before))
+
+
 def append_cells(cells: DataFrame, path: str) -> None:
     """Put: add cells; readers resolve versions."""
     cells.select(*FULL).write.mode("append").partitionBy("family").parquet(path)

@@ -43,18 +43,30 @@ def test_reads(store):
     assert got == {"r1": {"f": {"a": "new"}, "g": {"x": "gx"}}, "r3": {"f": {"a": "a1"}, "g": {"x": "g3"}}}
     versions = {r.rowkey: r.families for r in C.read_columns(store, {"f": ["a"]}, versions=True).collect()}
     assert tuple(versions["r1"]["f"]["a"]) == ("new", 2)
-    whole = {(r.rowkey, r.part): r.families for r in C.read_families(store, ["f"]).collect()}
-    assert whole == {("r1", 0): {"f": {"a": "new"}}, ("r2", 0): {"f": {"b": "b5"}},
-                     ("r3", 0): {"f": {"a": "a1", "b": "b1"}}}
+    whole = C.read_families(store, ["f"])
+    newest = {("r1", "f", "a", 2, "new"), ("r2", "f", "b", 5, "b5"), ("r3", "f", "a", 1, "a1"), ("r3", "f", "b", 1, "b1")}
+    assert as_set(whole) == newest
+    assert {r.rowkey: r.families for r in C.nest(whole).collect()} == {
+        "r1": {"f": {"a": "new"}}, "r2": {"f": {"b": "b5"}}, "r3": {"f": {"a": "a1", "b": "b1"}}}
 
 
-def test_wide_rows_come_in_parts(spark):
-    wide = spark.range(1000).select(
-        F.lit("w").alias("rowkey"), F.lit("f").alias("family"), F.concat(F.lit("q"), "id").alias("qualifier"),
-        F.lit(1).cast("bigint").alias("version"), F.col("id").cast("string").alias("value"))
-    got = C.read_families(wide, ["f"], cells_per_row=100).collect()
-    sizes = [len(r.families["f"]) for r in got]
-    assert len(got) == 10 and sum(sizes) == 1000 and max(sizes) < 200
+def test_markers_of_all_kinds_at_once(spark, store):
+    keys = spark.createDataFrame([("r1",), ("r1",), (None,)], "rowkey string")
+    one = spark.createDataFrame([("r3", "f", "a", None), ("r2", "f", "b", 4), ("r2", "f", "b", 5)],
+                                "rowkey string, family string, qualifier string, version bigint")
+    markers = C.union_cells(C.family_markers(keys, ["g"]), C.column_markers(keys, {"f": ["b"], "g": ["x"]}),
+                            C.listed_markers(one))
+    left = C.delete_marked(store, markers)
+    assert as_set(left) == as_set(store) - {("r1", "g", "x", 1, "gx"), ("r3", "f", "a", 1, "a1"), ("r2", "f", "b", 5, "b5")}
+    assert as_set(C.delete_marked(store, C.union_cells(markers, C.row_markers(keys)))) == {
+        c for c in as_set(left) if c[0] != "r1"}
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = C.delete_marked(store, markers)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    cells_side = plan[plan.index("SortMergeJoin"):plan.index("Sort [_rowkey#")]
+    assert plan.count("SortMergeJoin") == 1 and cells_side.count("Exchange") == 1
 
 
 def test_point_get(spark, store):
@@ -81,7 +93,7 @@ def test_deletes(spark, store):
     assert as_set(C.delete_listed(store, one)) == everything - {("r1", "f", "a", 1, "old"), ("r2", "f", "b", 5, "b5")}
 
 
-def test_sorted_layout_and_regions(spark):
+def test_sorted_layout_and_split_ranges(spark):
     many = spark.range(2000).select(
         F.format_string("k%04d", F.col("id") % 500).alias("rowkey"), F.lit("f").alias("family"),
         F.concat(F.lit("q"), (F.col("id") % 3).cast("string")).alias("qualifier"),
@@ -91,10 +103,22 @@ def test_sorted_layout_and_regions(spark):
     assert len(keys) > 1 and all(k == sorted(k) for k in keys)
     assert all(a[-1][:2] < b[0][:2] for a, b in zip(keys, keys[1:]))
     splits = ranks.split_keys(many.select("rowkey"), "rowkey", 4)
-    placed = C.region_layout(many, splits, 2)
-    assert {r.region for r in placed.select("region").distinct().collect()} == {0, 1, 2, 3}
-    same = C.with_region(many, [r.rowkey for r in splits.collect()], 2).groupBy("region").count()
-    assert sorted(map(tuple, same.collect())) == sorted(map(tuple, placed.groupBy("region").count().collect()))
+    sizes = {r.region: r["count"] for r in C.with_range(many, splits).groupBy("region").count().collect()}
+    assert set(sizes) == {0, 1, 2, 3} and max(sizes.values()) - min(sizes.values()) <= 8
+
+
+def test_range_read_skips_the_other_files(spark, tmp_path):
+    many = spark.range(20_000).select(
+        F.format_string("k%05d", "id").alias("rowkey"), F.when(F.col("id") % 2 == 0, "f").otherwise("g").alias("family"),
+        F.lit("q").alias("qualifier"), F.col("id").alias("version"), F.lit("v").alias("value"))
+    path = str(tmp_path / "generation")
+    celltable.bulk_load(many, path, 8)
+    found = celltable.read_range(spark, path, "f", "k05000", "k05100")
+    plan = found._jdf.queryExecution().executedPlan()
+    assert {r.rowkey for r in found.collect()} == {f"k{i:05d}" for i in range(5000, 5100, 2)}
+    scans = plan.collectLeaves()
+    rows = [scans.apply(i).metrics().apply("numOutputRows").value() for i in range(scans.length())]
+    assert 50 <= sum(rows) < 4_000 < many.where("family = 'f'").count(), rows
 
 
 def test_cell_table(spark, store, tmp_path):

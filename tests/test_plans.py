@@ -2,6 +2,7 @@
 
 import re
 
+import brute
 import pytest
 from pyspark.sql import functions as F
 
@@ -99,13 +100,26 @@ def test_perfect_score_is_capped(spark):
     assert scores.total_score(row, "bus", cap=None).first().comprehensive_score == pytest.approx(100.0)
 
 
-def test_trip_lists_are_cut_by_block(stored):
-    lists = trips.trip_mark_lists(trips.step_marks(stored, size=10))
-    whole = trips.trip_mark_lists(trips.step_marks(stored))
-    assert lists.count() > whole.count()
-    joined = lists.groupBy("jsy").agg(F.array_join(F.transform(F.array_sort(F.collect_list(
-        F.struct("part", "marks"))), lambda x: x["marks"]), ":").alias("m"))
-    assert joined.exceptAll(whole.select("jsy", F.col("marks").alias("m"))).count() == 0
+def test_mark_list_of_a_trip(stored):
+    """One row per finished trip whatever the blocks; marks count from the last trip's end, as in one pass."""
+    steps = trips.step_marks(stored)
+    lists = trips.trip_mark_lists(steps)
+    want = []
+    rows = sorted(steps.select("jsy", "rank", "longtime", "mark", "ehstatus").collect(), key=lambda r: (r.jsy, r["rank"]))
+    for (driver,), fixes in brute.by_key(rows, "jsy").items():
+        codes, status, begin = [], None, None
+        for f in fixes:
+            if f.mark:
+                codes.append(str(f.mark))
+            if status is not None and f.ehstatus != status:
+                want.append((driver, begin, f.longtime, ":".join(codes) or "0"))
+                codes = []
+            if f.ehstatus != status:
+                status, begin = f.ehstatus, f.longtime
+    assert sorted(map(tuple, lists.collect())) == sorted(want) and any(":" in w[3] for w in want)
+    assert sorted(map(tuple, trips.trip_mark_lists(trips.step_marks(stored, size=3)).collect())) == sorted(want)
+    found = trips.split_trips(steps).select("jsy", "begin_time", "end_time")
+    assert found.exceptAll(lists.drop("marks")).count() == 0 == lists.drop("marks").exceptAll(found).count()
 
 
 def test_equal_times_count_once(spark):
