@@ -859,7 +859,7 @@ wp AS (SELECT *, speed AS v1, v0 / 3.6 AS prespeed, speed / 3.6 AS lspeed, longt
 ws AS (SELECT *, unnest([longtime // 300 * 300 - 900, longtime // 300 * 300 - 600, longtime // 300 * 300 - 300,
   longtime // 300 * 300]) AS window_start FROM wq)
 SELECT window_start, {updn(False)}, {turning('turn > 60', False, True)} FROM ws
-WHERE pretime >= window_start AND window_start + 1200 <= (SELECT max(longtime) FROM raw_fix WHERE speed <= 120) - 600 GROUP BY window_start"""
+WHERE pretime >= window_start GROUP BY window_start"""
 
 
 # fixes of the stream with the columns that pairs look at

@@ -32,16 +32,24 @@ FIXES = [
 ]
 
 
-def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = table(spark, sf_dir, "events").schema
     # a pattern, since only then may the table be one file as well as a folder of files
     raw = spark.readStream.schema(schema).option("maxBytesPerTrigger", BATCH_BYTES).parquet(f"{sf_dir}/events.parque[t]")
-    return detectors.with_event_time(raw.selectExpr(*FIXES))
+    return raw.selectExpr(*FIXES)
+
+
+def event_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return detectors.with_event_time(raw_stream(spark, sf_dir))
 
 
 def run_to_end(df: DataFrame, name: str) -> DataFrame:
     """Process everything there is, write it as a table and read it back."""
-    base = folder(df.sparkSession, name)
+    return run_again(df, folder(df.sparkSession, name))
+
+
+def run_again(df: DataFrame, base: str) -> DataFrame:
+    """As ``run_to_end``, going on from what earlier runs in the same folder left."""
     with few_partitions(df.sparkSession):
         query = (df.writeStream.format("parquet").option("path", f"{base}/rows")
                  .option("checkpointLocation", f"{base}/state").outputMode("append")
@@ -94,11 +102,19 @@ def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Moments per window of 20 minutes every 5, for the windows that closed."""
+    """Moments per window of 20 minutes every 5; an end mark after the run closes the last windows."""
     detectors.use_state_store(spark)
-    stats = detectors.window_statistics(event_stream(spark, sf_dir), "20 minutes", "5 minutes", mode="moments")
+    base = folder(spark, "windows")
+    fixes = raw_stream(spark, sf_dir)
+    last = table(spark, sf_dir, "events").selectExpr(*FIXES).agg(F.max("longtime")).first()[0]
+    mark = detectors.end_mark(fixes, last or 0, 3600)
+    mark.limit(0).write.parquet(f"{base}/ends")
+    ends = spark.readStream.schema(fixes.schema).parquet(f"{base}/ends")
+    stats = detectors.window_statistics(detectors.with_event_time(fixes.unionByName(ends)), "20 minutes", "5 minutes", mode="moments")
     out = stats.withColumn("window_start", F.unix_seconds(F.col("window.start"))).drop("window")
-    return run_to_end(out, "windows")
+    run_again(out, base)
+    mark.write.mode("append").parquet(f"{base}/ends")
+    return run_again(out, base)
 
 
 #: Windows of 20 minutes every 5, as in ``windows``.

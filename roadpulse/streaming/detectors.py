@@ -18,6 +18,18 @@ def with_event_time(fixes: DataFrame, delay: str = "10 minutes") -> DataFrame:
     return fixes.withColumn("ts", F.timestamp_seconds("longtime")).withWatermark("ts", delay)
 
 
+def end_mark(fixes: DataFrame, last: int, beyond: int) -> DataFrame:
+    """One fix of no driver, ``beyond`` seconds after the ``last`` one of a finite run, in the columns of ``fixes``.
+
+    Sent after the run it moves the watermark past all windows that are still
+    open: ``beyond`` must exceed a window and the watermark's delay. It stands
+    still and has no fix before it, so that it counts in no window itself.
+    """
+    given = {"jsy": F.lit(""), "longtime": F.lit(last + beyond), "speed": F.lit(0.0)}
+    return fixes.sparkSession.range(1).select(*[
+        given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fixes.schema])
+
+
 def step_marks(fixes: DataFrame) -> DataFrame:
     """Simple-rule marks of a stream; the streaming form of ``trips.step_marks``."""
     rows = previous_fixes(fixes)
