@@ -102,13 +102,13 @@ def merge_marks(speed: DataFrame, turns: DataFrame) -> DataFrame:
     return left.join(right, ["jsy", "longtime"], "full_outer")
 
 
-def report(detail: DataFrame, merged: DataFrame) -> DataFrame:
-    """The merged marks with their detail, speeds back in km/h."""
+def report(detail: DataFrame, merged: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """The merged marks with their detail, speeds back in km/h, and the columns ``carry`` of the fix."""
     kmh = motion.kilometres_per_hour
     d = detail.select(
         "jsy", "longtime", "llat", "llon", "pretime", "lattime", kmh(F.col("prespeed")).alias("pre_speed"),
         kmh(F.col("speed")).alias("speed_kmh"), kmh(F.col("latspeed")).alias("lat_speed"),
-        "preorien", "orientation", "latorien", "wayname", "waytype")
+        "preorien", "orientation", "latorien", "wayname", "waytype", *carry)
     return d.join(merged, ["jsy", "longtime"]).select(
         F.col("jsy").alias("user_id"), F.col("llat").alias("lat"), F.col("llon").alias("lon"),
         F.col("pretime").alias("pre_timestamp"), F.col("longtime").alias("timestamp"),
@@ -116,11 +116,12 @@ def report(detail: DataFrame, merged: DataFrame) -> DataFrame:
         F.col("preorien").alias("pre_orientation"), "orientation", F.col("latorien").alias("lat_orientation"),
         F.col("iscross").alias("cross"), F.col("roadsection").alias("section"),
         F.col("wayname").alias("way_name"), F.col("waytype").alias("way_type"),
-        F.col("rapid_mark").alias("rapid_change"), F.col("angle_mark").alias("rapid_turn"))
+        F.col("rapid_mark").alias("rapid_change"), F.col("angle_mark").alias("rapid_turn"), *carry)
 
 
-def detect(fixes: DataFrame, rule: SigmaRule = SigmaRule(), tie: Sequence[str] = ("event_id",)) -> DataFrame:
+def detect(fixes: DataFrame, rule: SigmaRule = SigmaRule(), tie: Sequence[str] = ("event_id",),
+           carry: Sequence[str] = ()) -> DataFrame:
     """The whole detector. The detail feeds five branches, so it is written once."""
-    detail = materialise(with_neighbours(survivors(fixes, rule, tie=tie), rule, tie), "sigma-detail")
+    detail = materialise(with_neighbours(survivors(fixes, rule, carry, tie), rule, tie), "sigma-detail")
     merged = merge_marks(speed_marks(detail, rule, tie), turn_marks(detail, rule))
-    return report(detail, merged)
+    return report(detail, merged, carry)

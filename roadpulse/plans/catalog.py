@@ -348,10 +348,10 @@ def crossing_match(spark, sf_dir):
 
 @query
 def rapid_turn_outer(spark, sf_dir):
-    return tidy(driver_sigma.detect(telemetry(spark, sf_dir), SIGMA).select(
-        "user_id", "timestamp", "pre_timestamp", "lat_timestamp", "lat", "lon", "pre_speed", "speed",
-        "lat_speed", "pre_orientation", "orientation", "lat_orientation", "cross", "section",
-        "way_name", "way_type", "rapid_change", "rapid_turn"))
+    fixes = telemetry(spark, sf_dir).withColumns({
+        "flag": F.expr("cast(event_id % 2 AS string)"), "direcflag": F.expr("cast(event_id % 3 AS int)")})
+    return tidy(driver_sigma.detect(fixes, SIGMA, carry=["flag", "direcflag"])
+                .withColumnRenamed("direcflag", "direct_flag"))
 
 
 # --- counts, events, alarms --------------------------------------------------
@@ -656,6 +656,49 @@ def raw_text_parse(spark, sf_dir):
     return tidy(records.parse_raw_text(lines).select("jsy", "longtime", "llon", "llat", "speed", "orientation"))
 
 
+def _scratch(spark, name):
+    return f"{checkpoint_dir(spark).rstrip('/')}/roadpulse/{name}-{uuid.uuid4().hex}"
+
+
+@query
+def raw_text_files(spark, sf_dir):
+    """A header-less text export, written and read."""
+    path = _scratch(spark, "export")
+    t = telemetry(spark, sf_dir)
+    t.select(F.concat_ws(",", F.col("event_id").cast("string"), "jsy", text.time_text(F.col("longtime")),
+                         *[F.col(c).cast("string") for c in ("llon", "llat", "speed")],
+                         F.concat(F.col("orientation").cast("string"), F.lit("]"))).alias("value")).write.text(path)
+    return tidy(files.read_raw_text(spark, path).select("jsy", "longtime", "llon", "llat", "speed", "orientation"))
+
+
+@query
+def csv_append(spark, sf_dir):
+    """Limits per driver, appended to one CSV table by two runs."""
+    path = _scratch(spark, "limits")
+    found = materialise(thresholds.driver_limits(bus_motion(spark, sf_dir), "a_speed", 3.0, "a"), "limits")
+    for part in (0, 1):
+        files.write_csv(found.where(F.pmod(F.hash("jsy"), F.lit(2)) == part), path, mode="append")
+    return tidy(files.read_table(spark, path, "jsy string, avg_a double, std_a double, a_hi double, a_lo double"))
+
+
+@query
+def mark_messages(spark, sf_dir):
+    """Records of all classified steps; of the four times only their number and order are fixed."""
+    sent = records.mark_message(trips.step_marks(telemetry(spark, sf_dir)))
+    parts = F.split("value", ",")
+    times = F.transform(F.slice(parts, 12, 4), lambda t: t.cast("bigint"))
+    return sent.select("key", F.substring_index("value", ",", 11).alias("record"), F.size(parts).alias("fields"),
+                       (times == F.array_sort(times)).alias("in_order"))
+
+
+@query
+def bus_mark_messages(spark, sf_dir):
+    """Records of all classified pairs of the OR rule, marked or not."""
+    stats = thresholds.published_stats(_stat_pairs(spark, sf_dir, 80.0), mode="moments")
+    m = attach_row(add_motion(_third_fixes(spark, sf_dir, carry=("dbuscard",))), stats, "stats")
+    return records.bus_mark_message(marks.with_marks(m, marks.either_mark("stats"), keep_zero=True))
+
+
 @query
 def ride_status(spark, sf_dir):
     """Trip messages written as ``driver_begin_end`` and parsed back."""
@@ -672,6 +715,18 @@ def json_snapshot(spark, sf_dir):
     return tidy(back.select("avg_upaspeed", "std_upaspeed", "iqr_updist", "iqr_dnaspeed", "avg_turn", "std_aturn"))
 
 
+@query
+def published_snapshot(spark, sf_dir):
+    """All statistics with the count behind them, published twice; the newest is read."""
+    stats = materialise(thresholds.published_stats(_stat_pairs(spark, sf_dir, 120.0)), "stats")
+    stamped = snapshots.stamp(stats, telemetry(spark, sf_dir).where("speed <= 120"))
+    path = _scratch(spark, "snapshots")
+    snapshots.publish(snapshots.pack_named(stamped.withColumn("avg_turn", F.lit(0.0)), stats.columns[:7]), path, 1)
+    snapshots.publish(snapshots.pack(stamped), path, 2)
+    return tidy(snapshots.read_latest(spark, path, stamped.columns)
+                .withColumns({"time": F.col("time").isNotNull(), "cnt": F.col("cnt").cast("bigint")}))
+
+
 @query
 def csv_round_trip(spark, sf_dir):
     """Telemetry written as monthly header CSV and read back with its schema."""
@@ -744,6 +799,12 @@ def stream_alarms(spark, sf_dir):
     return streams.alarms(spark, sf_dir)
 
 
+@query
+def stream_simple(spark, sf_dir):
+    """Marks from the second fix on."""
+    return streams.simple_marks(spark, sf_dir)
+
+
 @query
 def stream_windows(spark, sf_dir):
     return tidy(streams.windows(spark, sf_dir))

@@ -406,7 +406,8 @@ SELECT de.jsy AS user_id, de.longtime AS timestamp, pretime AS pre_timestamp, la
   {r('llat')} AS lat, {r('llon')} AS lon, {r('prespeed * 3.6')} AS pre_speed, {r('lspeed * 3.6')} AS speed,
   {r('latspeed * 3.6')} AS lat_speed, {r('preorien')} AS pre_orientation, {r('orientation')} AS orientation,
   {r('latorien')} AS lat_orientation, b.iscross AS "cross", b.roadsection AS section, wayname AS way_name,
-  waytype AS way_type, b.rapid_mark AS rapid_change, b.angle_mark AS rapid_turn
+  waytype AS way_type, b.rapid_mark AS rapid_change, b.angle_mark AS rapid_turn,
+  cast(event_id % 2 AS varchar) AS flag, cast(event_id % 3 AS int) AS direct_flag
 FROM de JOIN both_marks b ON de.jsy = b.jsy AND de.longtime = b.longtime"""
 
 
@@ -792,6 +793,20 @@ ORACLES["mark_detail_cells"] = f"WITH {TEL}, {DETAIL_MARKS} {DETAIL_CELLS}"
 ORACLES["wire_round_trip"] = f"""WITH {TEL} SELECT jsy, dbuscard, longtime,
   {rr('speed llon llat orientation')} FROM tel"""
 ORACLES["raw_text_parse"] = f"WITH {TEL} SELECT jsy, longtime, {rr('llon llat speed orientation')} FROM tel"
+ORACLES["raw_text_files"] = ORACLES["raw_text_parse"]
+ORACLES["csv_append"] = ORACLES["driver_limits"]
+_TIME = "strftime(make_timestamp(longtime * 1000000), '%Y-%m-%d %H:%M:%S')"
+_TURN = "CASE WHEN abs(orientation - o1) > 180 THEN 360 - abs(orientation - o1) ELSE abs(orientation - o1) END"
+ORACLES["mark_messages"] = f"""WITH {TEL}, {STEPS},
+st AS (SELECT *, CASE WHEN mark = 3 THEN (speed + v1) / 2 ELSE (v1 + v2) / 2 END AS mean, {_TURN} AS turn FROM steps)
+SELECT jsy AS key, cast(15 AS int) AS fields, true AS in_order, jsy || ',' || dbuscard || ',' || {_TIME} || ',' || llon || ',' || llat
+  || ',' || speed || ',' || mean || ',' || (longtime - t1) || ',' || turn || ',' || mark || ',' || ehstatus AS record
+FROM st WHERE mark IS NOT NULL"""
+ORACLES["bus_mark_messages"] = (ORACLES["marks_or_rule"][:ORACLES["marks_or_rule"].rindex(" SELECT ")]
+    + f""" SELECT jsy AS key, jsy || ',' || dbuscard || ',' || {_TIME} || ',' || llon || ',' || llat || ',' || pp || ',' || v0 || ',' || v1
+  || ',' || {_num('avg_dist', 2)} || ',' || {_num('actual_dist', 2)} || ',' || time_interval || ',' || orient || ',' || rapid_mark AS value FROM mk""")
+ORACLES["published_snapshot"] = f"""WITH {TEL}, {stats('stat', 'two_pass', True)}
+SELECT stat.*, true AS time, (SELECT count(*) FROM tel WHERE speed <= 120) AS cnt FROM stat"""
 ORACLES["ride_status"] = f"""WITH {TEL}, {TAXI_TRIPS} SELECT jsy, begin_time, end_time, cast(null AS varchar) AS tag FROM tt"""
 ORACLES["json_snapshot"] = f"""WITH {TEL}, {stats('stat', 'two_pass', True)}
 SELECT avg_upaspeed, std_upaspeed, iqr_updist, iqr_dnaspeed, avg_turn, std_aturn FROM stat"""
@@ -865,6 +880,8 @@ WHERE pretime >= window_start GROUP BY window_start"""
 # fixes of the stream with the columns that pairs look at
 STREAM_FIXES = EVERY.replace("tel AS (SELECT * FROM raw_fix", "tel AS (SELECT *, 'B' || (cast(jsy AS bigint) % 40) AS dbuscard, "
                              "NULL AS roadcross, 0 AS isturn, NULL AS roadsection, NULL AS wayname, NULL AS waytype FROM raw_fix")
+ORACLES["stream_simple"] = f"""WITH {STREAM_FIXES}, {pairs(after=None, lo=1, hi=None)}, {motion()},
+mk AS (SELECT *, {SIMPLE} AS rapid_mark FROM mo) SELECT jsy, event_id, longtime, time_interval, rapid_mark FROM mk WHERE rapid_mark <> 0"""
 ORACLES["stream_fixed_detail"] = f"WITH {STREAM_FIXES}, {DETAIL_MARKS}, {ALARM_ROWS}"
 ORACLES["stream_detail_cells"] = f"WITH {STREAM_FIXES}, {DETAIL_MARKS} {DETAIL_CELLS}"
 _EVENT = band("0.885", "-0.878", "26.256", "41.484", 89.29677, 14.98, 28.95, turn_first=False)

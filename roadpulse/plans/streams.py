@@ -101,6 +101,12 @@ def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_to_end(stream_alarms_of(marked).drop("ts", "dbuscard"), "alarms")
 
 
+def simple_marks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    detectors.use_state_store(spark)
+    found = detectors.simple_marks(event_stream(spark, sf_dir))
+    return run_to_end(found.select("jsy", "event_id", "longtime", "time_interval", "rapid_mark"), "simple")
+
+
 def windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Moments per window of 20 minutes every 5; an end mark after the run closes the last windows."""
     detectors.use_state_store(spark)

@@ -86,20 +86,45 @@ def status_message(trips: DataFrame, tag: str | None = None) -> DataFrame:
     return trips.select(F.concat_ws("_", *parts, *([F.lit(tag)] if tag else [])).alias("value"))
 
 
-def mark_message(steps: DataFrame, keep_zero: bool = True) -> DataFrame:
-    """One record per classified step. The speed field is the mean of this step
-    for turns, of the step before otherwise. The time the record was received
-    (if known) and the time it is sent follow, to measure latency."""
+def _clock() -> Column:
+    """Milliseconds when the row is processed; ``current_timestamp`` stands still for a whole batch."""
+    return F.java_method(F.lit("java.lang.System"), F.lit("currentTimeMillis"))
+
+
+def mark_message(steps: DataFrame, keep_zero: bool = True, last: str = "ehstatus") -> DataFrame:
+    """One record of fifteen fields per classified step.
+
+    The mean speed is that of this step for turns, of the step before otherwise.
+    ``last`` is the column of the record's last field. Four times in
+    milliseconds measure latency: the batch's start, the record's arrival
+    (``received`` if there is such a column, else the batch's start), the
+    decision and the sending.
+    """
     rows = steps.where("mark IS NOT NULL") if keep_zero else steps.where("mark <> 0")
     speed = F.when(F.col("mark") == 3, F.col("average")).otherwise(F.col("pre_average"))
     seconds = F.col("longtime") - F.col("p1.longtime")
-    received = [F.unix_millis("received").cast("string")] if "received" in steps.columns else []
+    batch = F.unix_millis(F.current_timestamp()).cast("string")
+    received = F.unix_millis("received").cast("string") if "received" in steps.columns else batch
     turn = heading_change(F.col("p1.orientation"), F.col("orientation"))
-    return rows.select(F.col("jsy").alias("key"), F.concat_ws(
-        ",", "jsy", "dbuscard", text.time_text(F.col("longtime")), F.col("llon").cast("string"),
-        F.col("llat").cast("string"), F.col("speed").cast("string"), speed.cast("string"),
-        seconds.cast("string"), turn.cast("string"), F.col("mark").cast("string"),
-        *received, F.unix_millis(F.current_timestamp()).cast("string")).alias("value"))
+    fields = ["jsy", "dbuscard", text.time_text(F.col("longtime")), *[F.col(c).cast("string") for c in ("llon", "llat", "speed")],
+              speed.cast("string"), seconds.cast("string"), turn.cast("string"), F.col("mark").cast("string"), F.col(last),
+              batch, received, _clock(), _clock()]
+    return rows.select(F.col("jsy").alias("key"), _joined(fields))
+
+
+def bus_mark_message(marked: DataFrame) -> DataFrame:
+    """One record of thirteen fields per classified pair of a bus: driver, vehicle, time, position, the
+    speeds of three fixes, expected and driven metres, seconds, turn and mark."""
+    fields = ["jsy", "dbuscard", text.time_text(F.col("longtime")),
+              *[F.col(c).cast("string") for c in ("llon", "llat", "pp_kmh", "v0_kmh", "v1_kmh")],
+              text.fixed(F.col("avg_dist"), 2), text.fixed(F.col("actual_dist"), 2),
+              *[F.col(c).cast("string") for c in ("time_interval", "orient", "rapid_mark")]]
+    return marked.select(F.col("jsy").alias("key"), _joined(fields))
+
+
+def _joined(fields: Sequence[Column | str]) -> Column:
+    """Comma-joined; an absent field stays as an empty one, so that places hold."""
+    return F.concat_ws(",", *[F.coalesce(F.col(f) if isinstance(f, str) else f, F.lit("")) for f in fields]).alias("value")
 
 
 def score_message(scored: DataFrame) -> DataFrame:

@@ -61,6 +61,11 @@ def fixed_marks(fixes: DataFrame, preset: Preset = PRESETS["bus_detail_stream"],
     return marks.with_marks(m, marks.band_mark(marks.batch_limits(preset), preset.straight, preset.turn_first))
 
 
+def simple_marks(fixes: DataFrame) -> DataFrame:
+    """Simple-rule marks from a driver's second fix on, whatever the step before."""
+    return marks.with_marks(add_motion(pair_stream(fixes, min_rank=2)), marks.simple_mark())
+
+
 def fixed_alarms(fixes: DataFrame, preset: Preset = PRESETS["bus_event_stream"], speed: float | None = None,
                  **rule) -> DataFrame:
     """Alarms of a preset with fixed limits."""

@@ -71,7 +71,10 @@ def test_messages(spark, fixes):
     all_marks = records.mark_message(steps)
     some = records.mark_message(steps, keep_zero=False)
     assert 0 < some.count() < all_marks.count()
-    assert all(len(r.value.split(",")) == 11 for r in some.limit(20).collect())
+    assert all(len(r.value.split(",")) == 15 for r in some.limit(20).collect())
+    timed = records.mark_message(steps.withColumn("received", F.timestamp_seconds(F.lit(7))).withColumn("wayname", F.lit(None).cast("string")),
+                                 last="wayname").first().value.split(",")
+    assert timed[10] == "" and timed[12] == "7000" and int(timed[11]) <= int(timed[13]) <= int(timed[14])
     scored = trips.running_score(trips.score_trips(trips.split_trips(steps)))
     fields = records.score_message(scored).first().value.split(",")
     assert len(fields) == 12 and all(len(fields[i].split(".")[1]) == 2 for i in (2, 3))
