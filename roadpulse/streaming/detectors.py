@@ -30,16 +30,16 @@ def end_mark(fixes: DataFrame, last: int, beyond: int) -> DataFrame:
         given.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name) for f in fixes.schema])
 
 
-def step_marks(fixes: DataFrame) -> DataFrame:
+def step_marks(fixes: DataFrame, idle: int | None = None) -> DataFrame:
     """Simple-rule marks of a stream; the streaming form of ``trips.step_marks``."""
-    rows = previous_fixes(fixes)
+    rows = previous_fixes(fixes, idle)
     return trips.mark_steps(rows)
 
 
-def pair_stream(fixes: DataFrame, min_rank: int = 3) -> DataFrame:
+def pair_stream(fixes: DataFrame, min_rank: int = 3, idle: int | None = None) -> DataFrame:
     """Pairs of a stream, in the columns of ``pairs.pair_fixes``. A pair needs
     ``min_rank - 1`` earlier fixes: two for the detectors, one (2) for statistics."""
-    rows = previous_fixes(fixes).where(F.col("rank") >= min_rank)
+    rows = previous_fixes(fixes, idle).where(F.col("rank") >= min_rank)
     return rows.select(
         "jsy", "ts", "event_id", "dbuscard", F.col("p1.llon").alias("prelon"), F.col("p1.llat").alias("prelat"),
         F.col("p1.longtime").alias("pretime"), F.col("p1.speed").alias("v0_kmh"), F.col("speed").alias("v1_kmh"),
@@ -73,15 +73,15 @@ def fixed_alarms(fixes: DataFrame, preset: Preset = PRESETS["bus_event_stream"],
 
 
 def trip_stream(fixes: DataFrame, over: Column, ends=None,
-                over_codes: tuple[str, ...] = trips.TAXI_OVER_CODES) -> DataFrame:
+                over_codes: tuple[str, ...] = trips.TAXI_OVER_CODES, idle: int | None = None) -> DataFrame:
     """Finished trips of a stream."""
-    return rides(step_marks(fixes).withColumn("over_code", over), ends, over_codes)
+    return rides(step_marks(fixes, idle).withColumn("over_code", over), ends, over_codes, idle)
 
 
 def score_stream(fixes: DataFrame, over: Column, variant: str = "taxi", ends=None,
-                 over_codes: tuple[str, ...] = trips.TAXI_OVER_CODES) -> DataFrame:
-    """Scored trips of a stream with the driver's running score."""
-    return running_scores(trips.score_trips(trip_stream(fixes, over, ends, over_codes), variant))
+                 over_codes: tuple[str, ...] = trips.TAXI_OVER_CODES, idle: int | None = None) -> DataFrame:
+    """Scored trips of a stream with the driver's running score, which is kept for good."""
+    return running_scores(trips.score_trips(trip_stream(fixes, over, ends, over_codes, idle), variant))
 
 
 def rendezvous(over_done: DataFrame, marks_done: DataFrame, delay: str = "1 hour") -> DataFrame:

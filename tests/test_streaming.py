@@ -131,3 +131,49 @@ def test_every_pair_takes_any_gap(spark):
     gaps = lambda n: sorted((r.event_id, r.time_interval) for r in every_pair(fixes, earlier=n).collect())
     assert gaps(1) == [(1, 3), (2, 997), (4, 89_000)]
     assert gaps(2) == [(2, 997)]
+
+
+def _batches(spark, path, batches):
+    """A source with one file per batch of (driver, second)."""
+    schema = "jsy string, dbuscard string, event_id bigint, longtime bigint, speed double, orientation double, llon double, llat double, ehstatus string"
+    for k, rows in enumerate(batches):
+        spark.createDataFrame([(d, "B", 100 * k + i, t, 30.0, 0.0, 119.4, 32.2, "1") for i, (d, t) in enumerate(rows)], schema) \
+            .coalesce(1).write.mode("append").parquet(path)
+        yield detectors.with_event_time(spark.readStream.schema(schema).parquet(path))
+
+
+DAY = 86400
+
+
+@pytest.mark.parametrize("idle", [None, 3600])
+def test_idle_drivers_are_forgotten(spark, tmp_path, idle):
+    """Two drivers go, a third drives a day later, then one of the two comes back."""
+    batches = [[("a", 100), ("a", 110), ("b", 105)], [("c", DAY), ("c", DAY + 10)], [("c", DAY + 20)], [("a", DAY + 30), ("c", DAY + 30)]]
+    kept = []
+    for k, fixes in enumerate(_batches(spark, str(tmp_path / "in"), batches)):
+        out = state.previous_fixes(fixes, idle).select("jsy", "longtime", "rank")
+        q = (out.writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "s"))
+             .trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        assert q.exception() is None
+        kept.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    ranks = {(r.jsy, r.longtime): r["rank"] for r in spark.read.parquet(str(tmp_path / "out")).collect()}
+    assert ranks["a", DAY + 30] == (3 if idle is None else 1) and ranks["c", DAY + 30] == 4 and len(ranks) == 8
+    assert (kept[2] < kept[0]) == (idle is not None)
+
+
+def test_windows_of_alarms_go_when_they_are_over(spark, tmp_path):
+    schema = "jsy string, rapid_mark int, dbuscard string, longtime bigint, pretime bigint"
+    batches = [[("a", 100), ("a", 110), ("b", 105)], [("c", 5000)], [("a", 5200), ("a", 5300), ("b", 5400)]]
+    kept = []
+    for rows in batches:
+        spark.createDataFrame([(d, 1, "B", t, t - 10) for d, t in rows], schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        marked = detectors.with_event_time(spark.readStream.schema(schema).parquet(str(tmp_path / "in")))
+        q = (state.alarms(marked).select("jsy", "fired_at", "opened", "ends").writeStream.format("parquet")
+             .option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "s")).trigger(availableNow=True).start())
+        q.awaitTermination(300)
+        assert q.exception() is None
+        kept.append(q.lastProgress["stateOperators"][0]["numRowsTotal"])
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "out")).collect())) == [
+        ("a", 110, 90, 270), ("a", 5300, 5190, 5370)]
+    assert kept[1] < kept[0]
