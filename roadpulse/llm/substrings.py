@@ -5,17 +5,20 @@ words in it with the least hash. Windows are therefore dealt out by anchor, and
 each shard is complete for its own: no text has to be streamed past every
 shard. The work goes over blocks of documents:
 
-1. each block sends its anchors to the shards, which answer which of them occur
-   in more than one document;
-2. the block sends the passages around those, consecutive windows with one
-   anchor together and equal ones once, with the smallest doc_id they have;
+1. each block sends its anchors to the shards, with the number of different
+   passages around each; they answer which of them occur in more than one
+   document, and which are heavy, with more than HEAVY passages in all blocks;
+2. the block sends the passages around the shared ones, consecutive windows with
+   one anchor together and equal ones once, with the smallest doc_id they have;
+   windows of a heavy anchor go one by one, dealt out by their own hash;
 3. a shard indexes its distinct passages (BWT, wavelet matrix), takes their
    windows back through it and finds for each the smallest doc_id of all
    passages in its suffix interval;
 4. the block removes the words of windows that start in an earlier document.
 
-Blocks and shards hold a bounded share of the input each. A passage that very
-many documents have is one entry per block, so no shard grows with it.
+Blocks and shards hold a bounded share of the input each: a phrase with ever new
+neighbours is a heavy anchor, whose windows spread over all shards, and a passage
+that very many documents have is one entry per block.
 Words are compared by 64-bit hashes.
 """
 
@@ -31,13 +34,17 @@ from pyspark.sql import functions as F
 
 from .fm_index import FmIndex
 from .tables import doc_texts, stored
-from .words import NOT_SPACE, Words, flat, shingle_hashes, words
+from .words import NOT_SPACE, Words, flat, mix, shingle_hashes, words
 
 WINDOW = 13
 ANCHOR = 6
 #: Text bytes of a block, and of the input for each shard.
 BLOCK_BYTES, SHARD_BYTES = 1 << 20, 8 << 20
 LEAST_SHARDS = 48
+#: Passages around one anchor that are still held together.
+HEAVY = 4096
+#: In the count of an anchor's passages that a block sends: two of its documents have the anchor.
+_TWICE = 1 << 15
 _NO_ID = np.iinfo(np.int64).max
 _CODEC = "zstd"
 
@@ -87,6 +94,16 @@ class Runs:
     doc: np.ndarray     # document in the block
 
 
+@dataclass
+class Pieces:
+    """What a block sends: runs, and single windows of heavy anchors."""
+    first: np.ndarray
+    count: np.ndarray
+    doc: np.ndarray
+    shard: np.ndarray
+    number: np.ndarray  # in the list of its shard
+
+
 class Block:
     """One block, read the same way in every pass."""
 
@@ -97,7 +114,8 @@ class Block:
         self.ids = ids
         self.rank = np.array([_NO_ID if i is None else i for i in ids], np.int64)
         self.words: Words = next(words(column, NOT_SPACE, lower=False, chunk=1 << 62))
-        self.runs = _runs(self.words)
+        self.shards = shards
+        self.runs, self.window = _runs(self.words)
         self.anchors, self.which = np.unique(self.runs.anchor, return_inverse=True)
         self.shard = (self.anchors % np.uint64(shards)).astype(np.int64)
 
@@ -109,28 +127,40 @@ class Block:
         np.maximum.at(high, self.which, ids)
         return low < high
 
+    def passages_of_anchors(self) -> np.ndarray:
+        """Of each anchor, how many different passages of the block have it."""
+        last = self.runs.first + self.runs.count - 1
+        whole = self.window[self.runs.first] + mix(self.window[last] + self.runs.count.astype(np.uint64))
+        return np.bincount(self.which[np.unique(whole, return_index=True)[1]], minlength=len(self.anchors))
+
     def flags(self, answers: list[tuple[int, bytes]]) -> np.ndarray:
-        """Of each anchor, whether it is shared, from the answers of the shards."""
-        out = np.zeros(len(self.anchors), bool)
+        """Of each anchor, 1 if it is shared, 2 if it is heavy too, else 0, from the answers of the shards."""
+        out = np.zeros(len(self.anchors), np.int8)
         order = np.argsort(self.shard, kind="stable")
         cuts = np.searchsorted(self.shard[order], [s for s, _ in answers])
         for (shard, bits), at in zip(answers, cuts):
             got = np.unpackbits(np.frombuffer(bits, np.uint8), bitorder="little").astype(bool)
             mine = order[at:at + int((self.shard == shard).sum())]
-            out[mine] = got[:len(mine)]
+            out[mine] = got[:len(mine)].astype(np.int8) + got[len(mine):2 * len(mine)]
         return out
 
     def passages(self, flags: np.ndarray):
-        """The runs with a shared anchor; of each its shard, its number in the shard's list; and the lists."""
+        """The pieces with a shared anchor; each shard's list of texts, and the smallest doc_id of each text."""
         chosen = np.flatnonzero(flags[self.which]) if len(self.which) else np.zeros(0, np.int64)
-        w, first, last = self.words, self.runs.first[chosen], self.runs.first[chosen] + self.runs.count[chosen] + WINDOW - 2
-        data = w.data.tobytes()
-        shard = self.shard[self.which[chosen]]
-        rank = self.rank[self.runs.doc[chosen]]
+        heavy = flags[self.which[chosen]] == 2
+        parts = np.where(heavy, self.runs.count[chosen], 1)
+        run, heavy = np.repeat(chosen, parts), np.repeat(heavy, parts)
+        begin = self.runs.first[run] + np.arange(len(run)) - np.repeat(np.cumsum(parts) - parts, parts)
+        count = np.where(heavy, 1, self.runs.count[run])
+        shard = self.shard[self.which[run]]
+        shard[heavy] = (self.window[begin[heavy]] % np.uint64(self.shards)).astype(np.int64)
+        w, data = self.words, self.words.data.tobytes()
+        doc = self.runs.doc[run]
         lists: dict[int, dict[bytes, int]] = {}
         least: dict[int, list[int]] = {}
-        number = np.zeros(len(chosen), np.int64)
-        for n, (s, a, b, r) in enumerate(zip(shard.tolist(), w.start[first].tolist(), w.end[last].tolist(), rank.tolist())):
+        number = np.zeros(len(run), np.int64)
+        for n, (s, a, b, r) in enumerate(zip(shard.tolist(), w.start[begin].tolist(), w.end[begin + count + WINDOW - 2].tolist(),
+                                             self.rank[doc].tolist())):
             known, low = lists.setdefault(s, {}), least.setdefault(s, [])
             text = data[a:b]
             at = known.get(text)
@@ -140,14 +170,15 @@ class Block:
             elif r < low[at]:
                 low[at] = r
             number[n] = at
-        return chosen, shard, number, lists, least
+        return Pieces(begin, count, doc, shard, number), lists, least
 
 
-def _runs(w: Words) -> Runs:
+def _runs(w: Words) -> tuple[Runs, np.ndarray]:
+    """The runs of a block, and the hash of each window by its first word."""
     h = w.hashes()
     n = len(h) - WINDOW + 1
     if n <= 0:
-        return Runs(*[np.zeros(0, np.int64)] * 2, np.zeros(0, np.uint64), np.zeros(0, np.int64))
+        return Runs(*[np.zeros(0, np.int64)] * 2, np.zeros(0, np.uint64), np.zeros(0, np.int64)), np.zeros(0, np.uint64)
     g = shingle_hashes(h, ANCHOR)
     best, at = g[:n].copy(), np.arange(n)
     for j in range(1, WINDOW - ANCHOR + 1):
@@ -160,7 +191,8 @@ def _runs(w: Words) -> Runs:
     first = np.flatnonzero(new & whole)
     stops = np.append(np.flatnonzero(new), n)
     last = np.minimum(stops[np.searchsorted(stops, first, "right")], w.first[doc[first] + 1] - WINDOW + 1)
-    return Runs(first, last - first, best[first], doc[first])
+    window = mix(mix(g[:n] + mix(g[ANCHOR:][:n])) + g[WINDOW - ANCHOR:][:n])  # the three runs of words cover it
+    return Runs(first, last - first, best[first], doc[first]), window
 
 
 def _read(batch: pa.RecordBatch, shards: int):
@@ -172,29 +204,32 @@ def _send_anchors(shards: int):
     def run(batches):
         for batch in batches:
             for name, block in _read(batch, shards):
-                twice = block.twice()
+                counts = np.minimum(block.passages_of_anchors(), _TWICE - 1).astype(np.uint16) + block.twice() * np.uint16(_TWICE)
                 order = np.argsort(block.shard, kind="stable")
                 cuts = np.flatnonzero(np.append(True, np.diff(block.shard[order]) != 0)) if len(order) else []
                 rows = [(name, int(block.shard[part[0]]), block.anchors[part].tobytes(),
-                         np.packbits(twice[part], bitorder="little").tobytes()) for part in np.split(order, cuts[1:])] if len(order) else []
-                yield _batch(rows, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), ("block", "shard", "anchors", "twice"))
+                         squeeze(counts[part].tobytes())) for part in np.split(order, cuts[1:])] if len(order) else []
+                yield _batch(rows, (pa.int64(), pa.int32(), pa.binary(), pa.binary()), ("block", "shard", "anchors", "counts"))
     return run
 
 
-def _shared_anchors(table: pa.Table) -> pa.Table:
-    """A shard's answer to each block: which of its anchors another document has too."""
-    sent = [np.frombuffer(x, np.uint64) for x in table.column("anchors").to_pylist()]
-    twice = [np.unpackbits(np.frombuffer(x, np.uint8), bitorder="little")[:len(s)] for x, s in zip(table.column("twice").to_pylist(), sent)]
-    known, which, count = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
-    shared = count > 1
-    shared[which[np.concatenate(twice).astype(bool)]] = True
-    flags, at, rows = shared[which], 0, []
-    for block, shard, s in zip(table.column("block").to_pylist(), table.column("shard").to_pylist(), sent):
-        mine = flags[at:at + len(s)]
-        at += len(s)
-        if mine.any():
-            rows.append((block, shard, np.packbits(mine, bitorder="little").tobytes()))
-    return pa.Table.from_batches([_batch(rows, (pa.int64(), pa.int32(), pa.binary()), ("block", "shard", "shared"))])
+def _shared_anchors(heavy: int):
+    def run(table: pa.Table) -> pa.Table:
+        """A shard's answer to each block: which of its anchors another document has too, and which are heavy."""
+        sent = [np.frombuffer(x, np.uint64) for x in table.column("anchors").to_pylist()]
+        counts = np.concatenate([np.frombuffer(unsqueeze(x), np.uint16) for x in table.column("counts").to_pylist()])
+        _, which, blocks_of = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
+        shared = blocks_of > 1
+        shared[which[counts >= _TWICE]] = True
+        many = shared & (np.bincount(which, counts & (_TWICE - 1), len(shared)) > heavy)
+        at, rows = 0, []
+        for block, shard, s in zip(table.column("block").to_pylist(), table.column("shard").to_pylist(), sent):
+            mine = which[at:at + len(s)]
+            at += len(s)
+            if shared[mine].any():
+                rows.append((block, shard, np.packbits(np.append(shared[mine], many[mine]), bitorder="little").tobytes()))
+        return pa.Table.from_batches([_batch(rows, (pa.int64(), pa.int32(), pa.binary()), ("block", "shard", "shared"))])
+    return run
 
 
 def _answers(batch: pa.RecordBatch, column: str) -> list[list[tuple[int, bytes]]]:
@@ -206,7 +241,7 @@ def _send_passages(shards: int):
         for batch in batches:
             rows = []
             for (name, block), answers in zip(_read(batch, shards), _answers(batch, "shared")):
-                _, _, _, lists, least = block.passages(block.flags(answers))
+                _, lists, least = block.passages(block.flags(answers))
                 for shard, known in lists.items():
                     sizes = np.fromiter(map(len, known), np.int64, len(known))
                     rows.append((name, shard, len(known), squeeze(
@@ -271,19 +306,19 @@ def _remove(shards: int):
     def run(batches):
         for batch in batches:
             for (_, block), shared, minima in zip(_read(batch, shards), _answers(batch, "shared"), _answers(batch, "minima")):
-                chosen, shard, number, _, _ = block.passages(block.flags(shared))
-                w, runs = block.words, block.runs
+                pieces, _, _ = block.passages(block.flags(shared))
+                w = block.words
                 step = np.zeros(len(w) + 1, np.int32)
                 for s, data in minima:
                     low = np.frombuffer(unsqueeze(data), np.int64)
-                    mine = np.flatnonzero(shard == s)
-                    count = np.zeros(int(number[mine].max()) + 1, np.int64)
-                    count[number[mine]] = runs.count[chosen[mine]]
-                    begin = np.append(0, np.cumsum(count))[number[mine]]
-                    n = runs.count[chosen[mine]]
+                    mine = np.flatnonzero(pieces.shard == s)
+                    number, n = pieces.number[mine], pieces.count[mine]
+                    count = np.zeros(int(number.max()) + 1, np.int64)
+                    count[number] = n
+                    begin = np.append(0, np.cumsum(count))[number]
                     inner = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-                    early = low[np.repeat(begin, n) + inner] < np.repeat(block.rank[runs.doc[chosen[mine]]], n)
-                    hit = (np.repeat(runs.first[chosen[mine]], n) + inner)[early]
+                    early = low[np.repeat(begin, n) + inner] < np.repeat(block.rank[pieces.doc[mine]], n)
+                    hit = (np.repeat(pieces.first[mine], n) + inner)[early]
                     np.add.at(step, hit, 1)
                     np.add.at(step, hit + WINDOW, -1)
                 gone = np.cumsum(step[:-1]) > 0
@@ -309,7 +344,7 @@ def _batch(rows: list[tuple], types: tuple, names: tuple) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], list(names))
 
 
-def drop_repeated(docs: DataFrame, block_docs: DataFrame | None = None) -> DataFrame:
+def drop_repeated(docs: DataFrame, block_docs: DataFrame | None = None, heavy: int = HEAVY) -> DataFrame:
     """doc_id, n_words, n_removed, text (the kept words joined by one space), one row per row of ``docs``.
 
     A word goes if a window of WINDOW consecutive words that covers it also
@@ -322,9 +357,9 @@ def drop_repeated(docs: DataFrame, block_docs: DataFrame | None = None) -> DataF
     size = held.agg(F.sum("size")).first()[0] or 0
     shards = max(LEAST_SHARDS, -(-size // SHARD_BYTES))
     to_block = lambda df, c: df.groupBy("block").agg(F.collect_list(F.struct("shard", c)).alias(c))
-    sent = held.mapInArrow(_send_anchors(shards), "block long, shard int, anchors binary, twice binary")
+    sent = held.mapInArrow(_send_anchors(shards), "block long, shard int, anchors binary, counts binary")
     shared = stored(to_block(sent.groupBy("shard").applyInArrow(
-        _shared_anchors, "block long, shard int, shared binary"), "shared"), "shared-anchors")
+        _shared_anchors(heavy), "block long, shard int, shared binary"), "shared"), "shared-anchors")
     asked = stored(held.join(shared, "block"), "asked")
     passages = asked.mapInArrow(_send_passages(shards), "block long, shard int, n long, passages binary")
     minima = stored(to_block(passages.groupBy("shard").applyInArrow(

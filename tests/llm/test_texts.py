@@ -38,6 +38,31 @@ def test_substrings(spark, docs, corpus, none, nameless, monkeypatch):
     assert substrings.substring_digests(none).count() == 0 and substrings.substring_digests(nameless).count() == 3
 
 
+def test_heavy_anchors_spread_over_the_shards(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    stock = [f"stock{k}" for k in range(9)]
+    say = lambda n: [f"w{k}" for k in rng.integers(0, 5000, n)]
+    rows = [(i, " ".join(say(12) + stock + say(12))) for i in range(400)]
+    rows += [(1000 + i, rows[i][1] + "  " + rows[i + 1][1]) for i in range(0, 60, 2)] + [(2000, None), (2001, ""), (7, rows[7][1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    monkeypatch.setattr(substrings, "BLOCK_BYTES", 4000)
+    held = substrings.stored(substrings.blocks(docs), "blocks")
+    blocks = [substrings.Block(r.doc_id, r.ends, bytes(r.data), 48) for r in held.collect()]
+    uneven = {}
+    for whole in (8, 1 << 30):  # windows of an anchor dealt out above eight passages, or never
+        counts, sent = Counter(), Counter()
+        for b in blocks:
+            counts.update(dict(zip(b.anchors.tolist(), b.passages_of_anchors().tolist())))
+        for b in blocks:
+            flags = np.array([1 + (counts[a] > whole) for a in b.anchors.tolist()], np.int8)
+            sent.update({s: len(texts) for s, texts in b.passages(flags)[1].items()})
+        uneven[whole] = max(sent.values()) * 48 / sum(sent.values())
+        got = substrings.drop_repeated(docs, held, whole)
+        assert Counter((r.doc_id, r.n_words, r.n_removed, hashlib.sha256(r.text.encode()).hexdigest()) for r in got.collect()) == brute_removed(rows)
+    assert max(counts.values()) > 100  # around a run of the phrase that is the least of its windows in many documents
+    assert uneven[8] < 2 < 3 < uneven[1 << 30]  # the fullest shard against the mean
+
+
 def test_index_finds_every_occurrence():
     rng = np.random.default_rng(1)
     text = rng.integers(0, 4, 300)
