@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions import motion
 from ..functions.envelope import mileage_limits
-from .slices import HOUR, row_blocks, time_slices, with_rank
+from .slices import HOUR, crowded, row_blocks, time_slices, with_rank
 
 
 @dataclass(frozen=True)
@@ -49,7 +49,8 @@ def pair_fixes(fixes: DataFrame, rule: PairRule = BUS, carry: Sequence[str] = ()
     come out in m/s, ``v0_kmh`` and ``v1_kmh`` as recorded.
     Since only gaps up to ``max_gap`` survive, time slices with that much
     context pair exactly, in one shuffle. ``width`` is the slice length in
-    seconds: an hour, or six times the gap where that is longer.
+    seconds: an hour, or six times the gap where that is longer. Where a key
+    crowds into a slice, rows are numbered and paired in blocks of equal length.
     """
     source = fixes.withColumn("heading", F.col(rule.heading))
     if rule.speed_before is not None:
@@ -57,10 +58,17 @@ def pair_fixes(fixes: DataFrame, rule: PairRule = BUS, carry: Sequence[str] = ()
     wanted = dict.fromkeys([*rule.keys, *PREVIOUS, *tie, *carry, *previous])
     source = source.select(*wanted)
     window = Window.partitionBy(*rule.keys, "slice").orderBy("longtime", *tie)
-    earlier = F.struct(*dict.fromkeys([*PREVIOUS, *previous]))
-    paired = (time_slices(source, "longtime", rule.max_gap, width or max(HOUR, 6 * rule.max_gap))
-              .withColumn("pre", F.lag(earlier).over(window))
-              .where("is_home AND pre IS NOT NULL"))
+    before = [*dict.fromkeys([*PREVIOUS, *previous])]
+    width = width or max(HOUR, 6 * rule.max_gap)
+    home = F.expr(f"longtime div {width}")
+    if crowded(fixes, rule.keys, home):
+        whole = source.withColumn("_key", F.struct(*rule.keys))  # equal to itself also where a key is null
+        paired = (neighbours(whole, ["_key"], before, tie=tie, rank_slice=width)
+                  .withColumnRenamed("p1", "pre").withColumn("slice", home).where("pre IS NOT NULL"))
+    else:
+        paired = (time_slices(source, "longtime", rule.max_gap, width)
+                  .withColumn("pre", F.lag(F.struct(*before)).over(window))
+                  .where("is_home AND pre IS NOT NULL"))
     gap = F.col("longtime") - F.col("pre.longtime")
     kept = paired.where(gap.between(rule.min_gap, rule.max_gap))
     if rule.speed_after is not None and rule.strict:

@@ -13,6 +13,11 @@ the results exact:
 
 ``before_block`` carries a running total across blocks.
 
+A key may also crowd into one hour. ``crowded`` counts the rows of each (key,
+hour), combined map-side; where one holds more than ``CROWD``, rows are cut by
+count along the order instead (``cut_by_count``), so that no slice is larger
+than the others whatever the hours hold.
+
 Context rows have ``is_home = false``: compute over the window, then keep the
 home rows.
 """
@@ -23,9 +28,38 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from roadpulse.session import materialise
+
 HOUR = 3600
 DAY = 86400
 BLOCK_ROWS = 50_000
+#: Rows of one (key, hour) that are still ordered in one group; a choice of plan, not of result.
+CROWD = 1_000_000
+_crowds: dict[int, bool] = {}
+
+
+def crowded(df: DataFrame, keys: Sequence[str], slice_by: Column, most: int | None = None) -> bool:
+    """Whether a (key, slice) has more than ``most`` rows: one pass over the key and time columns.
+
+    The answer is kept for the same plan; it only decides how rows are dealt out, never which come out.
+    """
+    most = CROWD if most is None else most
+    counts = df.groupBy(*keys, slice_by.alias("_slice")).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > most)
+    plan = counts.semanticHash()
+    if plan not in _crowds:
+        _crowds[plan] = not counts.isEmpty()
+    return _crowds[plan]
+
+
+def cut_by_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str) -> DataFrame:
+    """Add ``name``, a number of slices of about equal counts along (keys, order), heavy hours and all.
+
+    The ranges come from a sample, so the rows are stored with their slices: a
+    lost executor must not lead to other cuts. Only rows that agree in all of
+    ``keys`` and ``order`` cannot be parted.
+    """
+    ranges = df.repartitionByRange(*keys, *order)
+    return materialise(ranges.withColumn(name, F.spark_partition_id().cast("bigint")), "ranges")
 
 
 def time_slices(df: DataFrame, time: str, look_back: int, width: int = HOUR) -> DataFrame:
@@ -48,9 +82,13 @@ def with_rank(df: DataFrame, keys: Sequence[str], order: Sequence[str], slice_by
 
     ``slice_by`` must never decrease along ``order``. Rows are numbered inside
     (key, slice) and shifted by the count of the key's earlier slices; those
-    counts are combined map-side, so only they meet in one group per key.
+    counts are combined map-side, so only they meet in one group per key. Keys
+    that crowd into a slice are cut by count.
     """
-    keyed = df.withColumn("_slice", slice_by)
+    if crowded(df, keys, slice_by):
+        keyed = cut_by_count(df, keys, order, "_slice")
+    else:
+        keyed = df.withColumn("_slice", slice_by)
     counts = keyed.groupBy(*keys, "_slice").agg(F.count(F.lit(1)).alias("_n"))
     earlier = (Window.partitionBy(*keys).orderBy("_slice")
                .rowsBetween(Window.unboundedPreceding, -1))

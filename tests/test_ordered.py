@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from roadpulse.operators import episodes, marks, pairs, ranks, trips
+from roadpulse.operators import episodes, marks, pairs, ranks, slices, trips
 from roadpulse.operators.slices import with_rank
 
 
@@ -39,6 +39,51 @@ def test_pairs_match_one_pass(spark, width):
     assert got == want and want
 
 
+def crowded_fixes(spark):
+    """A driver with one hour of three fixes a second, one with a single time, a null one, and a few others."""
+    rnd = random.Random(11)
+    times = [("hour", 1_546_300_800 + rnd.randrange(3600)) for _ in range(1500)]
+    times += [("once", 1_546_300_800)] * 600 + [("once", 1_546_300_800 + k) for k in (7, 7, 30, 95)]
+    times += [(None, 1_546_300_800 + rnd.randrange(9000)) for _ in range(400)]
+    times += [(f"d_{d}", 1_546_300_800 + 20 * k) for d in range(5) for k in range(30)]
+    rows = [(d, n, t, float(rnd.randint(0, 1200)) / 10, 1.0, 119.4, 32.2) for n, (d, t) in enumerate(times)]
+    return spark.createDataFrame(rows, "jsy string, event_id bigint, longtime bigint, speed double, orientation double, "
+                                       "llon double, llat double").repartition(3)
+
+
+def test_crowded_hours_give_the_same_pairs(spark, monkeypatch):
+    fixes = crowded_fixes(spark)
+    want, wide = pairs.pair_fixes(fixes), pairs.every_pair(fixes)
+    monkeypatch.setattr(slices, "CROWD", 100)
+    got, got_wide = pairs.pair_fixes(fixes), pairs.every_pair(fixes)
+    assert got.columns == want.columns and got_wide.columns == wide.columns
+    key = lambda df: sorted(map(repr, df.collect()))
+    assert key(got) == key(want) and {r.jsy for r in want.collect()} > {"hour", "once", None}
+    assert key(got_wide) == key(wide)
+
+
+def test_slices_cut_by_count_part_heavy_hours(spark):
+    fixes = crowded_fixes(spark)
+    assert slices.crowded(fixes, ["jsy"], F.expr("longtime div 3600"), 600)
+    assert not slices.crowded(fixes, ["jsy"], F.expr("longtime div 3600"), 1500)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        cut = slices.cut_by_count(fixes, ["jsy"], ["longtime", "event_id"], "_slice")
+        sizes = [r["count"] for r in cut.groupBy("jsy", "_slice").count().collect()]
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(sizes) == fixes.count() and max(sizes) < 1.5 * sum(sizes) / 4  # four ranges
+
+
+@pytest.mark.parametrize("crowd", [5, 1_000_000])
+def test_ranks_count_on_over_slices(spark, monkeypatch, crowd):
+    monkeypatch.setattr(slices, "CROWD", crowd)
+    got = with_rank(random_fixes(spark, 5), ["jsy"], ["longtime", "event_id"], F.expr("longtime div 3600")).collect()
+    for (d,), rows in brute.by_key(got, "jsy").items():
+        rows.sort(key=lambda r: (r.longtime, r.event_id))
+        assert [r["rank"] for r in rows] == list(range(1, len(rows) + 1))
+
+
 def test_prefilter_pairs_across_removed_fixes(spark):
     fixes = random_fixes(spark, 2)
     rule = pairs.PairRule(speed_before=80.0, speed_after=None)
