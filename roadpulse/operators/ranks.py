@@ -124,9 +124,9 @@ def select_ranks(values: DataFrame, wanted: Callable[[DataFrame], DataFrame], by
     return _holding(last, todo, keys, "v").select(*by, "idx", "v")
 
 
-def _long(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _long(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
     parts = [F.struct(F.lit(c).alias("feature"), F.col(c).cast("double").alias("v")) for c in columns]
-    return (df.select(F.explode(F.array(*parts)).alias("_p")).select("_p.*")
+    return (df.select(*by, F.explode(F.array(*parts)).alias("_p")).select(*by, "_p.*")
             .where("v IS NOT NULL AND NOT isnan(v)").withColumn("n", F.lit(1)))
 
 
@@ -134,23 +134,23 @@ def _rank_of(p: Column) -> Column:
     return F.greatest(F.ceil(p * F.col("total")), F.lit(1))
 
 
-def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]]) -> DataFrame:
-    """``(feature, idx, p, v)`` for columns and their probabilities: the smallest
-    value with at least ``p`` of the rows at or below it.
+def exact_quantiles(df: DataFrame, probs: Mapping[str, Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
+    """``(*by, feature, idx, p, v)`` for columns and their probabilities: the smallest
+    value with at least ``p`` of the (group's) rows at or below it.
 
-    All columns are searched together. ``df`` is read twice and once more per
-    further round; ``session.materialise`` it first if it is costly.
+    All columns and groups are searched together. ``df`` is read twice and once more
+    per further round; ``session.materialise`` it first if it is costly.
     """
     levels = F.create_map(*[x for c, ps in probs.items() for x in (
         F.lit(c), F.array(*[F.struct(F.lit(i).alias("idx"), F.lit(float(p)).alias("p"))
                             for i, p in enumerate(ps)]))])
 
     def wanted(totals: DataFrame) -> DataFrame:
-        return (totals.select("feature", "total", F.explode(levels[F.col("feature")]).alias("l"))
-                .select("feature", F.col("l.idx").alias("idx"), _rank_of(F.col("l.p")).alias("rank")))
+        return (totals.select(*by, "feature", "total", F.explode(levels[F.col("feature")]).alias("l"))
+                .select(*by, "feature", F.col("l.idx").alias("idx"), _rank_of(F.col("l.p")).alias("rank")))
 
-    picked = select_ranks(_long(df, list(probs)), wanted)
-    return picked.select("feature", "idx", F.get(levels[F.col("feature")], F.col("idx"))["p"].alias("p"), "v")
+    picked = select_ranks(_long(df, list(probs), by), wanted, [*by, "feature"])
+    return picked.select(*by, "feature", "idx", F.get(levels[F.col("feature")], F.col("idx"))["p"].alias("p"), "v")
 
 
 def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequence[float]) -> DataFrame:
@@ -172,10 +172,10 @@ def grouped_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Seque
         F.transform(F.array_sort(F.collect_list(F.struct("idx", "v"))), lambda s: s["v"]).alias("q"))
 
 
-def quantile_arrays(df: DataFrame, probs: Mapping[str, Sequence[float]]) -> DataFrame:
-    """One row: an ascending array of quantiles under each column's name."""
-    q = exact_quantiles(df, probs)
-    return q.agg(*[
+def quantile_arrays(df: DataFrame, probs: Mapping[str, Sequence[float]], by: Sequence[str] = ()) -> DataFrame:
+    """One row (per group that has a value): an ascending array of quantiles under each column's name."""
+    q = exact_quantiles(df, probs, by)
+    return q.groupBy(*by).agg(*[
         F.transform(F.array_sort(F.collect_list(F.when(F.col("feature") == c, F.struct("idx", "v")))),
                     lambda s: s["v"]).alias(c)
         for c in probs])

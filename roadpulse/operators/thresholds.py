@@ -1,14 +1,16 @@
 """Learned limits: moments, quartiles and fences.
 
-Statistics per driver or per window take their quartiles from Spark's mergeable
-quantile sketch, in the same aggregation as the moments. Statistics over all
-pairs find them exactly (``ranks``), which needs no single task to merge the
-sketches of the whole input.
+Quartiles are found exactly (``ranks``), over all pairs and per group, which
+needs no single task to merge the sketches of the whole input. Statistics of a
+stream's windows take them from Spark's mergeable quantile sketch, in the same
+aggregation as the moments.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -107,12 +109,12 @@ def published_stats(pairs: DataFrame, by: Sequence[str] = (), mode: str = "two_p
     ``turn_floor``. ``full`` adds turn and speed-gap summaries over all turns
     above zero. ``moments`` leaves the quartiles out and takes turns over 60.
 
-    The conditional summaries of a mode share their passes. Over all pairs the
-    measures are stored once and the quartiles are exact; per group, or if
-    ``sketch`` gives an accuracy, they come from a sketch in the same pass.
+    The conditional summaries of a mode share their passes. The measures are
+    stored once and the quartiles are exact; of a stream, or if ``sketch`` gives
+    an accuracy, they come from a sketch in the same pass.
     """
     by = list(by)
-    exact = not by and sketch is None and mode != "moments"
+    exact = sketch is None and mode != "moments" and not pairs.isStreaming
     rows = pairs.select(*by, *MEASURES)
     if exact:
         rows = materialise(rows, "measures")
@@ -144,7 +146,12 @@ def published_stats(pairs: DataFrame, by: Sequence[str] = (), mode: str = "two_p
     if mode == "moments":
         return values.groupBy(*by).agg(*aggregates)
     probs = [p for p, _ in QUARTILES]
-    if exact:
+    if exact and by:
+        quartiles = quantile_arrays(values, dict.fromkeys(parts, probs), by)
+        quartiles = quartiles.select(*[F.col(c).alias(f"_by_{c}") for c in by], *[F.col(name).alias(f"_q_{name}") for name in parts])
+        same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"_by_{c}")) for c in by])
+        stats = values.groupBy(*by).agg(*aggregates, *extra).join(quartiles, same, "left").drop(*[f"_by_{c}" for c in by])
+    elif exact:
         row = attach_row(values.agg(*aggregates, *extra), quantile_arrays(values, dict.fromkeys(parts, probs)), "_q")
         stats = row.withColumns({f"_q_{name}": F.col(f"_q.{name}") for name in parts}).drop("_q")
     else:

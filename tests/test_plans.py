@@ -136,3 +136,19 @@ def test_pairs_without_a_tie_column(stored):
     p = PRESETS["bus_jr_offline"]
     found = marks.learn_and_mark(pairs.add_motion(pairs.pair_fixes(stored, tie=())), p)
     assert found.count() == 83
+
+
+def test_quartiles_of_a_window_are_exact(spark):
+    """Windows with more values than a sketch keeps, and one without a turning pair."""
+    n = 300_000
+    pairs_ = spark.range(n).selectExpr(
+        "cast(id % 3 AS bigint) AS window_start", "cast((id * 7919) % 300007 - 150000 AS double) / 7 AS aspeed",
+        "cast((id * 104729) % 300007 AS double) / 3 AS distance", "CASE WHEN id % 3 < 2 THEN cast(id % 180 AS double) ELSE 0.0 END AS turn",
+        "cast(id % 1000 AS double) AS aturn", "cast((id * 31) % 300007 AS double) AS tnspeed", "0.0 AS speedgap")
+    got = {r.window_start: r for r in thresholds.published_stats(pairs_, by=["window_start"]).collect()}
+    assert len(got) == 3 and got[2].approx25_tnspeed is None
+    for w in range(3):
+        ids = range(w, n, 3)
+        gaps = sorted((i * 104729) % 300007 / 3 for i in ids if (i * 7919) % 300007 > 150000)
+        assert [got[w].approx25_updist, got[w].median_updist, got[w].approx75_updist] == [
+            gaps[max(-(-len(gaps) * k // 4), 1) - 1] for k in (1, 2, 3)]
