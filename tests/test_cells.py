@@ -136,3 +136,14 @@ def test_cell_table(spark, store, tmp_path):
     sorted_path = str(tmp_path / "sorted")
     celltable.bulk_load(C.delete_rows(back, more.select("rowkey")), sorted_path, 2)
     assert {r.rowkey for r in celltable.read_cells(spark, sorted_path).collect()} == {"r2", "r3"}
+
+
+def test_families_come_out_one_row_per_key(spark, data):
+    from roadpulse.plans.catalog import QUERIES
+
+    got = QUERIES["cells_families"](spark, data)
+    orders = spark.read.parquet(f"{data}/orders.parquet")
+    assert got.count() == orders.count() == got.select("rowkey").distinct().count()
+    key = orders.where("o_orderkey % 3 = 0").first().o_orderkey
+    row = got.where(F.col("rowkey") == str(key)[::-1]).first()
+    assert row.o_price.startswith("9") and row.o_price_version == key + 1_000_000_000 and row.m_date_version == key
