@@ -39,8 +39,12 @@ def step_marks(fixes: DataFrame, idle: int | None = None) -> DataFrame:
 def pair_stream(fixes: DataFrame, min_rank: int = 3, idle: int | None = None) -> DataFrame:
     """Pairs of a stream, in the columns of ``pairs.pair_fixes``. A pair needs
     ``min_rank - 1`` earlier fixes: two for the detectors, one (2) for statistics."""
-    rows = previous_fixes(fixes, idle).where(F.col("rank") >= min_rank)
-    return rows.select(
+    return pair_rows(previous_fixes(fixes, idle), min_rank)
+
+
+def pair_rows(rows: DataFrame, min_rank: int = 3) -> DataFrame:
+    """Pairs of fixes that carry ``rank`` and the fixes before as ``p1``, ``p2``."""
+    return rows.where(F.col("rank") >= min_rank).select(
         "jsy", "ts", "event_id", "dbuscard", F.col("p1.llon").alias("prelon"), F.col("p1.llat").alias("prelat"),
         F.col("p1.longtime").alias("pretime"), F.col("p1.speed").alias("v0_kmh"), F.col("speed").alias("v1_kmh"),
         F.col("p2.speed").alias("pp_kmh"), motion.metres_per_second(F.col("p1.speed")).alias("prespeed"),

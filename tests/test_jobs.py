@@ -163,3 +163,24 @@ def test_only_existing_folders_are_read(spark, tmp_path):
     assert rows(read_folders(spark, path, "hour", range(5, 9), "x int, hour bigint"), "x", "hour") == [(1, 5), (2, 6)]
     assert read_folders(spark, path, "hour", [7], "x int, hour bigint").count() == 0
     assert read_folders(spark, str(tmp_path / "none"), "hour", [7], "x int, hour bigint").columns == ["x", "hour"]
+
+
+def test_pairs_of_batches_are_those_of_the_whole(spark, fixes, tmp_path):
+    """Batches of a native job: pairs reach over the cuts, late fixes and a repeated batch change nothing."""
+    from roadpulse.streaming import carried
+
+    t = detectors.with_event_time(fixes.select(*COLUMNS))
+    late = t.where("longtime - 1546300800 < 700").limit(50)
+    batches = [t.where("longtime - 1546300800 < 700"), t.where("longtime - 1546300800 BETWEEN 700 AND 709").unionByName(late),
+               t.where("false"), t.where("longtime - 1546300800 >= 710")]
+    got = {}
+    step = carried.with_pairs(str(tmp_path / "c"), lambda df, k: got.__setitem__(k, rows(df, "event_id", "pretime", "pp_kmh", "time_interval")))
+    for k in (0, 1, 1, 2, 3):
+        step(batches[k], k)
+    want = rows(pairs.every_pair(fixes, earlier=2), "event_id", "pretime", "pp_kmh", "time_interval")
+    assert all(got[k] for k in (0, 1, 3)) and sorted(sum(got.values(), []), key=str) == want
+    ranks = carried.previous_fixes(t.where("false"), str(tmp_path / "c"), 4)
+    kept = spark.read.parquet(str(tmp_path / "c/last/batch=4"))
+    assert ranks.count() == 0 and kept.groupBy("jsy").count().where("count > 2").count() == 0
+    counts = fixes.groupBy("jsy").agg(F.countDistinct("longtime").alias("n")).where("n > 2")
+    assert counts.join(kept.groupBy("jsy").agg(F.max("ahead").alias("a")), "jsy").where("a <> n - 2").count() == 0
