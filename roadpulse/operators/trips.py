@@ -158,9 +158,10 @@ def _fold(start: str, scores: str = "scores", s: str = "s", c: str = "c") -> str
 
 
 def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str = "end_time",
-                  score: str = "score", chunk: int = 6 * HOUR) -> DataFrame:
+                  score: str = "score", chunk: int = 6 * HOUR, start: DataFrame | None = None) -> DataFrame:
     """Add ``running``: the mean of the running and the current score, rounded
-    to cents after every trip.
+    to cents after every trip. ``start`` has a row of the keys and ``running``
+    for each key that goes on from an earlier score.
 
     The fold never forgets its start entirely, since rounding can keep a cent
     alive. But it preserves order, and fourteen trips bring any two starts to
@@ -174,13 +175,17 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
         F.array_sort(F.collect_list(F.struct(
             F.col(time).alias("t"), F.col(score).alias("v"), F.struct(*others).alias("trip")))).alias("items")
     ).withColumn("scores", F.transform("items", lambda x: x["v"]))
+    if start is None:
+        chunks = chunks.withColumn("start", F.lit(None).cast("double"))
+    else:
+        chunks = chunks.join(start.select(*keys, F.col("running").alias("start")), list(keys), "left")
     # a key's first chunk has no start to learn, its last none to pass on
     in_order = Window.partitionBy(*keys).orderBy("_chunk")
     linked = chunks.select(
         *keys, "_chunk", F.lag("_chunk").over(in_order).isNull().alias("first"),
         F.lead("_chunk").over(in_order).isNull().alias("last")).where("NOT (first AND last)")
     ends = chunks.join(linked, [*keys, "_chunk"]).withColumns({
-        "fresh": F.expr(f"CASE WHEN first THEN {_fold('null')} END"),
+        "fresh": F.expr(f"CASE WHEN first THEN {_fold('start')} END"),
         "low": F.expr(f"CASE WHEN NOT first AND NOT last THEN {_fold('0')} END"),
         "high": F.expr(f"CASE WHEN NOT first AND NOT last THEN {_fold('100')} END")})
     middle = f"({_fold('((b.lo + b.hi) div 2) / 100D', s='u', c='w')}) >= high"
@@ -205,7 +210,7 @@ def running_score(trips: DataFrame, keys: Sequence[str] = ("jsy",), time: str =
             'log', array_append(acc.log, named_struct('_chunk', p._chunk, 'entry', acc.now))),
           acc -> acc.log)""")).alias("e")).select(*keys, "e._chunk", "e.entry")
     walked = chunks.join(entry, [*keys, "_chunk"], "left").withColumn("_running", F.expr(f"""
-        aggregate(items, named_struct('now', entry, 'log', cast(array() AS array<double>)),
+        aggregate(items, named_struct('now', coalesce(entry, start), 'log', cast(array() AS array<double>)),
           (acc, x) -> transform(array({_NEXT.format(s='acc.now', c='x.v')}), r -> named_struct(
             'now', r, 'log', array_append(acc.log, r)))[0],
           acc -> acc.log)"""))

@@ -15,7 +15,7 @@ from ..operators import trips
 from ..session import checkpoint_dir, materialise
 from ..sources import records
 from ..streaming import carried, detectors, jobs, summaries
-from ..streaming.state import SCORE_NAMES, alarms as stream_alarms_of, running_scores
+from ..streaming.state import SCORE_NAMES, alarms as stream_alarms_of
 from .fixture import table
 from .inputs import over_code
 
@@ -193,5 +193,7 @@ def rendezvous_scores(found: DataFrame) -> DataFrame:
             finish(jobs.rendezvous_scores(messages("over"), messages("marks"), f"{base}/counts", f"{base}/scored", f"{base}/state",
                                           MEETING, availableNow=True))
     scored = spark.read.parquet(f"{base}/scored")
-    stream = spark.readStream.schema(scored.schema).parquet(f"{base}/scored").withWatermark("ts", "3650 days")
-    return run_to_end(running_scores(stream.select(*SCORE_NAMES)), "rendezvous-running")
+    stream = spark.readStream.schema(scored.schema).parquet(f"{base}/scored").select(*SCORE_NAMES)
+    run = carried.with_running(f"{base}/carried", jobs.table_sink(f"{base}/rows"))
+    finish(jobs.start(stream, run, f"{base}/running", availableNow=True))
+    return spark.read.parquet(f"{base}/rows").drop("batch")

@@ -1,9 +1,11 @@
-"""Pairs of a stream whose job writes batch by batch anyway.
+"""Pairs and running scores of a stream whose job writes batch by batch anyway.
 
 Inside a micro-batch the fixes before each fix are found like those of a table
-(``pairs.neighbours``); only the last two fixes of each driver are carried over
-to the next batch, as a table of their own. A repeated batch reads what the
-batch before it left and writes its own folder again.
+(``pairs.neighbours``), and the scores of a driver are folded like those of a
+table (``trips.running_score``); only the last two fixes and the running score
+of each driver are carried over to the next batch, as tables of their own. A
+repeated batch reads what the batch before it left and writes its own folder
+again.
 """
 
 from __future__ import annotations
@@ -13,7 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, functions as F
 
 from ..operators.pairs import neighbours
-from ..operators.trips import first_per_second
+from ..operators.trips import first_per_second, running_score
 from ..sources.folders import staged
 from .detectors import pair_rows
 from .state import FIX_NAMES
@@ -48,3 +50,22 @@ def with_pairs(path: str, run: Callable[[DataFrame, int], None], min_rank: int =
     def paired(batch: DataFrame, epoch: int) -> None:
         run(pair_rows(previous_fixes(batch, path, epoch), min_rank), epoch)
     return paired
+
+
+def running_scores(scored: DataFrame, path: str, epoch: int) -> DataFrame:
+    """Rows of ``state.running_scores`` for one micro-batch of scored trips. The score of a driver is kept for good."""
+    spark = scored.sparkSession
+    kept = None if epoch == 0 else spark.read.schema("jsy string, running double").parquet(f"{path}/running/batch={epoch - 1}")
+    found = staged(running_score(staged(scored, f"{path}/scored", epoch), start=kept), f"{path}/found", epoch)
+    last = found.groupBy("jsy").agg(F.max_by("running", "end_time").alias("running"))
+    if kept is not None:
+        last = last.unionByName(kept.join(last, "jsy", "left_anti"))
+    last.write.mode("overwrite").parquet(f"{path}/running/batch={epoch}")
+    return found
+
+
+def with_running(path: str, write: Callable[[DataFrame, int], None]) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` function over scored trips that hands them to ``write`` with the driver's running score."""
+    def run(batch: DataFrame, epoch: int) -> None:
+        write(running_scores(batch, path, epoch), epoch)
+    return run

@@ -184,3 +184,20 @@ def test_pairs_of_batches_are_those_of_the_whole(spark, fixes, tmp_path):
     assert ranks.count() == 0 and kept.groupBy("jsy").count().where("count > 2").count() == 0
     counts = fixes.groupBy("jsy").agg(F.countDistinct("longtime").alias("n")).where("n > 2")
     assert counts.join(kept.groupBy("jsy").agg(F.max("ahead").alias("a")), "jsy").where("a <> n - 2").count() == 0
+
+
+def test_running_scores_of_batches_are_those_of_the_whole(spark, tmp_path):
+    """A driver's score goes on over the cuts, also past a batch without a trip; a repeated batch changes nothing."""
+    from roadpulse.operators import trips
+    from roadpulse.streaming import carried
+
+    scored = spark.createDataFrame([(d, 100 * k, 60.0 + (7 * k + len(d)) % 40 + 0.37) for d in ("a", "bb") for k in range(1, 40)],
+                                   "jsy string, end_time bigint, score double")
+    batches = [scored.where("end_time <= 900"), scored.where("jsy = 'a' AND end_time BETWEEN 901 AND 2500"), scored.where("false"),
+               scored.where("end_time > 2500 OR jsy = 'bb' AND end_time > 900")]
+    got = {}
+    step = carried.with_running(str(tmp_path / "c"), lambda df, k: got.__setitem__(k, rows(df, "jsy", "end_time", "running")))
+    for k in (0, 1, 1, 2, 3, 3):
+        step(batches[k], k)
+    assert sorted(sum(got.values(), []), key=str) == rows(trips.running_score(scored), "jsy", "end_time", "running")
+    assert spark.read.parquet(str(tmp_path / "c/running/batch=3")).count() == 2
