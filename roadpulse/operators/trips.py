@@ -103,16 +103,34 @@ def split_trips(steps: DataFrame, keys: Sequence[str] = ("jsy",),
     trip's end; the mark of the closing fix is included. ``over`` gives the
     over-speed code of a fix (null for none).
     """
-    numbered = number_trips(steps, keys, ends, over)
-    trips = numbered.groupBy(*keys, "trip_no").agg(
-        F.coalesce(F.max(_inner_change()), F.min("_before"), F.min("longtime")).alias("begin_time"),
-        F.max("longtime").alias("end_time"),
+    parts = trip_parts(number_trips(steps, keys, ends, over), keys, over_codes)
+    return finished_trips(parts, keys)
+
+
+def trip_parts(numbered: DataFrame, keys: Sequence[str] = ("jsy",), over_codes: Sequence[str] = TAXI_OVER_CODES) -> DataFrame:
+    """Sums of each trip of ``number_trips``, finished (``_done`` is 1) or still open; ``join_parts`` adds them up."""
+    return numbered.groupBy(*keys, "trip_no").agg(
+        F.max(_inner_change()).alias("_change"), F.min("_before").alias("_before"),
+        F.min("longtime").alias("_first"), F.max("longtime").alias("end_time"),
         *[F.count(F.when(F.col("_over") == c, 1)).alias(f"over{i}") for i, c in enumerate(over_codes)],
         F.count(F.when(F.col("mark") == 1, 1)).alias("accelerations"),
         F.count(F.when(F.col("mark") == 2, 1)).alias("brakings"),
         F.count(F.when(F.col("mark") == 3, 1)).alias("turns"),
         F.max("_closes").alias("_done"))
-    return (trips.where("_done = 1").drop("_done")
+
+
+def join_parts(parts: DataFrame, keys: Sequence[str] = ("jsy",)) -> DataFrame:
+    """One row per trip from parts of it that follow each other in time."""
+    kinds = {"_change": F.max, "_before": F.min, "_first": F.min, "end_time": F.max, "_done": F.max}
+    return parts.groupBy(*keys, "trip_no").agg(*[
+        kinds.get(c, F.sum)(c).alias(c) for c in parts.columns if c not in (*keys, "trip_no")])
+
+
+def finished_trips(parts: DataFrame, keys: Sequence[str] = ("jsy",)) -> DataFrame:
+    """The finished ones of whole trips, with their begin, end, counts and seconds."""
+    done = parts.where("_done = 1").withColumn("begin_time", F.coalesce("_change", "_before", "_first"))
+    counts = [c for c in parts.columns if c not in (*keys, "trip_no", "_change", "_before", "_first", "end_time", "_done")]
+    return (done.select(*keys, "trip_no", "begin_time", "end_time", *counts)
             .withColumn("seconds", F.col("end_time") - F.col("begin_time")))
 
 

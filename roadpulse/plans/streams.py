@@ -86,12 +86,12 @@ def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    detectors.use_state_store(spark)
-    over = over_code(trips.TAXI_OVER_CODES)
-    found = detectors.score_stream(event_stream(spark, sf_dir), over)
-    return run_to_end(found.select(
+    base = folder(spark, "scores")
+    run = carried.with_scores(f"{base}/carried", jobs.table_sink(f"{base}/rows"), over_code(trips.TAXI_OVER_CODES))
+    finish(jobs.start(event_stream(spark, sf_dir), run, f"{base}/state", availableNow=True))
+    return spark.read.parquet(f"{base}/rows").select(
         "jsy", "begin_time", "end_time", "over0", "over1", "over2", "over3", "accelerations", "brakings",
-        "turns", F.round("score", 2).alias("score"), "running"), "scores")
+        "turns", F.round("score", 2).alias("score"), "running")
 
 
 def alarms(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -201,3 +201,25 @@ def test_running_scores_of_batches_are_those_of_the_whole(spark, tmp_path):
         step(batches[k], k)
     assert sorted(sum(got.values(), []), key=str) == rows(trips.running_score(scored), "jsy", "end_time", "running")
     assert spark.read.parquet(str(tmp_path / "c/running/batch=3")).count() == 2
+
+
+@pytest.mark.parametrize("ends", [None, (("1", "2"), ("3", "0"))])
+def test_scores_of_batches_are_those_of_the_whole(spark, fixes, tmp_path, ends):
+    """Trips, their counts and scores reach over the cuts; late fixes and a repeated batch change nothing."""
+    from roadpulse.operators import trips
+    from roadpulse.plans.inputs import over_code
+    from roadpulse.streaming import carried
+
+    columns = ["jsy", "begin_time", "end_time", "over0", "over1", "accelerations", "brakings", "turns", "score", "running"]
+    over = over_code(trips.TAXI_OVER_CODES)
+    t = detectors.with_event_time(fixes.select(*COLUMNS))
+    late = t.where("longtime - 1546300800 < 700").limit(50)
+    batches = [t.where("longtime - 1546300800 < 700"), t.where("longtime - 1546300800 BETWEEN 700 AND 709").unionByName(late),
+               t.where("false"), t.where("longtime - 1546300800 >= 710")]
+    got = {}
+    step = carried.with_scores(str(tmp_path / "c"), lambda df, k: got.__setitem__(k, rows(df, *columns)), over, ends=ends)
+    for k in (0, 1, 1, 2, 3):
+        step(batches[k], k)
+    whole = trips.split_trips(trips.step_marks(fixes), ends=ends, over=over)
+    assert sorted(sum(got.values(), []), key=str) == rows(trips.running_score(trips.score_trips(whole)), *columns)
+    assert got[3] and spark.read.parquet(str(tmp_path / "c/open/batch=3")).groupBy("jsy").count().where("count > 1").count() == 0
